@@ -121,21 +121,27 @@ def event_json(events: DataFrame) -> Column:
 
 
 def decode_events(
-    messages: DataFrame, schema: t.StructType = USAGE_EVENT, value: str = "value"
+    messages: DataFrame,
+    schema: t.StructType = USAGE_EVENT,
+    value: str = "value",
+    keep: Iterable[str] = (),
 ) -> DataFrame:
     """Events from JSON text in a column, for file lines and messages alike.
 
     A value that is not valid JSON, or has no usable event time, keeps its text
     in `_corrupt_record`; split it off with `good_events` and `corrupt_events`.
+    `keep` names message columns, such as the key, to carry along.
     """
     text = F.col(value).cast("string")
     wanted = t.StructType([*schema.fields, t.StructField(CORRUPT, t.StringType())])
     parsed = messages.select(
+        *keep,
         text.alias("_text"),
         F.from_json(text, wanted, {"columnNameOfCorruptRecord": CORRUPT}).alias("e"),
     )
     stamp = F.col("e.event_time").try_cast("timestamp")
     return parsed.select(
+        *keep,
         *(F.col(f"e.{f.name}") for f in schema.fields if f.name != "event_time"),
         stamp.alias("event_time"),
         F.coalesce(F.col(f"e.{CORRUPT}"), F.when(stamp.isNull(), F.col("_text"))).alias(CORRUPT),
