@@ -18,10 +18,14 @@ def zero(c: str | Column) -> Column:
     return F.nvl(as_column(c), F.lit(0.0))
 
 
+def _present(c: str | Column) -> Column:
+    """The value as a double, null where it is NaN."""
+    return F.nanvl(as_column(c).cast("double"), F.lit(None).cast("double"))
+
+
 def number(c: str | Column) -> Column:
     """The value as a double, or 0.0 where it is null or NaN."""
-    value = as_column(c).cast("double")
-    return zero(F.nanvl(value, F.lit(None).cast("double")))
+    return zero(_present(c))
 
 
 def flag(condition: Column) -> Column:
@@ -34,9 +38,10 @@ def exact_sum(c: str | Column) -> Column:
 
     Whole part and millionths are summed as two long counters, so retries,
     partition counts and skew splits all give the same bits, at the speed of a
-    plain double sum. Null when there is no non-null value, like `sum`.
+    plain double sum. NaN counts as missing. Null when no value is present, like
+    `sum`.
     """
-    value = as_column(c)
+    value = _present(c)
     whole = F.floor(value)
     millionths = F.floor((value - whole) * UNITS + 0.5)
     units = F.sum(whole).cast("decimal(20,0)") * UNITS + F.sum(millionths)
@@ -44,8 +49,8 @@ def exact_sum(c: str | Column) -> Column:
 
 
 def exact_avg(c: str | Column) -> Column:
-    """Mean over non-null values, built on `exact_sum`; null when there are none."""
-    return F.try_divide(exact_sum(c), F.count(as_column(c)))
+    """Mean over present values, built on `exact_sum`; null when there are none."""
+    return F.try_divide(exact_sum(c), F.count(_present(c)))
 
 
 def ratio(part: str | Column, whole: str | Column, digits: int) -> Column:

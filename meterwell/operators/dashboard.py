@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from meterwell.functions.values import capped, column_or, exact_avg, exact_sum, zero
+from meterwell.functions.values import capped, exact_avg, exact_sum, zero
 from meterwell.operators.reshape import unpivot
 from meterwell.settings import DEFAULTS, Settings
 
@@ -28,12 +28,21 @@ def chart_usage(
 ) -> DataFrame:
     """Seven metrics per customer and month with null-propagating totals."""
     have = wide.columns
+    wanted = set(settings.labels if months is None else months)
     rows = [
-        (label, [column_or(have, m + suffix, F.lit(0.0)).cast("double") for m in _METRICS])
+        (label, [m + suffix for m in _METRICS])
         for suffix, label in settings.months
-        if months is None or label in set(months)
+        if label in wanted
     ]
-    base = wide.withColumn("circle_id", F.col("circle_id").cast("string"))
+    absent = [
+        m + suffix
+        for m in _METRICS
+        for suffix, _ in settings.months
+        if m + suffix not in have
+    ]
+    base = wide.withColumns(
+        {"circle_id": F.col("circle_id").cast("string"), **{c: F.lit(0.0) for c in absent}}
+    )
     return unpivot(base, ["mobile_number", "circle_id"], _METRICS, rows).withColumns(
         {
             "total_calls": F.col("total_og_mou") + F.col("total_ic_mou"),

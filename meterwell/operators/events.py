@@ -22,20 +22,21 @@ _NARROW = ["total_og_mou", "total_ic_mou", "vol_2g_mb", "vol_3g_mb", "arpu", "to
 def _monthly(
     wide: DataFrame, metrics: list[str], settings: Settings, months: Iterable[str] | None
 ) -> DataFrame:
-    """Chosen metrics per customer and month; an absent column counts as 0."""
+    """Chosen metrics per customer and month; missing, NaN and absent count as 0."""
     have = wide.columns
+    wanted = set(settings.labels if months is None else months)
     rows = [
-        (label, [number(column_or(have, m + suffix, F.lit(0.0))) for m in metrics])
+        (label, [m + suffix for m in metrics])
         for suffix, label in settings.months
-        if months is None or label in set(months)
+        if label in wanted
     ]
-    base = wide.select(
-        F.col("mobile_number").cast("long").alias("mobile_number"),
-        column_or(have, "circle_id", F.lit("")).cast("string").alias("circle_id"),
-        column_or(have, "aon", F.lit(0)).cast("int").alias("aon"),
-        *(c for c in have if c not in settings.static_columns),
-    )
-    return unpivot(base, ["mobile_number", "circle_id", "aon"], metrics, rows)
+    identity = {
+        "mobile_number": F.col("mobile_number").cast("long"),
+        "circle_id": column_or(have, "circle_id", F.lit("")).cast("string"),
+        "aon": column_or(have, "aon", F.lit(0)).cast("int"),
+    }
+    long = unpivot(wide.withColumns(identity), list(identity), metrics, rows)
+    return long.withColumns({m: number(m) for m in metrics})
 
 
 def usage_events(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterwell.functions.rules import activity_flags, data_mb
@@ -41,30 +41,30 @@ def unpivot(
     wide: DataFrame,
     keys: list[str],
     values: list[str],
-    rows: list[tuple[str, list[Column]]],
+    rows: list[tuple[str, list[str | None]]],
     label_column: str = "report_month",
 ) -> DataFrame:
     """One output row per input row and label, several value columns at once.
 
-    `rows` gives each label its source expressions, one per value column. Spark
-    plans this as a single `Expand` above one scan. Unlike an exploded array of
-    structs, `Expand` lets column pruning through, so a query that uses five
-    metrics reads only those from the files. Nothing is shuffled.
+    `rows` gives each label its source columns, one per value column; a source
+    that is None, or that the input lacks, is null. Spark plans this as a single
+    `Expand` above one scan. Unlike an exploded array of structs, `Expand` lets
+    column pruning through, so a query that uses five metrics reads only those
+    from the files. Nothing is shuffled.
     """
-    cells = {
-        f"{label}#{value}": source
-        for label, sources in rows
-        for value, source in zip(values, sources, strict=True)
-    }
-    flat = wide.select(*keys, *(source.alias(name) for name, source in cells.items()))
+    have = set(wide.columns)
+    absent = "_absent"
     branches = ", ".join(
-        f"({_quoted(f'{label}#{value}' for value in values)}) AS `{label}`" for label, _ in rows
+        f"({_quoted(s if s in have else absent for s in sources)}) AS `{label}`"
+        for label, sources in rows
     )
+    used = dict.fromkeys(s for _, sources in rows for s in sources if s in have)
     return wide.sparkSession.sql(
-        f"SELECT * FROM {{flat}} UNPIVOT INCLUDE NULLS "
+        f"SELECT * FROM (SELECT {_quoted([*keys, *used])}, NULL AS {absent} FROM {{wide}}) "
+        f"UNPIVOT INCLUDE NULLS "
         f"(({_quoted(values)}) FOR `{label_column}` IN ({branches}))",
-        flat=flat,
-    )
+        wide=wide,
+    ).select(*keys, *values, label_column)
 
 
 def wide_to_long(
@@ -81,17 +81,11 @@ def wide_to_long(
     """
     metrics = monthly_metrics(wide.columns, settings)
     static = [c for c in (*settings.static_columns, *extra_static) if c in wide.columns]
-    have = set(wide.columns)
-
-    def source(metric: str, suffix: str) -> Column:
-        return F.col(metric + suffix) if metric + suffix in have else F.lit(None)
-
     rows = [
-        (label, [source(metric, suffix) for metric in metrics])
+        (label, [metric + suffix for metric in metrics])
         for suffix, label in _chosen(settings, months)
     ]
-    long = unpivot(wide, static, metrics, rows)
-    return with_activity(long.select(*static, *metrics, "report_month"))
+    return with_activity(unpivot(wide, static, metrics, rows))
 
 
 def wide_to_long_by_union(

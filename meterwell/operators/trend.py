@@ -65,12 +65,9 @@ def month_over_month(
     wanted = set(settings.labels if months is None else months)
     suffix_of = {label: suffix for suffix, label in settings.months}
     previous = settings.previous()
-    missing = F.lit(None).cast("double")
 
-    def cells(label: str | None) -> list:
-        if label is None:
-            return [missing] * len(_INPUTS)
-        return [F.col(m + suffix_of[label]) for m in _INPUTS]
+    def cells(label: str | None) -> list[str | None]:
+        return [None if label is None else m + suffix_of[label] for m in _INPUTS]
 
     rows = [
         (label, [*cells(label), *cells(previous[label])])
@@ -92,11 +89,11 @@ def month_over_month(
         .withColumns(activity_flags(F.col("total_data_mb")))
         .withColumns(
             {
-                "prev_arpu": F.col("before_arpu"),
-                "prev_og_mou": F.col("before_total_og_mou"),
-                "prev_ic_mou": F.col("before_total_ic_mou"),
+                "prev_arpu": F.col("before_arpu").cast("double"),
+                "prev_og_mou": F.col("before_total_og_mou").cast("double"),
+                "prev_ic_mou": F.col("before_total_ic_mou").cast("double"),
                 "prev_data_mb": F.when(F.col("prev_month").isNotNull(), before_data),
-                "prev_rech_amt": F.col("before_total_rech_amt"),
+                "prev_rech_amt": F.col("before_total_rech_amt").cast("double"),
             }
         )
         .select(*COMPARED_COLUMNS)

@@ -11,34 +11,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterwell.operators import dashboard, reports, risk
-from meterwell.operators.customer import customer_month_kpi
-from meterwell.operators.events import (
-    ISO_MICROS,
-    decode_events,
-    event_messages,
-    good_events,
-    narrow_events,
-    rich_usage_events,
-    usage_events,
-)
-from meterwell.operators.region import (
-    region_month_kpi,
-    region_month_kpi_by_join,
-    region_ranking,
-    region_scores,
-    region_top,
-)
-from meterwell.operators.reshape import wide_to_long, wide_to_long_by_union
-from meterwell.operators.trend import (
-    month_over_month,
-    month_over_month_long,
-    silent_customers,
-    silent_customers_by_join,
-    top_alerts,
-    top_silent,
-    usage_decline_alerts,
+from meterwell.operators import (
+    customer,
+    dashboard,
+    events,
+    region,
+    reports,
+    reshape,
+    risk,
+    trend,
 )
+from meterwell.operators.events import ISO_MICROS
 from meterwell.plans import pipeline
 from meterwell.schemas import RICH_EVENT, TABLES
 from meterwell.sources.extracts import read_extract, write_extract
@@ -77,27 +60,27 @@ def queries() -> dict[str, Query]:
 
 
 def _long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wide_to_long(wide_usage(spark, sf_dir))
+    return reshape.wide_to_long(wide_usage(spark, sf_dir))
 
 
 def _kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return region_month_kpi(_long(spark, sf_dir))
+    return region.region_month_kpi(_long(spark, sf_dir))
 
 
 def _ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return region_ranking(_kpi(spark, sf_dir), ordered=False)
+    return region.region_ranking(_kpi(spark, sf_dir), ordered=False)
 
 
 def _compared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return month_over_month(wide_usage(spark, sf_dir))
+    return trend.month_over_month(wide_usage(spark, sf_dir))
 
 
 def _month_start():
     return F.to_timestamp(F.concat(F.col("report_month"), F.lit("-01")))
 
 
-def _iso_time(events: DataFrame) -> DataFrame:
-    return events.withColumn("event_time", F.date_format("event_time", ISO_MICROS))
+def _iso_time(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("event_time", F.date_format("event_time", ISO_MICROS))
 
 
 # Inputs
@@ -119,97 +102,97 @@ def wide_scan_csv(spark, sf_dir):
 
 
 @_query
-def wide_to_long_detail(spark, sf_dir):
+def wide_to_long(spark, sf_dir):
     return _long(spark, sf_dir)
 
 
 @_query
 def wide_to_long_union(spark, sf_dir):
-    return wide_to_long_by_union(wide_usage(spark, sf_dir))
+    return reshape.wide_to_long_by_union(wide_usage(spark, sf_dir))
 
 
 @_query
 def wide_to_long_two_months(spark, sf_dir):
-    return wide_to_long(wide_usage(spark, sf_dir), months=("2014-07", "2014-08"))
+    return reshape.wide_to_long(wide_usage(spark, sf_dir), months=("2014-07", "2014-08"))
 
 
 # Summaries
 
 
 @_query
-def customer_month_summary(spark, sf_dir):
-    return customer_month_kpi(_long(spark, sf_dir))
+def customer_month_kpi(spark, sf_dir):
+    return customer.customer_month_kpi(_long(spark, sf_dir))
 
 
 @_query
-def region_month_summary(spark, sf_dir):
+def region_month_kpi(spark, sf_dir):
     return _kpi(spark, sf_dir)
 
 
 @_query
-def region_month_summary_join(spark, sf_dir):
-    return region_month_kpi_by_join(_long(spark, sf_dir))
+def region_month_kpi_join(spark, sf_dir):
+    return region.region_month_kpi_by_join(_long(spark, sf_dir))
 
 
 @_query
-def region_score_table(spark, sf_dir):
-    return region_scores(_kpi(spark, sf_dir)).select(
+def region_scores(spark, sf_dir):
+    return region.region_scores(_kpi(spark, sf_dir)).select(
         "circle_id", "report_month", "arpu_score", "activity_score", "data_score", "composite_score"
     )
 
 
 @_query
-def region_rank(spark, sf_dir):
-    return region_ranking(_kpi(spark, sf_dir))
+def region_ranking(spark, sf_dir):
+    return region.region_ranking(_kpi(spark, sf_dir))
 
 
 @_query
 def region_top5_month(spark, sf_dir):
-    return region_top(_ranking(spark, sf_dir), MONTH)
+    return region.region_top(_ranking(spark, sf_dir), MONTH)
 
 
 # Month over month
 
 
 @_query
-def month_over_month_pairs(spark, sf_dir):
+def month_over_month(spark, sf_dir):
     return _compared(spark, sf_dir)
 
 
 @_query
 def month_over_month_lag(spark, sf_dir):
-    return month_over_month_long(_long(spark, sf_dir))
+    return trend.month_over_month_long(_long(spark, sf_dir))
 
 
 @_query
-def usage_decline(spark, sf_dir):
-    return usage_decline_alerts(_compared(spark, sf_dir))
+def usage_decline_alerts(spark, sf_dir):
+    return trend.usage_decline_alerts(_compared(spark, sf_dir))
 
 
 @_query
 def usage_decline_one_month(spark, sf_dir):
-    compared = month_over_month(wide_usage(spark, sf_dir), months=[MONTH])
-    return usage_decline_alerts(compared)
+    compared = trend.month_over_month(wide_usage(spark, sf_dir), months=[MONTH])
+    return trend.usage_decline_alerts(compared)
 
 
 @_query
 def usage_decline_top500(spark, sf_dir):
-    return top_alerts(usage_decline_alerts(_compared(spark, sf_dir), ordered=False))
+    return trend.top_alerts(trend.usage_decline_alerts(_compared(spark, sf_dir), ordered=False))
 
 
 @_query
-def silent_report(spark, sf_dir):
-    return silent_customers(_compared(spark, sf_dir))
+def silent_customers(spark, sf_dir):
+    return trend.silent_customers(_compared(spark, sf_dir))
 
 
 @_query
-def silent_report_join(spark, sf_dir):
-    return silent_customers_by_join(_long(spark, sf_dir), _compared(spark, sf_dir))
+def silent_customers_join(spark, sf_dir):
+    return trend.silent_customers_by_join(_long(spark, sf_dir), _compared(spark, sf_dir))
 
 
 @_query
 def silent_top500(spark, sf_dir):
-    return top_silent(silent_customers(_compared(spark, sf_dir), ordered=False))
+    return trend.top_silent(trend.silent_customers(_compared(spark, sf_dir), ordered=False))
 
 
 # Saved reports
@@ -223,7 +206,7 @@ def report_top_regions(spark, sf_dir):
 @_query
 def report_critical_month(spark, sf_dir):
     return reports.critical_declines(
-        usage_decline_alerts(_compared(spark, sf_dir), ordered=False), MONTH
+        trend.usage_decline_alerts(_compared(spark, sf_dir), ordered=False), MONTH
     )
 
 
@@ -235,7 +218,7 @@ def report_region_trend(spark, sf_dir):
 @_query
 def report_silent_high(spark, sf_dir):
     return reports.high_risk_silent(
-        silent_customers(_compared(spark, sf_dir), ordered=False), MONTH
+        trend.silent_customers(_compared(spark, sf_dir), ordered=False), MONTH
     )
 
 
@@ -252,7 +235,7 @@ def layer_counts(spark, sf_dir):
 @_query
 def mart_parquet_pruned(spark, sf_dir):
     root = scratch_dir(spark, "mart")
-    alerts = usage_decline_alerts(_compared(spark, sf_dir), ordered=False)
+    alerts = trend.usage_decline_alerts(_compared(spark, sf_dir), ordered=False)
     write_table(alerts, root, pipeline.ALERTS, small=True)
     return read_table(spark, root, pipeline.ALERTS, months=[MONTH])
 
@@ -268,44 +251,44 @@ def extract_csv_roundtrip(spark, sf_dir):
 
 
 @_query
-def usage_event_rows(spark, sf_dir):
-    return _iso_time(usage_events(wide_usage(spark, sf_dir), event_time=_month_start()))
+def usage_events(spark, sf_dir):
+    return _iso_time(events.usage_events(wide_usage(spark, sf_dir), event_time=_month_start()))
 
 
 @_query
-def usage_event_rows_two_months(spark, sf_dir):
+def usage_events_two_months(spark, sf_dir):
     months = ("2014-07", "2014-08")
     return _iso_time(
-        usage_events(
+        events.usage_events(
             wide_usage(spark, sf_dir), months=months, event_time=_month_start(), ordered=True
         )
     )
 
 
 @_query
-def usage_event_rows_rich(spark, sf_dir):
-    return _iso_time(rich_usage_events(wide_usage(spark, sf_dir), event_time=_month_start()))
+def usage_events_rich(spark, sf_dir):
+    return _iso_time(events.rich_usage_events(wide_usage(spark, sf_dir), event_time=_month_start()))
 
 
 @_query
-def usage_event_rows_narrowed(spark, sf_dir):
-    rich = rich_usage_events(wide_usage(spark, sf_dir), event_time=_month_start())
-    return _iso_time(narrow_events(rich))
+def usage_events_narrowed(spark, sf_dir):
+    rich = events.rich_usage_events(wide_usage(spark, sf_dir), event_time=_month_start())
+    return _iso_time(events.narrow_events(rich))
 
 
 @_query
-def event_messages_decoded(spark, sf_dir):
-    rich = rich_usage_events(wide_usage(spark, sf_dir), event_time=_month_start())
+def event_messages(spark, sf_dir):
+    rich = events.rich_usage_events(wide_usage(spark, sf_dir), event_time=_month_start())
     path = scratch_dir(spark, "messages")
-    event_messages(rich).write.parquet(path)
+    events.event_messages(rich).write.parquet(path)
     messages = spark.read.parquet(path)
-    return _iso_time(good_events(decode_events(messages, RICH_EVENT, keep=["key"])))
+    return _iso_time(events.good_events(events.decode_events(messages, RICH_EVENT, keep=["key"])))
 
 
 @_query
 def event_json_roundtrip(spark, sf_dir):
     path = write_event_files(star_events(spark, sf_dir), scratch_dir(spark, "events"))
-    decoded = good_events(read_event_files(spark, path))
+    decoded = events.good_events(read_event_files(spark, path))
     return _iso_time(decoded.drop("_anomaly"))
 
 
@@ -313,7 +296,7 @@ def event_json_roundtrip(spark, sf_dir):
 
 
 @_query
-def window_risk_day(spark, sf_dir):
+def window_risk(spark, sf_dir):
     return risk.window_risk(star_events(spark, sf_dir), window_seconds=DAY)
 
 
@@ -323,12 +306,12 @@ def window_risk_5min(spark, sf_dir):
 
 
 @_query
-def risk_alert_rows(spark, sf_dir):
+def risk_alerts(spark, sf_dir):
     return risk.risk_alerts(star_events(spark, sf_dir), window_seconds=DAY)
 
 
 @_query
-def window_statistics(spark, sf_dir):
+def window_stats(spark, sf_dir):
     return risk.window_stats(star_events(spark, sf_dir), window_seconds=DAY)
 
 
@@ -349,9 +332,9 @@ def window_top_alerts(spark, sf_dir):
 
 def _event_folder(spark: SparkSession, sf_dir: str, window_seconds: int) -> str:
     """All events as JSON files, and one later event that closes the last window."""
-    events = star_events(spark, sf_dir)
-    path = write_event_files(events, scratch_dir(spark, "stream-in"))
-    return append_event_files(heartbeat(events, window_seconds=window_seconds), path)
+    usage = star_events(spark, sf_dir)
+    path = write_event_files(usage, scratch_dir(spark, "stream-in"))
+    return append_event_files(heartbeat(usage, window_seconds=window_seconds), path)
 
 
 @_query

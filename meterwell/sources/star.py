@@ -6,7 +6,7 @@ usage events, so the operators can run on any star-schema data set at any scale.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterwell.functions.values import exact_sum
@@ -15,7 +15,8 @@ from meterwell.settings import DEFAULTS, Settings
 # Order years standing in for the month suffixes, oldest first.
 FIRST_YEAR = 1997
 
-_WHOLE = ("monthly_2g", "monthly_3g", "night_pck_user", "fb_user")
+# Whole-number measures, counted from line numbers 1 to 5.
+_COUNTS = ("monthly_2g", "monthly_3g", "night_pck_user", "fb_user", "vbc_3g")
 _VBC = ("jun_vbc_3g", "jul_vbc_3g", "aug_vbc_3g", "sep_vbc_3g")
 
 
@@ -23,28 +24,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _item_measures() -> dict[str, Column]:
-    flag, status, quantity = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_quantity")
-    third = F.col("l_linenumber") % 3
+def _item_measures() -> dict[str, str]:
+    """Aggregates over the line items of one order, as SQL text."""
 
-    def total(condition: Column, times: int) -> Column:
-        return F.sum(F.when(condition, quantity * times))
-
-    def roamed(kind: str) -> Column:
-        return (flag == kind) & (status == "F") & (F.col("l_discount") >= 0.08)
+    def total(condition: str, times: int) -> str:
+        return f"sum(CASE WHEN {condition} THEN l_quantity * {times} END)"
 
+    roamed = "l_linestatus = 'F' AND l_discount >= 0.08D AND l_returnflag"
+    third = "l_returnflag = 'A' AND l_linenumber % 3"
     measures = {
-        "total_og_mou": total(flag == "A", 10),
-        "total_ic_mou": total(flag == "R", 10),
-        "roam_og_mou": total(roamed("A"), 1),
-        "roam_ic_mou": total(roamed("R"), 1),
-        "vol_2g_mb": total((flag == "N") & (status == "O"), 20),
-        "vol_3g_mb": total((flag == "N") & (status == "F"), 20),
+        "total_og_mou": total("l_returnflag = 'A'", 10),
+        "total_ic_mou": total("l_returnflag = 'R'", 10),
+        "roam_og_mou": total(f"{roamed} = 'A'", 1),
+        "roam_ic_mou": total(f"{roamed} = 'R'", 1),
+        "vol_2g_mb": total("l_returnflag = 'N' AND l_linestatus = 'O'", 20),
+        "vol_3g_mb": total("l_returnflag = 'N' AND l_linestatus = 'F'", 20),
     }
     for remainder, name in enumerate(("loc_og_mou", "std_og_mou", "isd_og_mou")):
-        measures[name] = total((flag == "A") & (third == remainder), 10)
-    for line, name in enumerate((*_WHOLE, "vbc_3g"), start=1):
-        measures[name] = F.count_if(F.col("l_linenumber") == line)
+        measures[name] = total(f"{third} = {remainder}", 10)
+    for line, name in enumerate(_COUNTS, start=1):
+        measures[name] = f"count_if(l_linenumber = {line})"
     return measures
 
 
@@ -62,43 +61,35 @@ def wide_usage(spark: SparkSession, sf_dir: str, settings: Settings = DEFAULTS)
         table(spark, sf_dir, "orders")
         .filter(order_date >= F.lit(f"{FIRST_YEAR}-01-01").cast("timestamp_ntz"))
         .filter(order_date < F.lit(f"{FIRST_YEAR + len(years)}-01-01").cast("timestamp_ntz"))
-        .select("o_orderkey", "o_custkey", "o_totalprice", F.year(order_date).alias("year"))
+        .selectExpr("o_orderkey", "o_custkey", "o_totalprice", "year(o_orderdate) AS year")
     )
     items = _item_measures()
     per_order = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
-        *(c.alias(name) for name, c in items.items())
+        *(F.expr(f"{c} AS {name}") for name, c in items.items())
     )
-    counts = [*_WHOLE, "vbc_3g"]
-    measures = {
-        "arpu": exact_sum("o_totalprice") / 1000,
-        "total_rech_num": F.count("*").cast("double"),
-        "total_rech_amt": exact_sum("o_totalprice"),
-        "max_rech_amt": F.max("o_totalprice"),
-        **{name: F.sum(name) for name in items if name not in counts},
-        **{name: F.sum(F.nvl(name, F.lit(0))).cast("int") for name in counts},
-    }
+    spent = exact_sum("o_totalprice")
+    sums = [f"sum({name}) AS {name}" for name in items if name not in _COUNTS]
+    counts = [f"CAST(sum(nvl({name}, 0)) AS INT) AS {name}" for name in _COUNTS]
     per_year = (
         orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .groupBy("o_custkey", "year")
-        .agg(*(c.alias(name) for name, c in measures.items()))
+        .agg(
+            (spent / 1000).alias("arpu"),
+            F.expr("CAST(count(*) AS DOUBLE) AS total_rech_num"),
+            spent.alias("total_rech_amt"),
+            F.expr("max(o_totalprice) AS max_rech_amt"),
+            *(F.expr(c) for c in (*sums, *counts)),
+        )
     )
+    monthly = [c for c in per_year.columns if c not in ("o_custkey", "year", "vbc_3g")]
 
-    def in_year(name: str, year: int) -> Column:
-        return F.max(F.when(F.col("year") == year, F.col(name)))
-
-    columns = [
-        in_year(name, year).alias(name + suffix)
-        for name in measures
-        if name != "vbc_3g"
-        for year, suffix in years.items()
-    ]
-    columns += [in_year("vbc_3g", year).alias(name) for year, name in zip(years, _VBC)]
-    columns += [
-        F.max(F.when(F.col("year") == year, F.lit(f"{year}-12-31"))).alias(
-            f"last_date_of_month{suffix}"
-        )
-        for year, suffix in years.items()
-    ]
+    def in_year(value: str, year: int, name: str):
+        return F.expr(f"max(CASE WHEN year = {year} THEN {value} END) AS {name}")
+
+    columns = [in_year(c, year, c + suffix) for c in monthly for year, suffix in years.items()]
+    for (year, suffix), vbc in zip(years.items(), _VBC):
+        columns.append(in_year("vbc_3g", year, vbc))
+        columns.append(in_year(f"'{year}-12-31'", year, f"last_date_of_month{suffix}"))
     usage = per_year.groupBy("o_custkey").agg(*columns)
     customers = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("mobile_number"),

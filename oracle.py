@@ -337,10 +337,10 @@ def statements() -> dict[str, str]:
     return {
         "wide_table": q(_wide(), usage),
         "wide_scan_csv": q(_wide(), usage),
-        "wide_to_long_detail": q("SELECT * FROM long", usage),
+        "wide_to_long": q("SELECT * FROM long", usage),
         "wide_to_long_union": q("SELECT * FROM long", usage),
         "wide_to_long_two_months": q(f"SELECT * FROM long {two_months}", usage),
-        "customer_month_summary": q(
+        "customer_month_kpi": q(
             f"""SELECT mobile_number, circle_id, aon, report_month,
               {CALLS} AS total_calls_mou, total_rech_amt, total_data_mb, arpu,
               CASE WHEN coalesce(total_rech_num, 0) > 0 THEN total_rech_amt / total_rech_num
@@ -354,26 +354,26 @@ def statements() -> dict[str, str]:
               CAST(coalesce(vol_3g_mb, 0) > 0 AS INTEGER) AS is_3g_user FROM long""",
             usage,
         ),
-        "region_month_summary": q(kpi_all, *kpi),
-        "region_month_summary_join": q(kpi_all, *kpi),
-        "region_score_table": q(
+        "region_month_kpi": q(kpi_all, *kpi),
+        "region_month_kpi_join": q(kpi_all, *kpi),
+        "region_scores": q(
             """SELECT circle_id, report_month, arpu_score, activity_score, data_score,
               composite_score FROM scored""",
             *rank,
         ),
-        "region_rank": q("SELECT * FROM ranking ORDER BY report_month, rank", *rank),
+        "region_ranking": q("SELECT * FROM ranking ORDER BY report_month, rank", *rank),
         "region_top5_month": q(
             "SELECT * FROM ranking WHERE report_month = '2014-09' ORDER BY rank LIMIT 5", *rank
         ),
-        "month_over_month_pairs": q("SELECT * FROM compared", *compared),
+        "month_over_month": q("SELECT * FROM compared", *compared),
         "month_over_month_lag": q("SELECT * FROM compared", *compared),
-        "usage_decline": q("SELECT * FROM alerts", *alerts),
+        "usage_decline_alerts": q("SELECT * FROM alerts", *alerts),
         "usage_decline_one_month": q(
             "SELECT * FROM alerts WHERE report_month = '2014-09'", *alerts
         ),
         "usage_decline_top500": q(f"SELECT * FROM alerts {top_alerts}", *alerts),
-        "silent_report": q("SELECT * FROM silent", *silent),
-        "silent_report_join": q("SELECT * FROM silent", *silent),
+        "silent_customers": q("SELECT * FROM silent", *silent),
+        "silent_customers_join": q("SELECT * FROM silent", *silent),
         "silent_top500": q(
             """SELECT * FROM silent
             ORDER BY prev_arpu DESC NULLS LAST, mobile_number, report_month LIMIT 500""",
@@ -406,16 +406,16 @@ def statements() -> dict[str, str]:
         "layer_counts": q(layers, *rank, _compared(), _alerts(), _silent()),
         "mart_parquet_pruned": q("SELECT * FROM alerts WHERE report_month = '2014-09'", *alerts),
         "extract_csv_roundtrip": q("SELECT * FROM ranking", *rank),
-        "usage_event_rows": q(narrow, usage),
-        "usage_event_rows_two_months": q(f"{narrow} {two_months}", usage),
-        "usage_event_rows_rich": q(f"{rich} FROM long", usage),
-        "usage_event_rows_narrowed": q(
+        "usage_events": q(narrow, usage),
+        "usage_events_two_months": q(f"{narrow} {two_months}", usage),
+        "usage_events_rich": q(f"{rich} FROM long", usage),
+        "usage_events_narrowed": q(
             f"""SELECT mobile_number, circle_id, report_month, {CALLS} AS total_calls,
               total_data_mb, coalesce(arpu, 0) AS arpu,
               coalesce(total_rech_amt, 0) AS total_rech_amt, {stamp} FROM long""",
             usage,
         ),
-        "event_messages_decoded": q(
+        "event_messages": q(
             f"{rich}, CAST(mobile_number AS VARCHAR) || '_' || report_month AS key FROM long",
             usage,
         ),
@@ -424,9 +424,9 @@ def statements() -> dict[str, str]:
               total_rech_amt, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS event_time FROM ev""",
             events,
         ),
-        "window_risk_day": q(f"SELECT {RISK_COLUMNS} FROM graded", *day),
+        "window_risk": q(f"SELECT {RISK_COLUMNS} FROM graded", *day),
         "window_risk_5min": q(f"SELECT {RISK_COLUMNS} FROM graded", *five),
-        "risk_alert_rows": q(
+        "risk_alerts": q(
             f"SELECT {RISK_COLUMNS} FROM graded WHERE alert_level <> 'INFO'", *day
         ),
         "risk_alert_stream": q(
@@ -435,7 +435,7 @@ def statements() -> dict[str, str]:
         "risk_alert_late": q(
             f"SELECT {RISK_COLUMNS} FROM graded WHERE alert_level <> 'INFO'", *day
         ),
-        "window_statistics": q("SELECT * FROM stats", *day),
+        "window_stats": q("SELECT * FROM stats", *day),
         "window_stats_stream": q("SELECT * FROM stats", *day),
         "alert_summary": q(
             """SELECT CAST(sum(total_events) AS BIGINT) AS total_events, count(*) AS windows,
