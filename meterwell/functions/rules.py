@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from meterwell import wording as T
 from meterwell.functions.values import flag, percent_text, zero
@@ -37,9 +36,11 @@ def activity_flags(data: Column) -> dict[str, Column]:
 
 def min_max_score(name: str, flat: float) -> Column:
     """0-100 position of a value between the month's minimum and maximum."""
-    month = Window.partitionBy("report_month")
-    low, high = F.min(name).over(month), F.max(name).over(month)
-    return F.when(low == high, F.lit(flat)).otherwise((F.col(name) - low) / (high - low) * 100)
+    low, high = (f"{f}({name}) OVER (PARTITION BY report_month)" for f in ("min", "max"))
+    return F.expr(
+        f"CASE WHEN {low} = {high} THEN {flat}D "
+        f"ELSE ({name} - {low}) / ({high} - {low}) * 100 END"
+    )
 
 
 def value_band(arpu: str, high, medium, low, s: Settings) -> Column:

@@ -33,24 +33,23 @@ def flag(condition: Column) -> Column:
     return F.when(condition, 1).otherwise(0)
 
 
-def exact_sum(c: str | Column) -> Column:
-    """Sum of doubles that does not depend on row order.
+def exact_sum(value: str) -> Column:
+    """Sum of doubles that does not depend on row order; `value` is SQL text.
 
     Whole part and millionths are summed as two long counters, so retries,
     partition counts and skew splits all give the same bits, at the speed of a
     plain double sum. NaN counts as missing. Null when no value is present, like
     `sum`.
     """
-    value = _present(c)
-    whole = F.floor(value)
-    millionths = F.floor((value - whole) * UNITS + 0.5)
-    units = F.sum(whole).cast("decimal(20,0)") * UNITS + F.sum(millionths)
-    return units.cast("double") / UNITS
+    x = f"nanvl(CAST({value} AS DOUBLE), NULL)"
+    whole = f"CAST(sum(floor({x})) AS DECIMAL(20, 0))"
+    millionths = f"sum(floor(({x} - floor({x})) * {UNITS} + 0.5D))"
+    return F.expr(f"CAST({whole} * {UNITS} + {millionths} AS DOUBLE) / {UNITS}")
 
 
-def exact_avg(c: str | Column) -> Column:
+def exact_avg(value: str) -> Column:
     """Mean over present values, built on `exact_sum`; null when there are none."""
-    return F.try_divide(exact_sum(c), F.count(_present(c)))
+    return F.try_divide(exact_sum(value), F.expr(f"count(nanvl(CAST({value} AS DOUBLE), NULL))"))
 
 
 def ratio(part: str | Column, whole: str | Column, digits: int) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from meterwell.functions.rules import calls, min_max_score, roaming
-from meterwell.functions.values import exact_avg, exact_sum, ratio, zero
+from meterwell.functions.values import exact_avg, exact_sum, ratio
 from meterwell.settings import DEFAULTS, Settings
 
 GRAIN = ["circle_id", "report_month"]
@@ -43,12 +43,12 @@ def _totals() -> dict[str, Column]:
         "total_customers": F.count("mobile_number"),
         "active_customers": F.sum("is_active"),
         "avg_tenure_days": F.avg("aon"),
-        "total_og_mou": exact_sum(zero("total_og_mou")),
-        "total_ic_mou": exact_sum(zero("total_ic_mou")),
-        "total_recharge_amt": exact_sum(zero("total_rech_amt")),
+        "total_og_mou": exact_sum("nvl(total_og_mou, 0)"),
+        "total_ic_mou": exact_sum("nvl(total_ic_mou, 0)"),
+        "total_recharge_amt": exact_sum("nvl(total_rech_amt, 0)"),
         "avg_arpu": exact_avg("arpu"),
-        "total_2g_mb": exact_sum(zero("vol_2g_mb")),
-        "total_3g_mb": exact_sum(zero("vol_3g_mb")),
+        "total_2g_mb": exact_sum("nvl(vol_2g_mb, 0)"),
+        "total_3g_mb": exact_sum("nvl(vol_3g_mb, 0)"),
     }
 
 

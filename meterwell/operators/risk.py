@@ -24,23 +24,24 @@ def region_windows(
     keeps those counters as its only state. `customer_count` counts events.
     """
     size = f"{window_seconds or settings.window_seconds} seconds"
-    minutes, data, arpu = number("total_calls"), number("total_data_mb"), number("arpu")
-    silent = (minutes == 0) & (data == 0)
-    high_value = arpu >= settings.arpu_high
-    aggregates: dict[str, Column] = {
-        "customer_count": F.count("*"),
-        "avg_calls": F.round(exact_avg(minutes), 2),
-        "avg_data_mb": F.round(exact_avg(data), 2),
-        "mean_arpu": exact_avg(arpu),
-        "total_recharge": F.round(exact_sum(number("total_rech_amt")), 2),
-        "silent_count": F.count_if(silent),
-        "zero_call_count": F.count_if(minutes == 0),
-        "zero_data_count": F.count_if(data == 0),
-        "high_value_count": F.count_if(high_value),
-        "high_value_silent_count": F.count_if(high_value & silent),
+    measures = ("total_calls", "total_data_mb", "arpu", "total_rech_amt")
+    clean = events.withColumns({m: number(m) for m in measures})
+    silent = "total_calls = 0 AND total_data_mb = 0"
+    high_value = f"arpu >= {settings.arpu_high}D"
+    counters = {
+        "silent_count": silent,
+        "zero_call_count": "total_calls = 0",
+        "zero_data_count": "total_data_mb = 0",
+        "high_value_count": high_value,
+        "high_value_silent_count": f"{high_value} AND {silent}",
     }
-    return events.groupBy(F.window("event_time", size).alias("window"), "circle_id").agg(
-        *(c.alias(name) for name, c in aggregates.items())
+    return clean.groupBy(F.window("event_time", size).alias("window"), "circle_id").agg(
+        F.count("*").alias("customer_count"),
+        F.round(exact_avg("total_calls"), 2).alias("avg_calls"),
+        F.round(exact_avg("total_data_mb"), 2).alias("avg_data_mb"),
+        exact_avg("arpu").alias("mean_arpu"),
+        F.round(exact_sum("total_rech_amt"), 2).alias("total_recharge"),
+        *(F.expr(f"count_if({condition}) AS {name}") for name, condition in counters.items()),
     )
 
 

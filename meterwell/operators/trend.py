@@ -6,7 +6,6 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from meterwell import wording as T
 from meterwell.functions.rules import (
@@ -18,6 +17,7 @@ from meterwell.functions.rules import (
     value_band,
 )
 from meterwell.functions.values import decline, zero
+from meterwell.operators.neighbours import CROWD, with_previous_row
 from meterwell.operators.reshape import unpivot
 from meterwell.settings import DEFAULTS, Settings
 
@@ -100,17 +100,20 @@ def month_over_month(
     )
 
 
-def month_over_month_long(long: DataFrame) -> DataFrame:
-    """The same columns from the long table, by `lag` over each customer's months.
+def month_over_month_long(long: DataFrame, crowd: int = CROWD) -> DataFrame:
+    """The same columns from the long table, by looking at each customer's row before.
 
-    For callers that only have the long table. Shuffles and sorts by customer,
-    and expects one row per customer and month, so a group is a customer's months.
+    For callers that only have the long table. Shuffles and sorts by customer; an
+    id on more than `crowd` rows is split over many tasks.
     """
-    history = Window.partitionBy("mobile_number").orderBy("report_month")
-    return long.withColumns(
+    needed = [c for c in COMPARED_COLUMNS if c in long.columns]
+    paired = with_previous_row(
+        long.select(*needed), "mobile_number", "report_month", ["report_month", *MOVING], crowd
+    )
+    return paired.withColumns(
         {
-            "prev_month": F.lag("report_month").over(history),
-            **{prev: F.lag(now).over(history) for now, prev in PREVIOUS.items()},
+            "prev_month": F.col("before.report_month"),
+            **{prev: F.col(f"before.{now}") for now, prev in PREVIOUS.items()},
         }
     ).select(*COMPARED_COLUMNS)
 

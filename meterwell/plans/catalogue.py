@@ -236,7 +236,7 @@ def layer_counts(spark, sf_dir):
 def mart_parquet_pruned(spark, sf_dir):
     root = scratch_dir(spark, "mart")
     alerts = trend.usage_decline_alerts(_compared(spark, sf_dir), ordered=False)
-    write_table(alerts, root, pipeline.ALERTS, small=True)
+    write_table(alerts, root, pipeline.ALERTS)
     return read_table(spark, root, pipeline.ALERTS, months=[MONTH])
 
 

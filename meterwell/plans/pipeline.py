@@ -45,36 +45,42 @@ def run_pipeline(
     root: str,
     settings: Settings = DEFAULTS,
     months: Iterable[str] | None = None,
+    store_raw: bool = True,
 ) -> dict[str, str]:
     """Write every layer below `root`; returns table name -> path.
 
     Each layer is written once and read back by the next, so the input is read
     once and a lost executor costs only its own tasks. The month-over-month
     reports read the stored wide rows, which hold both months, and so need no
-    shuffle by customer. With `months` only those months' partitions are
-    replaced.
+    shuffle by customer. With `months` only those months' partitions of the
+    layers after the raw one are replaced. Pass `store_raw=False` when `wide` is
+    the stored raw table.
     """
     spark = wide.sparkSession
-    paths = {RAW_TABLE: write_table(wide, root, RAW_TABLE)}
-    stored = read_table(spark, root, RAW_TABLE)
+    months = None if months is None else list(months)
+    paths: dict[str, str] = {}
+    stored = wide
+    if store_raw:
+        paths[RAW_TABLE] = write_table(wide, root, RAW_TABLE)
+        stored = read_table(spark, root, RAW_TABLE)
 
-    def save(df: DataFrame, name: str, small: bool = False) -> DataFrame:
-        paths[name] = write_table(df, root, name, small)
+    def save(df: DataFrame, name: str, pack: bool = True) -> DataFrame:
+        paths[name] = write_table(df, root, name, pack, replace_all=months is None)
         return read_table(spark, root, name, months)
 
-    long = save(wide_to_long(stored, settings, months), DETAIL_TABLE)
-    save(customer_month_kpi(long, settings), CUSTOMER_KPI)
-    kpi = save(region_month_kpi(long, settings), REGION_KPI, small=True)
-    ranking = save(region_ranking(kpi, settings, ordered=False), RANKING, small=True)
-
+    long = save(wide_to_long(stored, settings, months), DETAIL_TABLE, pack=False)
+    save(customer_month_kpi(long, settings), CUSTOMER_KPI, pack=False)
+    kpi = save(region_month_kpi(long, settings), REGION_KPI)
+    save(region_ranking(kpi, settings, ordered=False), RANKING)
     compared = month_over_month(stored, settings, months)
-    alerts = save(usage_decline_alerts(compared, settings, ordered=False), ALERTS, small=True)
-    silent = save(silent_customers(compared, settings, ordered=False), SILENT, small=True)
+    save(usage_decline_alerts(compared, settings, ordered=False), ALERTS)
+    save(silent_customers(compared, settings, ordered=False), SILENT)
 
+    # Extracts cover every month the tables hold.
     extracts = {
-        "circle_ranking": ranking.orderBy("report_month", "rank"),
-        "decline_alerts": top_alerts(alerts, settings),
-        "silent_customers": top_silent(silent, settings),
+        "circle_ranking": read_table(spark, root, RANKING).orderBy("report_month", "rank"),
+        "decline_alerts": top_alerts(read_table(spark, root, ALERTS), settings),
+        "silent_customers": top_silent(read_table(spark, root, SILENT), settings),
     }
     for name, df in extracts.items():
         paths[name] = write_extract(df, f"{root.rstrip('/')}/extracts/{name}")

@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as t
 
 from meterwell.schemas import PARTITIONED_BY, TABLES, mismatches
 
@@ -14,12 +15,18 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def write_table(df: DataFrame, root: str, name: str, small: bool = False) -> str:
+def write_table(
+    df: DataFrame, root: str, name: str, pack: bool = True, replace_all: bool = True
+) -> str:
     """Write one warehouse table and return its path.
 
-    Only the partitions present in `df` are replaced, so a run for one month
-    leaves the others alone. `small` packs a report into few files; detail-sized
-    tables are written by the tasks that computed them, without a shuffle.
+    `replace_all` drops what was there; otherwise only the partitions present in
+    `df` are replaced, so a run for one month leaves the others alone.
+
+    `pack` shuffles rows to their partition first, into files of the session's
+    advisory size: few files, and a partition value that holds most rows is
+    still spread over many tasks. Without it each task writes a file for every
+    partition value it meets, which suits tables of a few large partitions.
     """
     if name in TABLES:
         wrong = mismatches(df.schema, TABLES[name])
@@ -27,10 +34,10 @@ def write_table(df: DataFrame, root: str, name: str, small: bool = False) -> str
             raise ValueError(f"{name} does not fit its contract: " + "; ".join(wrong))
     by = PARTITIONED_BY[name]
     path = table_path(root, name)
-    out = df.hint("rebalance", F.col(by)) if small else df
+    out = df.hint("rebalance", F.col(by)) if pack else df
     (
         out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
         .option("compression", "snappy")
         .partitionBy(by)
         .parquet(path)
@@ -38,20 +45,22 @@ def write_table(df: DataFrame, root: str, name: str, small: bool = False) -> str
     return path
 
 
-def read_table(
-    spark: SparkSession, root: str, name: str, months: Iterable[str] | None = None
-) -> DataFrame:
-    """A warehouse table; `months` prunes to those partitions.
+def stored_schema(spark: SparkSession, root: str, name: str) -> t.StructType:
+    """Declared columns, or the file columns of a table without a contract.
 
-    The partition column is read as text. Tables with a declared contract come
-    back in its column order.
+    The partition column comes last and is text, whatever its values look like.
     """
     by = PARTITIONED_BY[name]
-    path = table_path(root, name)
-    stored = spark.read.parquet(path)
-    fields = [f for f in stored.schema.fields if f.name != by]
-    schema = stored.schema.__class__(fields).add(by, "string")
-    df = spark.read.schema(schema).parquet(path)
+    known = TABLES.get(name) or spark.read.parquet(table_path(root, name)).schema
+    return t.StructType([f for f in known.fields if f.name != by]).add(by, "string")
+
+
+def read_table(
+    spark: SparkSession, root: str, name: str, months: Iterable[str] | None = None
+) -> DataFrame:
+    """A warehouse table; `months` prunes to those partitions."""
+    schema = stored_schema(spark, root, name)
+    df = spark.read.schema(schema).parquet(table_path(root, name))
     if months is not None:
         df = df.filter(F.col("report_month").isin(*months))
     return df.select(*TABLES[name].names) if name in TABLES else df
@@ -69,11 +78,13 @@ def register_tables(
     for name in names or PARTITIONED_BY:
         full = f"`{database}`.`{name}`"
         by = PARTITIONED_BY[name]
-        fields = [f for f in read_table(spark, root, name).schema.fields if f.name != by]
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        columns = ", ".join(
+            f"`{f.name}` {f.dataType.simpleString()}"
+            for f in stored_schema(spark, root, name).fields
+        )
         spark.sql(f"DROP TABLE IF EXISTS {full}")
         spark.sql(
-            f"CREATE TABLE {full} ({columns}, `{by}` string) USING parquet "
+            f"CREATE TABLE {full} ({columns}) USING parquet "
             f"PARTITIONED BY (`{by}`) LOCATION '{table_path(root, name)}'"
         )
         spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
