@@ -64,6 +64,19 @@ def read_alerts(spark: SparkSession, out_dir: str) -> DataFrame:
     return spark.read.schema(RISK_ALERT).json(out_dir)
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows the watermark dropped so far, from the query's kept progress.
+
+    Spark counts rows after its per-task pre-aggregation, so several late events
+    of one window and region may count once.
+    """
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )
+
+
 def heartbeat(
     events: DataFrame, settings: Settings = DEFAULTS, window_seconds: int | None = None
 ) -> DataFrame:
