@@ -66,6 +66,13 @@ def read_table(
     return df.select(*TABLES[name].names) if name in TABLES else df
 
 
+def read_table_if_written(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """The table, or None before its first run."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(table_path(root, name))
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return read_table(spark, root, name) if files.exists(path) else None
+
+
 def register_tables(
     spark: SparkSession, root: str, database: str, names: Iterable[str] | None = None
 ) -> list[str]:

@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .appName("meterwell-tests")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -8,7 +8,12 @@ from meterwell.plans.pipeline import ALERTS, LAYERS, RANKING, SILENT, layer_coun
 from meterwell.schemas import DETAIL_TABLE, RAW_TABLE, TABLES, mismatches, wide_schema
 from meterwell.sources.extracts import read_extract
 from meterwell.sources.scratch import scratch_dir
-from meterwell.sources.tables import read_table, register_tables, write_table
+from meterwell.sources.tables import (
+    read_table,
+    read_table_if_written,
+    register_tables,
+    write_table,
+)
 from meterwell.sources.wide_csv import read_csv_inferred, read_wide_csv, write_wide_csv
 
 from helpers import operators, plan, same, wide_frame
@@ -83,6 +88,12 @@ def test_catalog_tables(spark, warehouse):
     assert read_table(spark, root, RANKING).count() == 100
 
 
+def test_table_before_its_first_run(spark, warehouse):
+    root, _ = warehouse
+    assert read_table_if_written(spark, root, RANKING).count() == 100
+    assert read_table_if_written(spark, scratch_dir(spark, "empty"), RANKING) is None
+
+
 def test_saved_reports(spark, warehouse):
     root, _ = warehouse
     top = reports.top_regions(read_table(spark, root, RANKING), "2014-09").collect()
