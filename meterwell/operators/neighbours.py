@@ -59,14 +59,19 @@ def _by_segments(rows: DataFrame, key: str, order: str) -> DataFrame:
     )
 
     inside = Window.partitionBy(*place).orderBy("_tie", "_here")
-    local = distinct.withColumn("_local", F.lag("_here").over(inside))
+    local = distinct.withColumns(
+        {
+            "_local": F.lag("_here").over(inside),
+            "_last": F.lead(F.lit(1)).over(inside).isNull(),
+        }
+    )
 
-    # One row per segment: at most 256 for each key and order value.
-    ends = distinct.groupBy(*place).agg(F.max(F.struct("_tie", "_here")).alias("_end"))
+    # One row per segment: at most 256 for each key and order value. Taken from
+    # the windowed rows, so both branches share one shuffle.
     across = Window.partitionBy(key).orderBy(order, "_segment")
-    carried = ends.select(
+    carried = local.filter("_last").select(
         *(F.col(c).alias(f"_c{i}") for i, c in enumerate(place)),
-        F.lag("_end._here").over(across).alias("_carried"),
+        F.lag("_here").over(across).alias("_carried"),
     )
     same_place = [F.col(c).eqNullSafe(F.col(f"_c{i}")) for i, c in enumerate(place)]
     paired = local.join(carried, same_place[0] & same_place[1] & same_place[2]).withColumn(

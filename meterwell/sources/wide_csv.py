@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as t
 
 from meterwell.schemas import MONTHLY_INTS, STATIC_INTS
@@ -39,21 +38,14 @@ def read_wide_csv(spark: SparkSession, path: str, settings: Settings = DEFAULTS)
     """
     header = spark.read.option("header", True).csv(path).columns
     types = wide_types(header, settings)
+    whole = t.IntegerType()
     as_read = t.StructType(
-        [
-            t.StructField(n, t.DoubleType() if k == t.IntegerType() else k)
-            for n, k in types.items()
-        ]
+        [t.StructField(n, t.DoubleType() if k == whole else k) for n, k in types.items()]
+    )
+    raw = spark.read.schema(as_read).option("header", True).option("nullValue", "NaN").csv(path)
+    return raw.selectExpr(
+        *(f"CAST(`{n}` AS INT) AS `{n}`" if k == whole else f"`{n}`" for n, k in types.items())
     )
-    raw = spark.read.schema(as_read).option("header", True).csv(path)
-
-    def column(name: str, kind: t.DataType):
-        value = F.col(f"`{name}`")
-        if kind in (t.DoubleType(), t.IntegerType()):
-            value = F.nanvl(value, F.lit(None).cast("double")).cast(kind)
-        return value.alias(name)
-
-    return raw.select(*(column(n, k) for n, k in types.items()))
 
 
 def write_wide_csv(wide: DataFrame, path: str) -> None:
