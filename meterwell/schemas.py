@@ -203,6 +203,28 @@ TABLES: dict[str, t.StructType] = {
 RAW_TABLE = "ods_telecom_raw"
 DETAIL_TABLE = "dwd_customer_monthly"
 
+
+def declared_schema(name: str, settings: Settings = DEFAULTS) -> t.StructType:
+    """Columns a table has before anything is written to it.
+
+    The raw and the detail table take further metrics from their input.
+    """
+    if name == RAW_TABLE:
+        return wide_schema(settings)
+    if name == DETAIL_TABLE:
+        return struct(
+            **_CUSTOMER,
+            **_all("double", MONTHLY_DOUBLES),
+            **_all("int", MONTHLY_INTS),
+            report_month="string",
+            total_data_mb="double",
+            is_active_call="int",
+            is_active_data="int",
+            is_active="int",
+        )
+    return TABLES[name]
+
+
 # Partition column of every warehouse table.
 PARTITIONED_BY = {RAW_TABLE: "circle_id", DETAIL_TABLE: "report_month"} | dict.fromkeys(
     TABLES, "report_month"

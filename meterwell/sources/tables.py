@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as t
 
-from meterwell.schemas import PARTITIONED_BY, TABLES, mismatches
+from meterwell.schemas import PARTITIONED_BY, TABLES, declared_schema, mismatches
 
 
 def table_path(root: str, name: str) -> str:
@@ -45,13 +45,21 @@ def write_table(
     return path
 
 
+def is_written(spark: SparkSession, root: str, name: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(table_path(root, name))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def stored_schema(spark: SparkSession, root: str, name: str) -> t.StructType:
-    """Declared columns, or the file columns of a table without a contract.
+    """Declared columns, or the file columns of a table that takes further metrics.
 
     The partition column comes last and is text, whatever its values look like.
     """
     by = PARTITIONED_BY[name]
-    known = TABLES.get(name) or spark.read.parquet(table_path(root, name)).schema
+    if name in TABLES or not is_written(spark, root, name):
+        known = declared_schema(name)
+    else:
+        known = spark.read.parquet(table_path(root, name)).schema
     return t.StructType([f for f in known.fields if f.name != by]).add(by, "string")
 
 
@@ -68,17 +76,16 @@ def read_table(
 
 def read_table_if_written(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     """The table, or None before its first run."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(table_path(root, name))
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return read_table(spark, root, name) if files.exists(path) else None
+    return read_table(spark, root, name) if is_written(spark, root, name) else None
 
 
 def register_tables(
     spark: SparkSession, root: str, database: str, names: Iterable[str] | None = None
 ) -> list[str]:
-    """Declare the written tables in the session catalog, replacing older ones.
+    """Declare the warehouse tables in the session catalog, replacing older ones.
 
-    External tables: dropping them leaves the files.
+    External tables: dropping them leaves the files, and they may be declared
+    before the first run writes any.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     done = []
@@ -94,6 +101,7 @@ def register_tables(
             f"CREATE TABLE {full} ({columns}) USING parquet "
             f"PARTITIONED BY (`{by}`) LOCATION '{table_path(root, name)}'"
         )
-        spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
+        if is_written(spark, root, name):
+            spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
         done.append(f"{database}.{name}")
     return done

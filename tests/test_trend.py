@@ -109,6 +109,22 @@ def test_join_form_does_not_multiply_repeated_keys(spark):
     assert silent_customers_by_join(long, compared).count() == 80
 
 
+def test_repeated_and_null_ids_keep_every_row(spark):
+    """A third of the rows share an id, another third has none; each row is its own pair."""
+    rows = [
+        {"mobile_number": key, "circle_id": "a", "total_og_mou_6": 100, "total_og_mou_7": i % 3}
+        for i, key in enumerate([7] * 40 + [None] * 40 + list(range(100, 140)))
+    ]
+    wide = wide_frame(spark, rows)
+    compared = month_over_month(wide, months=["2014-07"])
+    assert compared.count() == 120
+    alerts = usage_decline_alerts(compared)
+    assert alerts.count() == 120 and alerts.filter("prev_calls_mou <> 100").count() == 0
+    assert silent_customers(compared).count() == 40
+    long = wide_to_long(wide, months=["2014-06", "2014-07"])
+    assert month_over_month_long(long, crowd=20).count() == 240
+
+
 def test_alerts_are_long_rows_and_silent_are_inactive(stored_wide):
     compared = month_over_month(stored_wide)
     long = wide_to_long(stored_wide)

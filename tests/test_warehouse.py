@@ -88,6 +88,15 @@ def test_catalog_tables(spark, warehouse):
     assert read_table(spark, root, RANKING).count() == 100
 
 
+def test_catalog_tables_before_the_first_run(spark, stored_wide):
+    root = scratch_dir(spark, "declared")
+    register_tables(spark, root, "declared_marts")
+    detail = spark.table(f"declared_marts.{DETAIL_TABLE}")
+    assert detail.count() == 0 and detail.columns[-1] == "report_month"
+    assert len(spark.table(f"declared_marts.{RAW_TABLE}").columns) == 110
+    spark.sql("DROP DATABASE declared_marts CASCADE")
+
+
 def test_table_before_its_first_run(spark, warehouse):
     root, _ = warehouse
     assert read_table_if_written(spark, root, RANKING).count() == 100
