@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,22 +70,35 @@ def run_pipeline(
         paths[name] = write_table(df, root, name, pack, replace_all=months is None)
         return read_table(spark, root, name, months)
 
-    long = save(wide_to_long(stored, settings, months), DETAIL_TABLE, pack=False)
-    save(customer_month_kpi(long, settings), CUSTOMER_KPI, pack=False)
-    kpi = save(region_month_kpi(long, settings), REGION_KPI)
-    save(region_ranking(kpi, settings, ordered=False), RANKING)
-    compared = month_over_month(stored, settings, months)
-    save(usage_decline_alerts(compared, settings, ordered=False), ALERTS)
-    save(silent_customers(compared, settings, ordered=False), SILENT)
+    def extract(name: str, df: DataFrame) -> None:
+        paths[name] = write_extract(df, f"{root.rstrip('/')}/extracts/{name}")
 
     # Extracts cover every month the tables hold.
-    extracts = {
-        "circle_ranking": read_table(spark, root, RANKING).orderBy("report_month", "rank"),
-        "decline_alerts": top_alerts(read_table(spark, root, ALERTS), settings),
-        "silent_customers": top_silent(read_table(spark, root, SILENT), settings),
-    }
-    for name, df in extracts.items():
-        paths[name] = write_extract(df, f"{root.rstrip('/')}/extracts/{name}")
+    def summaries() -> None:
+        long = save(wide_to_long(stored, settings, months), DETAIL_TABLE, pack=False)
+        save(customer_month_kpi(long, settings), CUSTOMER_KPI, pack=False)
+        kpi = save(region_month_kpi(long, settings), REGION_KPI)
+        save(region_ranking(kpi, settings, ordered=False), RANKING)
+        ranking = read_table(spark, root, RANKING)
+        extract("circle_ranking", ranking.orderBy("report_month", "rank"))
+
+    def declines() -> None:
+        compared = month_over_month(stored, settings, months)
+        save(usage_decline_alerts(compared, settings, ordered=False), ALERTS)
+        extract("decline_alerts", top_alerts(read_table(spark, root, ALERTS), settings))
+
+    def silences() -> None:
+        compared = month_over_month(stored, settings, months)
+        save(silent_customers(compared, settings, ordered=False), SILENT)
+        extract("silent_customers", top_silent(read_table(spark, root, SILENT), settings))
+
+    # Three independent chains from the raw table, submitted side by side so that
+    # one chain's last tasks do not leave the cluster idle.
+    in_session = inheritable_thread_target(spark)
+    chains = [in_session(chain) for chain in (summaries, declines, silences)]
+    with ThreadPoolExecutor(len(chains)) as pool:
+        for done in [pool.submit(chain) for chain in chains]:
+            done.result()
     return paths
 
 
