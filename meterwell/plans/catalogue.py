@@ -24,6 +24,7 @@ from meterwell.operators import (
 from meterwell.operators.events import ISO_MICROS
 from meterwell.plans import pipeline
 from meterwell.schemas import RICH_EVENT, TABLES
+from meterwell.session import stream_session
 from meterwell.sources.extracts import read_extract, write_extract
 from meterwell.sources.messages import (
     append_event_files,
@@ -341,7 +342,7 @@ def _event_folder(spark: SparkSession, sf_dir: str, window_seconds: int) -> str:
 def risk_alert_stream(spark, sf_dir):
     source = _event_folder(spark, sf_dir, DAY)
     out, state = scratch_dir(spark, "alerts"), scratch_dir(spark, "state")
-    alerts = alert_stream(stream_event_files(spark, source), window_seconds=DAY)
+    alerts = alert_stream(stream_event_files(stream_session(spark), source), window_seconds=DAY)
     start_json_sink(alerts, out, state, available_now=True).awaitTermination()
     return read_alerts(spark, out)
 
@@ -354,7 +355,7 @@ def risk_alert_late(spark, sf_dir):
     for late in (False, True):
         if late:
             append_event_files(star_events(spark, sf_dir), source)
-        alerts = alert_stream(stream_event_files(spark, source), window_seconds=DAY)
+        alerts = alert_stream(stream_event_files(stream_session(spark), source), window_seconds=DAY)
         start_json_sink(alerts, out, state, available_now=True).awaitTermination()
     return read_alerts(spark, out)
 
@@ -363,7 +364,7 @@ def risk_alert_late(spark, sf_dir):
 def window_stats_stream(spark, sf_dir):
     source = _event_folder(spark, sf_dir, DAY)
     out, state = scratch_dir(spark, "stats"), scratch_dir(spark, "state")
-    stats = stats_stream(stream_event_files(spark, source), window_seconds=DAY)
+    stats = stats_stream(stream_event_files(stream_session(spark), source), window_seconds=DAY)
     start_json_sink(stats, out, state, available_now=True).awaitTermination()
     return spark.read.schema(stats.schema).json(out)
 

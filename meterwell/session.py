@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import SparkSession
+
 # Batch: let adaptive execution size, merge and split shuffle partitions. The
 # initial number is an upper bound that adaptive execution merges down from.
 BATCH = {
@@ -26,3 +28,19 @@ STREAM = {
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
+
+
+def stream_session(spark: SparkSession) -> SparkSession:
+    """A session for one stream, with no more state stores than cores to run them.
+
+    A stream keeps the partition number it first ran with, and the state here is
+    small, so the batch session's number would only add empty stores per batch.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    stores = min(
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        spark.sparkContext.defaultParallelism,
+    )
+    own.conf.set("spark.sql.shuffle.partitions", str(stores))
+    return own
