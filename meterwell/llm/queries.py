@@ -5,21 +5,49 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from meterwell.llm import simhash
+from meterwell.llm import language, lines, mixing, packing, simhash
 from meterwell.llm.tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir))
+
+
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(documents(spark, sf_dir))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(documents(spark, sf_dir)).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(documents(spark, sf_dir))
+
+
+_QUERIES = (
+    op2_best_fit_packing,
+    op4_source_mixing,
+    op7_line_dedup,
+    op8_simhash_near_dedup,
+    op10_language_id,
+)
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op8_simhash_near_dedup,)}
+    return {query.__name__: query for query in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that it can express."""
-    return {}
+    return {op4_source_mixing.__name__: mixing.SQL, op7_line_dedup.__name__: lines.SQL}
