@@ -212,7 +212,7 @@ def predict(
     was learned.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vars(trees))
-    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    own = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = Trees(**shared.value)
@@ -220,8 +220,12 @@ def predict(
             for at in range(0, len(batch), 1000):
                 yield _scored(batch.iloc[at : at + 1000], model)
 
-    schema = f"id {dict(own.dtypes)['id']}, lang_pred string, score double, bits double, n_bytes long"
-    return own.mapInPandas(score, schema).withColumnRenamed("id", id_col)
+    found = own.mapInPandas(
+        score, "id string, lang_pred string, score double, bits double, n_bytes long"
+    )
+    return found.select(
+        F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), *found.columns[1:]
+    )
 
 
 def _scored(batch: pd.DataFrame, trees: Trees) -> pd.DataFrame:

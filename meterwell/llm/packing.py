@@ -25,31 +25,55 @@ STEPS = 4_000
 REMEMBERED = 500_000
 TOGETHER = 256
 
-_PIECES = "id {id}, piece int, start long, length long, ids_crc32 long"
+_PIECES = "id string, piece int, start long, length long, ids_crc32 long"
 _PACKED = f"{_PIECES}, sequence_id long, offset long"
 
 
+def _byte_characters() -> dict[str, int]:
+    """The character that stands for each byte in a byte-level vocabulary.
+
+    Visible Latin-1 characters stand for themselves, the other bytes in order for the
+    characters from U+0100 on.
+    """
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(visible)]
+    return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
 class Encoder:
     """Token ids of whole texts as little-endian bytes, with a bounded memory of words.
 
     The pre-tokenizer never puts what comes before a space into one token with the
     space, unless that is white space too. So a text without white space before a
     space is cut at its spaces, and each word, with the space before it, is encoded
-    once and looked up afterwards. New words are encoded together; the lengths of
-    their tokens tell which ids belong to which word. Other texts are encoded whole.
+    once and looked up afterwards. New words are encoded together by a faster library
+    with the same vocabulary; the lengths of their tokens tell which ids belong to which
+    word. Other texts, and those that spell a special token, are encoded whole.
     """
 
     _white_before_space = re.compile(r"\s ")
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
-        # Byte-level vocabulary: one character of a token stands for one byte.
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Byte-level vocabulary: one character of a token stands for one byte, and a merge
+        # ranks as its result is numbered.
+        byte_of = _byte_characters()
+        ranks = {
+            bytes(map(byte_of.__getitem__, token)): number
+            for token, number in vocabulary.items()
+            if token not in self.special
+        }
         self.widths = np.zeros(max(vocabulary.values()) + 1, np.int64)
-        for token, number in vocabulary.items():
+        for token, number in ranks.items():
             self.widths[number] = len(token)
+        self.fast = tiktoken.Encoding(
+            "words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        )
         self.words: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
@@ -61,9 +85,7 @@ class Encoder:
             self.words.clear()
         for at in range(0, len(words), 4096):
             some = words[at : at + 4096]
-            ids = np.array(
-                self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, "<u4"
-            )
+            ids = np.array(self.fast.encode_ordinary(" " + " ".join(some)), "<u4")
             upto = np.cumsum(self.widths[ids])
             ends = np.cumsum([len(w.encode("utf-8", "replace")) + 1 for w in some])
             cuts = np.searchsorted(upto, ends)
@@ -80,6 +102,8 @@ class Encoder:
         """The text cut at its spaces, or None if words can't be encoded one by one."""
         if text[:1] == " " or text[-1:] == " " or self._white_before_space.search(text):
             return None
+        if any(token in text for token in self.special):
+            return None
         return text.split(" ")
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
@@ -114,7 +138,7 @@ def token_pieces(
 ) -> DataFrame:
     """(id, piece, start, length, ids_crc32): every document as pieces of at most `capacity` tokens."""
     path = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
-    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    own = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
     end = np.array([END], "<u4").tobytes()
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -129,7 +153,7 @@ def token_pieces(
                         rows.append((id_, i, start, length, crc))
                 yield pd.DataFrame(rows, columns=["id", "piece", "start", "length", "ids_crc32"])
 
-    return own.mapInPandas(pieces, _PIECES.format(id=dict(own.dtypes)["id"]))
+    return own.mapInPandas(pieces, _PIECES)
 
 
 def best_fit(lengths: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
@@ -282,6 +306,7 @@ def pack(
     # Row numbers come from the written files, so a task that runs again deals alike.
     rows = pieces.withColumn("row", F.monotonically_increasing_id())
     rows = rows.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)))
-    schema = _PACKED.format(id=dict(pieces.dtypes)["id"])
-    packed = rows.groupBy("block").applyInPandas(lambda b: _packed(b, capacity, steps), schema)
-    return packed.withColumnRenamed("id", id_col)
+    packed = rows.groupBy("block").applyInPandas(lambda b: _packed(b, capacity, steps), _PACKED)
+    return packed.select(
+        F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), *packed.columns[1:]
+    )
