@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterwell.llm import language, lines, mixing, packing, simhash
+from meterwell.llm import language, lines, mixing, packing, passages, secrets, simhash, sketches
 from meterwell.llm.tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,10 +17,20 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.fingerprints(documents(spark, sf_dir))
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(documents(spark, sf_dir))
 
 
+def op6_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.remove_repeated_passages(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(documents(spark, sf_dir)).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
@@ -31,15 +41,26 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(documents(spark, sf_dir))
+    digest = F.sha2("base_spans", 256).alias("base_sha256")
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", digest, "spans", "n_live", "n_copied"
+    )
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents(spark, sf_dir))
 
 
 _QUERIES = (
     op2_best_fit_packing,
+    op3_document_fingerprints,
     op4_source_mixing,
+    op6_passage_dedup,
     op7_line_dedup,
     op8_simhash_near_dedup,
+    op9_secret_scan,
     op10_language_id,
 )
 
@@ -50,4 +71,9 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that it can express."""
-    return {op4_source_mixing.__name__: mixing.SQL, op7_line_dedup.__name__: lines.SQL}
+    return {
+        op4_source_mixing.__name__: mixing.SQL,
+        op6_passage_dedup.__name__: passages.SQL,
+        op7_line_dedup.__name__: lines.SQL,
+        op9_secret_scan.__name__: secrets.SQL,
+    }
