@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterwell.llm import language, lines, mixing, packing, passages, secrets, simhash, sketches
+from meterwell.llm import language, lines, mixing, neighbours, packing, passages, secrets, simhash, sketches
 from meterwell.llm.tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
@@ -54,6 +58,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES = (
+    op1_embedding_near_dedup,
     op2_best_fit_packing,
     op3_document_fingerprints,
     op4_source_mixing,
