@@ -175,11 +175,10 @@ def learn(
         F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
     )
     labelled = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = labelled.groupBy("lang").agg(
-        F.least(F.lit(1.0), sample / F.count(F.lit(1))).alias("share")
-    )
+    sizes = labelled.groupBy("lang").count().collect()  # one row per language
     place = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / (1 << 30)
-    chosen = labelled.join(sizes, "lang").where(place < F.col("share"))
+    shares = F.create_map(*(F.lit(x) for lang, n in sizes for x in (lang, min(1.0, sample / n))))
+    chosen = labelled.where(place < shares[F.col("lang")]) if sizes else labelled
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
