@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Measures are summed at this resolution (six decimals).
+# Measures with at most six decimals and below this size are summed as whole millionths.
 UNITS = 1_000_000
+COUNTED_BELOW = 1 << 24
 
 
 def as_column(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def without_nan(df: DataFrame) -> DataFrame:
+    """`df` with NaN as null in its number columns: a measure is there or it is missing.
+
+    Every reader of wide rows applies it, so no operator meets NaN.
+    """
+    numbers = [n for n, kind in df.dtypes if kind in ("double", "float")]
+    return df.withColumns({n: F.nanvl(n, F.lit(None).cast("double")) for n in numbers})
+
+
 def zero(c: str | Column) -> Column:
     """The value, or 0.0 where it is null."""
     return F.nvl(as_column(c), F.lit(0.0))
@@ -34,22 +44,28 @@ def flag(condition: Column) -> Column:
 
 
 def exact_sum(value: str) -> Column:
-    """Sum of doubles that does not depend on row order; `value` is SQL text.
+    """`sum` of doubles; `value` is SQL text.
 
-    Whole part and millionths are summed as two long counters, so retries,
-    partition counts and skew splits all give the same bits, at the speed of a
-    plain double sum. NaN counts as missing. Null when no value is present, like
-    `sum`.
+    Values with at most six decimals, give or take the last bits of a double, as money
+    and minutes have, are summed as long counters of whole parts and millionths, so
+    retries, partition counts and skew splits all give the same bits, at the speed of a
+    plain double sum. What does not fit, finer, huge, infinite or NaN values, is summed as doubles and added: the total
+    is that of `sum` for every input. Null when no value is present.
     """
-    x = f"nanvl(CAST({value} AS DOUBLE), NULL)"
-    whole = f"CAST(sum(floor({x})) AS DECIMAL(20, 0))"
-    millionths = f"sum(floor(({x} - floor({x})) * {UNITS} + 0.5D))"
-    return F.expr(f"CAST({whole} * {UNITS} + {millionths} AS DOUBLE) / {UNITS}")
+    x = f"CAST({value} AS DOUBLE)"
+    off = f"abs(rint({x} * {UNITS}) / {UNITS} - {x})"
+    counted = f"(abs({x}) < {COUNTED_BELOW} AND {off} <= 1e-15D * abs({x}))"
+    low = f"(rint({x} * {UNITS}) - floor({x}) * {UNITS})"
+    whole = f"CAST(sum(CASE WHEN {counted} THEN CAST(floor({x}) AS BIGINT) END) AS DECIMAL(20, 0))"
+    millionths = f"sum(CASE WHEN {counted} THEN CAST({low} AS BIGINT) END)"
+    exact = f"CAST({whole} * {UNITS} + {millionths} AS DOUBLE) / {UNITS}"
+    rest = f"sum(CASE WHEN NOT {counted} THEN {x} END)"
+    return F.expr(f"CASE WHEN {rest} IS NULL THEN {exact} ELSE nvl({exact}, 0D) + {rest} END")
 
 
 def exact_avg(value: str) -> Column:
     """Mean over present values, built on `exact_sum`; null when there are none."""
-    return F.try_divide(exact_sum(value), F.expr(f"count(nanvl(CAST({value} AS DOUBLE), NULL))"))
+    return F.try_divide(exact_sum(value), F.expr(f"count({value})"))
 
 
 def ratio(part: str | Column, whole: str | Column, digits: int) -> Column:

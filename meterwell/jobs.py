@@ -2,7 +2,8 @@
 
     jobs.py batch  --input DIR_OR_CSV --output ROOT [--months 7,8] [--parquet]
     jobs.py events --input DIR_OR_CSV --output DIR  [--months 7,8] [--parquet]
-    jobs.py stream --events DIR --alerts DIR --checkpoint DIR [--window-size 300] [--once]
+    jobs.py stream --events DIR --alerts DIR --stats DIR --corrupt DIR --checkpoint DIR
+                   [--window-size 300] [--once]
 """
 
 from __future__ import annotations
@@ -12,12 +13,12 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from meterwell import session
-from meterwell.operators.events import usage_events
+from meterwell.operators.events import corrupt_events, usage_events
 from meterwell.plans.pipeline import layer_counts, run_pipeline
 from meterwell.settings import DEFAULTS
 from meterwell.sources.messages import stream_event_files, write_event_files
 from meterwell.sources.wide_csv import read_wide_csv
-from meterwell.streaming.risk_stream import alert_stream, start_json_sink
+from meterwell.streaming.risk_stream import alert_stream, start_json_sink, stats_stream
 
 
 def _spark(settings: dict[str, str]) -> SparkSession:
@@ -49,8 +50,22 @@ def events(args: argparse.Namespace) -> None:
 
 def stream(args: argparse.Namespace) -> None:
     spark = _spark(session.STREAM)
-    alerts = alert_stream(stream_event_files(spark, args.events), window_seconds=args.window_size)
-    start_json_sink(alerts, args.alerts, args.checkpoint, args.once).awaitTermination()
+    decoded, size = stream_event_files(spark, args.events), args.window_size
+    # Each sink keeps its own progress. Lines that are no events go to `corrupt`.
+    sinks = {
+        args.alerts: alert_stream(decoded, window_seconds=size),
+        args.stats: stats_stream(decoded, window_seconds=size),
+        args.corrupt: corrupt_events(decoded),
+    }
+    started = [
+        start_json_sink(rows, out, f"{args.checkpoint}/{number}", args.once)
+        for number, (out, rows) in enumerate(sinks.items())
+    ]
+    if args.once:
+        for query in started:
+            query.awaitTermination()
+    else:
+        spark.streams.awaitAnyTermination()  # a failed sink ends the job
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -64,7 +79,7 @@ def main(argv: list[str] | None = None) -> None:
         job.add_argument("--parquet", action="store_true")
         job.set_defaults(run=run)
     job = jobs.add_parser("stream")
-    for name in ("--events", "--alerts", "--checkpoint"):
+    for name in ("--events", "--alerts", "--stats", "--corrupt", "--checkpoint"):
         job.add_argument(name, required=True)
     job.add_argument("--window-size", type=int, default=DEFAULTS.window_seconds)
     job.add_argument("--once", action="store_true")

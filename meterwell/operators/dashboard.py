@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from meterwell.functions.values import capped, exact_avg, exact_sum, zero
-from meterwell.operators.reshape import unpivot
+from meterwell.functions.values import capped, exact_avg, exact_sum, without_nan, zero
+from meterwell.operators.reshape import chosen_months, unpivot
 from meterwell.settings import DEFAULTS, Settings
 
 _METRICS = [
@@ -28,11 +28,9 @@ def chart_usage(
 ) -> DataFrame:
     """Seven metrics per customer and month with null-propagating totals."""
     have = wide.columns
-    wanted = set(settings.labels if months is None else months)
     rows = [
         (label, [m + suffix for m in _METRICS])
-        for suffix, label in settings.months
-        if label in wanted
+        for suffix, label in chosen_months(settings, months)
     ]
     absent = [
         m + suffix
@@ -40,7 +38,7 @@ def chart_usage(
         for suffix, _ in settings.months
         if m + suffix not in have
     ]
-    base = wide.withColumns(
+    base = without_nan(wide).withColumns(
         {"circle_id": F.col("circle_id").cast("string"), **{c: F.lit(0.0) for c in absent}}
     )
     return unpivot(base, ["mobile_number", "circle_id"], _METRICS, rows).withColumns(
@@ -80,11 +78,12 @@ def dashboard_month_trend(usage: DataFrame) -> DataFrame:
 def latest_month(report: DataFrame) -> DataFrame:
     """Rows of the newest month of a region x month report.
 
-    Ranks the report's own rows, a few per region, instead of reading the input
-    a second time for the maximum.
+    The maximum is an aggregate of one row, so it can be broadcast whatever the
+    report's size. Both uses of the report share its shuffle.
     """
-    newest = F.rank().over(Window.orderBy(F.desc("report_month")))
-    return report.withColumn("_age", newest).filter(F.col("_age") == 1).drop("_age")
+    newest = report.agg(F.max("report_month").alias("_newest"))
+    latest = report.join(F.broadcast(newest), F.col("report_month") == F.col("_newest"))
+    return latest.drop("_newest")
 
 
 def dashboard_latest_bubble(region_month: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:

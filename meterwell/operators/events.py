@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as t
 
 from meterwell.functions.values import column_or, number
-from meterwell.operators.reshape import unpivot
+from meterwell.operators.reshape import chosen_months, unpivot
 from meterwell.schemas import RICH_EVENT, RICH_INTS, RICH_MEASURES, USAGE_EVENT
 from meterwell.settings import DEFAULTS, Settings
 
@@ -24,11 +24,9 @@ def _monthly(
 ) -> DataFrame:
     """Chosen metrics per customer and month; missing, NaN and absent count as 0."""
     have = wide.columns
-    wanted = set(settings.labels if months is None else months)
     rows = [
         (label, [m + suffix for m in metrics])
-        for suffix, label in settings.months
-        if label in wanted
+        for suffix, label in chosen_months(settings, months)
     ]
     identity = {
         "mobile_number": F.col("mobile_number").cast("long"),

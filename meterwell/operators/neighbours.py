@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Keys with more rows than this are split; at most so many keys are.
+# Keys with more rows than this are split into segments of about as many rows.
 CROWD = 100_000
-SPLIT_KEYS = 10_000
 _COPIES_PER_TASK_ROW = 10_000
 
 
@@ -20,12 +19,12 @@ def with_previous_row(
     Rows of a key are ordered by `order` and, within equal values, by a digest of
     the row, so the result does not depend on partitioning.
 
-    A usual key goes through one window. The most crowded keys, such as a null or
-    placeholder id, are cut into segments of that same order instead: `lag` runs
-    inside each segment, and a segment's first row takes the last row of the
-    segment before it. Both ways give the same pairs, so it only matters for
-    speed which keys are split. The broadcast holds at most `SPLIT_KEYS` keys;
-    any further crowded key has under 1 / `SPLIT_KEYS` of all rows.
+    A usual key goes through one window. Every crowded key, such as a null or
+    placeholder id, is cut into segments of that same order instead, in proportion
+    to its rows: `lag` runs inside each segment, and a segment's first row takes
+    the last row of the segment before it. Both ways give the same pairs. The
+    number of segments is joined to the rows, by broadcast only where adaptive
+    execution finds the crowded keys few enough.
     """
     rows = df.withColumns(
         {"_tie": F.xxhash64(*df.columns), "_here": F.struct(*values)}
@@ -34,19 +33,14 @@ def with_previous_row(
         df.groupBy(key)
         .agg(F.count("*").alias("_rows"))
         .filter(F.col("_rows") > crowd)
-        .orderBy(F.desc("_rows"), key)
-        .limit(SPLIT_KEYS)
-        .select(F.col(key).alias("_key"))
+        .select(F.col(key).alias("_key"), F.ceil(F.log2(F.col("_rows") / crowd)).cast("int").alias("_bits"))
     )
-    split = F.broadcast(crowded)
-    is_split = F.col(key).eqNullSafe(F.col("_key"))
+    placed = rows.join(crowded, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
 
     history = Window.partitionBy(key).orderBy(order, "_tie", "_here")
-    usual = rows.join(split, is_split, "left_anti").withColumn(
-        "before", F.lag("_here").over(history)
-    )
-    segmented = _by_segments(rows.join(split, is_split, "left_semi"), key, order)
-    return usual.unionByName(segmented).drop("_tie", "_here")
+    usual = placed.filter("_bits IS NULL").withColumn("before", F.lag("_here").over(history))
+    segmented = _by_segments(placed.filter("_bits IS NOT NULL"), key, order)
+    return usual.unionByName(segmented).drop("_tie", "_here", "_bits")
 
 
 def _by_segments(rows: DataFrame, key: str, order: str) -> DataFrame:
@@ -55,7 +49,7 @@ def _by_segments(rows: DataFrame, key: str, order: str) -> DataFrame:
     distinct = (
         rows.groupBy(*rows.columns)
         .agg(F.count("*").alias("_copies"))
-        .withColumn("_segment", F.shiftright("_tie", 56))
+        .withColumn("_segment", F.expr("shiftright(_tie, 64 - _bits)"))
     )
 
     inside = Window.partitionBy(*place).orderBy("_tie", "_here")
@@ -66,8 +60,8 @@ def _by_segments(rows: DataFrame, key: str, order: str) -> DataFrame:
         }
     )
 
-    # One row per segment: at most 256 for each key and order value. Taken from
-    # the windowed rows, so both branches share one shuffle.
+    # One row per segment and order value. Taken from the windowed rows, so both
+    # branches share one shuffle.
     across = Window.partitionBy(key).orderBy(order, "_segment")
     carried = local.filter("_last").select(
         *(F.col(c).alias(f"_c{i}") for i, c in enumerate(place)),

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterwell.functions.rules import activity_flags, data_mb
+from meterwell.functions.values import without_nan
 from meterwell.settings import DEFAULTS, Settings
 
 
@@ -25,7 +26,10 @@ def monthly_metrics(columns: Iterable[str], settings: Settings = DEFAULTS) -> li
     return sorted(found - settings.skipped_metrics)
 
 
-def _chosen(settings: Settings, months: Iterable[str] | None) -> list[tuple[str, str]]:
+def chosen_months(
+    settings: Settings, months: Iterable[str] | None
+) -> list[tuple[str, str]]:
+    """(suffix, label) of the wanted months, all by default; unknown labels are refused."""
     wanted = settings.labels if months is None else tuple(months)
     unknown = set(wanted) - set(settings.labels)
     if unknown:
@@ -83,9 +87,9 @@ def wide_to_long(
     static = [c for c in (*settings.static_columns, *extra_static) if c in wide.columns]
     rows = [
         (label, [metric + suffix for metric in metrics])
-        for suffix, label in _chosen(settings, months)
+        for suffix, label in chosen_months(settings, months)
     ]
-    return with_activity(unpivot(wide, static, metrics, rows))
+    return with_activity(unpivot(without_nan(wide), static, metrics, rows))
 
 
 def wide_to_long_by_union(
@@ -98,13 +102,14 @@ def wide_to_long_by_union(
     """
     metrics = monthly_metrics(wide.columns, settings)
     static = [c for c in settings.static_columns if c in wide.columns]
+    wide = without_nan(wide)
     branches = [
         wide.select(
             *static,
             *(F.col(m + suffix).alias(m) for m in metrics if m + suffix in wide.columns),
             F.lit(label).alias("report_month"),
         )
-        for suffix, label in _chosen(settings, months)
+        for suffix, label in chosen_months(settings, months)
     ]
     long = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), branches)
     return with_activity(long.select(*static, *metrics, "report_month"))

@@ -12,7 +12,7 @@ from meterwell.functions.values import exact_avg, exact_sum, number
 from meterwell.settings import DEFAULTS, Settings
 
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
-
+_EVENT_KEYS = ("mobile_number", "circle_id", "report_month")
 
 
 def region_windows(
@@ -21,11 +21,17 @@ def region_windows(
     """Counters and means per tumbling event-time window and region.
 
     The event rows are reduced to counters inside each map task, and a stream
-    keeps those counters as its only state. `customer_count` counts events.
+    keeps those counters as its only state. `customer_count` counts events. A row that
+    carries nothing but a time is no event: it moves a stream's watermark, adds to no
+    counter, and a window of such rows only does not appear.
     """
     size = f"{window_seconds or settings.window_seconds} seconds"
     measures = ("total_calls", "total_data_mb", "arpu", "total_rech_amt")
-    clean = events.withColumns({m: number(m) for m in measures})
+    carried = [c for c in (*_EVENT_KEYS, *measures) if c in events.columns]
+    is_event = F.coalesce(*(F.col(c).cast("string") for c in carried)).isNotNull()
+    clean = events.withColumn("_is_event", is_event).withColumns(
+        {m: F.when(F.col("_is_event"), number(m)) for m in measures}
+    )
     silent = "total_calls = 0 AND total_data_mb = 0"
     high_value = f"arpu >= {settings.arpu_high}D"
     counters = {
@@ -36,13 +42,13 @@ def region_windows(
         "high_value_silent_count": f"{high_value} AND {silent}",
     }
     return clean.groupBy(F.window("event_time", size).alias("window"), "circle_id").agg(
-        F.count("*").alias("customer_count"),
+        F.count_if("_is_event").alias("customer_count"),
         F.round(exact_avg("total_calls"), 2).alias("avg_calls"),
         F.round(exact_avg("total_data_mb"), 2).alias("avg_data_mb"),
         exact_avg("arpu").alias("mean_arpu"),
         F.round(exact_sum("total_rech_amt"), 2).alias("total_recharge"),
         *(F.expr(f"count_if({condition}) AS {name}") for name, condition in counters.items()),
-    )
+    ).filter("customer_count > 0")
 
 
 def _graded(events: DataFrame, s: Settings, window_seconds: int | None) -> DataFrame:

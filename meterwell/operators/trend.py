@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from meterwell import wording as T
 from meterwell.functions.rules import (
@@ -16,9 +17,9 @@ from meterwell.functions.rules import (
     decline_reason,
     value_band,
 )
-from meterwell.functions.values import decline, zero
+from meterwell.functions.values import decline, without_nan, zero
 from meterwell.operators.neighbours import CROWD, with_previous_row
-from meterwell.operators.reshape import unpivot
+from meterwell.operators.reshape import chosen_months, unpivot
 from meterwell.settings import DEFAULTS, Settings
 
 _INPUTS = ["arpu", "total_og_mou", "total_ic_mou", "vol_2g_mb", "vol_3g_mb", "total_rech_amt"]
@@ -62,7 +63,7 @@ def month_over_month(
     wide row is compared with itself. `months` trims the scan to those months
     and their predecessors.
     """
-    wanted = set(settings.labels if months is None else months)
+    wanted = {label for _, label in chosen_months(settings, months)}
     suffix_of = {label: suffix for suffix, label in settings.months}
     previous = settings.previous()
 
@@ -74,9 +75,8 @@ def month_over_month(
         for label in settings.labels
         if label in wanted
     ]
-    pairs = unpivot(
-        wide, list(settings.static_columns), [*_INPUTS, *(f"before_{m}" for m in _INPUTS)], rows
-    )
+    values = [*_INPUTS, *(f"before_{m}" for m in _INPUTS)]
+    pairs = unpivot(without_nan(wide), list(settings.static_columns), values, rows)
 
     prev_month = F.lit(None).cast("string")
     for label, before in previous.items():
@@ -180,18 +180,25 @@ def silent_customers_by_join(
 ) -> DataFrame:
     """The same report from silent rows joined to their previous-month values.
 
-    The right side is reduced to one row per customer and month first, so a
-    repeated key cannot multiply rows. A null customer id finds no match.
+    Only silent rows are joined, on all that both sides know of a row and its number
+    among equal ones. So each row of a repeated or null id meets its own values, as in
+    the main form, and such ids are spread by the rest of their rows.
     """
-    grain = ["mobile_number", "report_month"]
-    silent = long.filter((F.col("is_active_call") == 0) & (F.col("is_active_data") == 0))
-    before = (
-        compared.groupBy(*grain)
-        .agg(F.max(F.struct(*PREVIOUS.values())).alias("before"))
-        .select(*grain, "before.*")
+    shared = ["mobile_number", "report_month", "circle_id", "aon", *MOVING]
+    is_silent = (F.col("is_active_call") == 0) & (F.col("is_active_data") == 0)
+    alike = Window.partitionBy("_content")
+
+    def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
+        content = rows.filter(is_silent).select(
+            *shared, *(c for c in order if c not in shared), F.xxhash64(*shared).alias("_content")
+        )
+        return content.withColumn("_number", F.row_number().over(alike.orderBy(*shared, *order)))
+
+    now = numbered(long, ["mobile_number"])
+    before = numbered(compared, list(PREVIOUS.values())).select(
+        "_content", "_number", *PREVIOUS.values()
     )
-    joined = silent.select("circle_id", "aon", *grain).join(before, grain, "left")
-    return _silent_report(joined, settings, ordered)
+    return _silent_report(now.join(before, ["_content", "_number"], "left"), settings, ordered)
 
 
 def _silent_report(silent: DataFrame, s: Settings, ordered: bool) -> DataFrame:

@@ -6,6 +6,7 @@ that show a sink write to a new folder under the shared root and read it back.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,23 +24,30 @@ from meterwell.operators import (
 )
 from meterwell.operators.events import ISO_MICROS
 from meterwell.plans import pipeline
-from meterwell.schemas import RICH_EVENT, TABLES
+from meterwell.schemas import RICH_EVENT, RISK_ALERT, TABLES
 from meterwell.session import stream_session
 from meterwell.sources.extracts import read_extract, write_extract
 from meterwell.sources.messages import (
+    alert_messages,
     append_event_files,
     read_event_files,
     stream_event_files,
     write_event_files,
 )
 from meterwell.sources.scratch import scratch_dir
-from meterwell.sources.star import star_events, wide_usage
-from meterwell.sources.tables import read_table, write_table
+from meterwell.sources.star import STAR, star_events, table, wide_usage
+from meterwell.sources.tables import (
+    read_table,
+    read_table_if_written,
+    register_tables,
+    write_table,
+)
 from meterwell.sources.wide_csv import read_wide_csv, write_wide_csv
 from meterwell.streaming.risk_stream import (
     alert_stream,
     heartbeat,
     read_alerts,
+    start_corrupt_sink,
     start_json_sink,
     stats_stream,
 )
@@ -61,7 +69,7 @@ def queries() -> dict[str, Query]:
 
 
 def _long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reshape.wide_to_long(wide_usage(spark, sf_dir))
+    return reshape.wide_to_long(wide_usage(spark, sf_dir), STAR)
 
 
 def _kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +81,7 @@ def _ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _compared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trend.month_over_month(wide_usage(spark, sf_dir))
+    return trend.month_over_month(wide_usage(spark, sf_dir), STAR)
 
 
 def _month_start():
@@ -94,9 +102,13 @@ def wide_table(spark, sf_dir):
 
 @_query
 def wide_scan_csv(spark, sf_dir):
+    """Two sets of files, one with its columns the other way round."""
     path = scratch_dir(spark, "wide-csv")
-    write_wide_csv(wide_usage(spark, sf_dir), path)
-    return read_wide_csv(spark, path)
+    wide = wide_usage(spark, sf_dir)
+    odd = F.col("mobile_number") % 2 == 1
+    write_wide_csv(wide.filter(odd), f"{path}/a")
+    write_wide_csv(wide.filter(~odd).select(*reversed(wide.columns)), f"{path}/b")
+    return read_wide_csv(spark, f"{path}/*", STAR)
 
 
 # Reshape
@@ -109,12 +121,12 @@ def wide_to_long(spark, sf_dir):
 
 @_query
 def wide_to_long_union(spark, sf_dir):
-    return reshape.wide_to_long_by_union(wide_usage(spark, sf_dir))
+    return reshape.wide_to_long_by_union(wide_usage(spark, sf_dir), STAR)
 
 
 @_query
 def wide_to_long_two_months(spark, sf_dir):
-    return reshape.wide_to_long(wide_usage(spark, sf_dir), months=("2014-07", "2014-08"))
+    return reshape.wide_to_long(wide_usage(spark, sf_dir), STAR, months=("2014-07", "2014-08"))
 
 
 # Summaries
@@ -172,7 +184,7 @@ def usage_decline_alerts(spark, sf_dir):
 
 @_query
 def usage_decline_one_month(spark, sf_dir):
-    compared = trend.month_over_month(wide_usage(spark, sf_dir), months=[MONTH])
+    compared = trend.month_over_month(wide_usage(spark, sf_dir), STAR, months=[MONTH])
     return trend.usage_decline_alerts(compared)
 
 
@@ -229,10 +241,58 @@ def report_silent_high(spark, sf_dir):
 @_query
 def layer_counts(spark, sf_dir):
     root = scratch_dir(spark, "warehouse")
-    pipeline.run_pipeline(wide_usage(spark, sf_dir), root)
+    pipeline.run_pipeline(wide_usage(spark, sf_dir), root, STAR)
     return pipeline.layer_counts(spark, root)
 
 
+_USAGE_9 = ("total_og_mou_9", "total_ic_mou_9", "vol_2g_mb_9", "vol_3g_mb_9")
+
+
+def _rerun(spark, sf_dir, corrected) -> DataFrame:
+    """The silent table after a full run and a run of one month on corrected input."""
+    root = scratch_dir(spark, "warehouse")
+    wide = wide_usage(spark, sf_dir)
+    pipeline.run_pipeline(wide, root, STAR)
+    pipeline.run_pipeline(corrected(wide), root, STAR, months=[MONTH])
+    return read_table(spark, root, pipeline.SILENT)
+
+
+@_query
+def month_rerun_corrected(spark, sf_dir):
+    """Some regions turn silent in the month."""
+
+    def corrected(wide):
+        quiet = F.col("circle_id").isin("0", "1", "2")
+        return wide.withColumns({c: F.when(quiet, 0.0).otherwise(F.col(c)) for c in _USAGE_9})
+
+    return _rerun(spark, sf_dir, corrected)
+
+
+@_query
+def month_rerun_emptied(spark, sf_dir):
+    """Nobody is silent in the month any more: its old rows go."""
+    return _rerun(spark, sf_dir, lambda w: w.withColumns({c: F.lit(1.0) for c in _USAGE_9}))
+
+
+@_query
+def mart_if_written(spark, sf_dir):
+    root = scratch_dir(spark, "mart")
+    if read_table_if_written(spark, root, pipeline.RANKING) is not None:
+        raise AssertionError("a table before its first run")
+    write_table(_ranking(spark, sf_dir), root, pipeline.RANKING)
+    return read_table_if_written(spark, root, pipeline.RANKING)
+
+
+@_query
+def mart_catalog_table(spark, sf_dir):
+    """Declared before the first run, dropped and declared again after it."""
+    root, database = scratch_dir(spark, "mart"), f"marts_{uuid.uuid4().hex}"
+    register_tables(spark, root, database, [pipeline.RANKING])
+    write_table(_ranking(spark, sf_dir), root, pipeline.RANKING)
+    register_tables(spark, root, database, [pipeline.RANKING])
+    return spark.table(f"{database}.{pipeline.RANKING}")
+
+
 @_query
 def mart_parquet_pruned(spark, sf_dir):
     root = scratch_dir(spark, "mart")
@@ -253,7 +313,7 @@ def extract_csv_roundtrip(spark, sf_dir):
 
 @_query
 def usage_events(spark, sf_dir):
-    return _iso_time(events.usage_events(wide_usage(spark, sf_dir), event_time=_month_start()))
+    return _iso_time(events.usage_events(wide_usage(spark, sf_dir), STAR, event_time=_month_start()))
 
 
 @_query
@@ -261,28 +321,34 @@ def usage_events_two_months(spark, sf_dir):
     months = ("2014-07", "2014-08")
     return _iso_time(
         events.usage_events(
-            wide_usage(spark, sf_dir), months=months, event_time=_month_start(), ordered=True
+            wide_usage(spark, sf_dir), STAR, months=months, event_time=_month_start(), ordered=True
         )
     )
 
 
 @_query
 def usage_events_rich(spark, sf_dir):
-    return _iso_time(events.rich_usage_events(wide_usage(spark, sf_dir), event_time=_month_start()))
+    return _iso_time(events.rich_usage_events(wide_usage(spark, sf_dir), STAR, event_time=_month_start()))
+
+
+@_query
+def usage_events_absent_columns(spark, sf_dir):
+    """An input without incoming minutes and without one data volume: both count as 0."""
+    wide = wide_usage(spark, sf_dir)
+    gone = [c for c in wide.columns if c.startswith(("total_ic_mou_", "vol_2g_mb_"))]
+    return _iso_time(events.usage_events(wide.drop(*gone), STAR, event_time=_month_start()))
 
 
 @_query
 def usage_events_narrowed(spark, sf_dir):
-    rich = events.rich_usage_events(wide_usage(spark, sf_dir), event_time=_month_start())
+    rich = events.rich_usage_events(wide_usage(spark, sf_dir), STAR, event_time=_month_start())
     return _iso_time(events.narrow_events(rich))
 
 
 @_query
 def event_messages(spark, sf_dir):
-    rich = events.rich_usage_events(wide_usage(spark, sf_dir), event_time=_month_start())
-    path = scratch_dir(spark, "messages")
-    events.event_messages(rich).write.parquet(path)
-    messages = spark.read.parquet(path)
+    rich = events.rich_usage_events(wide_usage(spark, sf_dir), STAR, event_time=_month_start())
+    messages = events.event_messages(rich)
     return _iso_time(events.good_events(events.decode_events(messages, RICH_EVENT, keep=["key"])))
 
 
@@ -347,6 +413,41 @@ def risk_alert_stream(spark, sf_dir):
     return read_alerts(spark, out)
 
 
+@_query
+def risk_alert_stream_5min(spark, sf_dir):
+    """The stream with its default window."""
+    usage = star_events(spark, sf_dir)
+    source = write_event_files(usage, scratch_dir(spark, "stream-in"))
+    append_event_files(heartbeat(usage), source)
+    out, state = scratch_dir(spark, "alerts"), scratch_dir(spark, "state")
+    alerts = alert_stream(stream_event_files(stream_session(spark), source))
+    start_json_sink(alerts, out, state, available_now=True).awaitTermination()
+    return read_alerts(spark, out)
+
+
+@_query
+def stream_corrupt_lines(spark, sf_dir):
+    """What the stream keeps aside when every event is followed by a broken line."""
+    source = _event_folder(spark, sf_dir, DAY)
+    ids = table(spark, sf_dir, "events").select(F.concat(F.lit("{broken "), F.col("event_id")))
+    ids.toDF("value").write.mode("append").text(source)
+    out, state = scratch_dir(spark, "corrupt"), scratch_dir(spark, "state")
+    decoded = stream_event_files(stream_session(spark), source)
+    start_corrupt_sink(decoded, out, state, available_now=True).awaitTermination()
+    return spark.read.text(out).select(
+        F.get_json_object("value", f"$.{events.CORRUPT}").alias("line")
+    )
+
+
+@_query
+def alert_topic_messages(spark, sf_dir):
+    """Alert messages, taken apart again as a consumer would."""
+    alerts = risk.risk_alerts(star_events(spark, sf_dir), window_seconds=DAY)
+    messages = alert_messages(alerts)
+    decoded = messages.select("key", F.from_json("value", RISK_ALERT).alias("alert"))
+    return decoded.select("key", "alert.*")
+
+
 @_query
 def risk_alert_late(spark, sf_dir):
     """A second run meets every event again; they are late and change nothing."""
@@ -374,17 +475,17 @@ def window_stats_stream(spark, sf_dir):
 
 @_query
 def dashboard_region_month(spark, sf_dir):
-    return dashboard.dashboard_region_month(dashboard.chart_usage(wide_usage(spark, sf_dir)))
+    return dashboard.dashboard_region_month(dashboard.chart_usage(wide_usage(spark, sf_dir), STAR))
 
 
 @_query
 def dashboard_month_trend(spark, sf_dir):
-    return dashboard.dashboard_month_trend(dashboard.chart_usage(wide_usage(spark, sf_dir)))
+    return dashboard.dashboard_month_trend(dashboard.chart_usage(wide_usage(spark, sf_dir), STAR))
 
 
 @_query
 def dashboard_latest_bubble(spark, sf_dir):
-    usage = dashboard.chart_usage(wide_usage(spark, sf_dir))
+    usage = dashboard.chart_usage(wide_usage(spark, sf_dir), STAR)
     return dashboard.dashboard_latest_bubble(dashboard.dashboard_region_month(usage))
 
 
@@ -395,4 +496,4 @@ def dashboard_latest_rank(spark, sf_dir):
 
 @_query
 def dashboard_usage_sample(spark, sf_dir):
-    return dashboard.dashboard_usage_sample(dashboard.chart_usage(wide_usage(spark, sf_dir)))
+    return dashboard.dashboard_usage_sample(dashboard.chart_usage(wide_usage(spark, sf_dir), STAR))

@@ -55,19 +55,22 @@ def run_pipeline(
     once and a lost executor costs only its own tasks. The month-over-month
     reports read the stored wide rows, which hold both months, and so need no
     shuffle by customer. With `months` only those months' partitions of the
-    layers after the raw one are replaced. Pass `store_raw=False` when `wide` is
-    the stored raw table.
+    layers after the raw one are replaced, and emptied where nothing is left. Pass
+    `store_raw=False` when `wide` is the stored raw table. An empty region is a
+    missing one: a folder cannot be named by it.
     """
     spark = wide.sparkSession
     months = None if months is None else list(months)
     paths: dict[str, str] = {}
+    if "circle_id" in wide.columns:
+        wide = wide.withColumn("circle_id", F.nullif(F.col("circle_id"), F.lit("")))
     stored = wide
     if store_raw:
         paths[RAW_TABLE] = write_table(wide, root, RAW_TABLE)
         stored = read_table(spark, root, RAW_TABLE)
 
     def save(df: DataFrame, name: str, pack: bool = True) -> DataFrame:
-        paths[name] = write_table(df, root, name, pack, replace_all=months is None)
+        paths[name] = write_table(df, root, name, pack, months)
         return read_table(spark, root, name, months)
 
     def extract(name: str, df: DataFrame) -> None:

@@ -37,6 +37,8 @@ def stream_session(spark: SparkSession) -> SparkSession:
     small, so the batch session's number would only add empty stores per batch.
     """
     own = spark.newSession()
+    for key, value in STREAM.items():
+        own.conf.set(key, value)
     own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     stores = min(
         int(spark.conf.get("spark.sql.shuffle.partitions")),

@@ -1,4 +1,7 @@
-"""Business thresholds and layout parameters, passed to operators as one value."""
+"""Business thresholds and layout parameters, passed to operators as one value.
+
+Fixed values: the defaults are the thresholds and the layout of the reports' contract.
+"""
 
 from __future__ import annotations
 

@@ -1,4 +1,4 @@
-"""Report extracts as one CSV file each."""
+"""Report extracts as CSV."""
 
 from __future__ import annotations
 
@@ -7,12 +7,13 @@ from pyspark.sql import types as t
 
 
 def write_extract(df: DataFrame, path: str) -> str:
-    """One CSV file with a header.
+    """CSV with a header, in the order of `df`.
 
-    For top-k extracts and the region ranking only: a limit or the region grain
-    bounds the rows, so one task can write them. Nothing passes the driver.
+    A top-k extract has a limit and so comes from one task, as one file. Anything else
+    is written by the tasks that hold it; files in name order keep a sorted order.
+    Nothing passes the driver.
     """
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).csv(path)
     return path
 
 

@@ -2,31 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-# Temporary roots of local sessions, by application.
-_LOCAL_ROOTS: dict[str, str] = {}
-
-
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared folder from `spark.checkpoint.dir`.
+    """The cluster's shared folder from `spark.checkpoint.dir`, else the warehouse folder.
 
-    A local session without the setting gets a temporary folder. On a cluster
-    a machine-local folder would lose data with its machine, so that is refused.
+    Both are folders that the driver and all executors reach.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    if context.applicationId not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="meterwell-")
-    return _LOCAL_ROOTS[context.applicationId]
+    return (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

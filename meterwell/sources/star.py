@@ -6,18 +6,22 @@ usage events, so the operators can run on any star-schema data set at any scale.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterwell.functions.values import exact_sum
 from meterwell.settings import DEFAULTS, Settings
 
-# Order years standing in for the month suffixes, oldest first.
-FIRST_YEAR = 1997
+# Order years standing in for months, oldest first: all that the orders span. An order of
+# any other year counts in the nearest one.
+FIRST_YEAR = 1995
+STAR = replace(DEFAULTS, months=tuple((f"_{m}", f"2014-{m:02}") for m in range(3, 10)))
 
 # Whole-number measures, counted from line numbers 1 to 5.
 _COUNTS = ("monthly_2g", "monthly_3g", "night_pck_user", "fb_user", "vbc_3g")
-_VBC = ("jun_vbc_3g", "jul_vbc_3g", "aug_vbc_3g", "sep_vbc_3g")
+_VBC = tuple(f"{m}_vbc_3g" for m in ("mar", "apr", "may", "jun", "jul", "aug", "sep"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,21 +51,18 @@ def _item_measures() -> dict[str, str]:
     return measures
 
 
-def wide_usage(spark: SparkSession, sf_dir: str, settings: Settings = DEFAULTS) -> DataFrame:
-    """One row per customer, one column per metric and month.
+def wide_usage(spark: SparkSession, sf_dir: str, settings: Settings = STAR) -> DataFrame:
+    """One row per customer, one column per metric and month, from every order.
 
-    Line items are reduced to one row per order before they meet the orders, and
-    orders to one row per customer and year before they are spread into columns,
-    so each shuffle carries pre-aggregated rows and no key can be hot. Measures a
-    query does not use are pruned down to the scan.
+    Line items are reduced to one row per order before they meet the orders. One
+    shuffle by customer then serves both the sums per year, the spread into columns
+    and the join with the customers. Measures a query does not use are pruned down to
+    the scan.
     """
     years = {FIRST_YEAR + i: suffix for i, (suffix, _) in enumerate(settings.months)}
-    order_date = F.col("o_orderdate")
-    orders = (
-        table(spark, sf_dir, "orders")
-        .filter(order_date >= F.lit(f"{FIRST_YEAR}-01-01").cast("timestamp_ntz"))
-        .filter(order_date < F.lit(f"{FIRST_YEAR + len(years)}-01-01").cast("timestamp_ntz"))
-        .selectExpr("o_orderkey", "o_custkey", "o_totalprice", "year(o_orderdate) AS year")
+    year = f"greatest({min(years)}, least({max(years)}, year(o_orderdate))) AS year"
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "o_custkey", "o_totalprice", year
     )
     items = _item_measures()
     per_order = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
@@ -72,6 +73,7 @@ def wide_usage(spark: SparkSession, sf_dir: str, settings: Settings = DEFAULTS)
     counts = [f"CAST(sum(nvl({name}, 0)) AS INT) AS {name}" for name in _COUNTS]
     per_year = (
         orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        .repartition("o_custkey")
         .groupBy("o_custkey", "year")
         .agg(
             (spent / 1000).alias("arpu"),

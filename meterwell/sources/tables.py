@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Collection, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,33 +15,64 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
+def _unfit(schema: t.StructType, name: str) -> list[str]:
+    """What keeps rows out of a table. The raw and the detail table take further metrics."""
+    if name in TABLES:
+        return mismatches(schema, TABLES[name])
+    have = set(schema.names)
+    needed = {"mobile_number", PARTITIONED_BY[name]}
+    shared = [f for f in declared_schema(name).fields if f.name in have | needed]
+    return mismatches(schema, t.StructType(shared))
+
+
+def _files(spark: SparkSession, folder: str) -> set[str]:
+    """Names of the files in one folder; none if it isn't there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return set()
+    return {status.getPath().getName() for status in files.listStatus(path)}
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_table(
-    df: DataFrame, root: str, name: str, pack: bool = True, replace_all: bool = True
+    df: DataFrame, root: str, name: str, pack: bool = True, months: Collection[str] | None = None
 ) -> str:
     """Write one warehouse table and return its path.
 
-    `replace_all` drops what was there; otherwise only the partitions present in
-    `df` are replaced, so a run for one month leaves the others alone.
+    Without `months` it replaces what was there. With them it replaces exactly those
+    months' partitions: a month without rows in `df` ends up empty, and all others are
+    left alone. Each partition changes at once.
 
     `pack` shuffles rows to their partition first, into files of the session's
     advisory size: few files, and a partition value that holds most rows is
     still spread over many tasks. Without it each task writes a file for every
     partition value it meets, which suits tables of a few large partitions.
     """
-    if name in TABLES:
-        wrong = mismatches(df.schema, TABLES[name])
-        if wrong:
-            raise ValueError(f"{name} does not fit its contract: " + "; ".join(wrong))
+    wrong = _unfit(df.schema, name)
+    if wrong:
+        raise ValueError(f"{name} does not fit its contract: " + "; ".join(wrong))
     by = PARTITIONED_BY[name]
     path = table_path(root, name)
+    spark, before = df.sparkSession, {}
+    if months is not None:
+        before = {f"{path}/{by}={m}": _files(spark, f"{path}/{by}={m}") for m in months}
+        df = df.filter(F.col(by).isin([*months]))
     out = df.hint("rebalance", F.col(by)) if pack else df
     (
         out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
+        .option("partitionOverwriteMode", "static" if months is None else "dynamic")
         .option("compression", "snappy")
         .partitionBy(by)
         .parquet(path)
     )
+    for folder, old in before.items():
+        if old & _files(spark, folder):  # no new rows replaced the old ones
+            _remove(spark, folder)
     return path
 
 

@@ -82,7 +82,8 @@ def heartbeat(
 ) -> DataFrame:
     """One event just far enough past the newest one to close every open window.
 
-    For bounded replays. It opens a window of its own, which stays open.
+    For bounded replays. It holds a time and nothing else, so it is counted nowhere and
+    its own window never appears.
     """
     ahead = (window_seconds or settings.window_seconds) + settings.lateness_seconds + 1
     latest = events.agg(F.max("event_time").alias("latest")).filter(F.col("latest").isNotNull())

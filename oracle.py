@@ -8,8 +8,8 @@ METRICS = [
     "isd_og_mou", "monthly_2g", "monthly_3g", "night_pck_user", "fb_user",
 ]
 INTS = METRICS[-4:]
-YEARS = {1997: ("_6", "2014-06"), 1998: ("_7", "2014-07"), 1999: ("_8", "2014-08"),
-         2000: ("_9", "2014-09")}
+YEARS = {1992 + m: (f"_{m}", f"2014-{m:02}") for m in range(3, 10)}
+VBC_MONTHS = ("mar", "apr", "may", "jun", "jul", "aug", "sep")
 
 
 def rnd(x: str, digits: int) -> str:
@@ -21,8 +21,13 @@ def rnd(x: str, digits: int) -> str:
 
 
 def xsum(x: str) -> str:
-    """Exact sum at six decimals."""
-    return f"(CAST(sum(CAST(round(({x}) * 1000000) AS HUGEINT)) AS DOUBLE) / 1000000)"
+    """Sum: exact for values that have six decimals, plain for all others."""
+    off = f"abs(round(({x}) * 1000000) / 1000000 - ({x}))"
+    fits = f"{off} <= 1e-15::DOUBLE * abs({x}) AND abs({x}) < 16777216"
+    exact = f"sum(CASE WHEN {fits} THEN CAST(round(({x}) * 1000000) AS HUGEINT) END)"
+    plain = f"sum(CASE WHEN NOT ({fits}) THEN {x} END)"
+    exact = f"(CAST({exact} AS DOUBLE) / 1000000)"
+    return f"(CASE WHEN {plain} IS NULL THEN {exact} ELSE coalesce({exact}, 0) + {plain} END)"
 
 
 def xavg(x: str) -> str:
@@ -46,7 +51,7 @@ yearly_orders AS (
   SELECT o_custkey AS ck, year(o_orderdate) AS y, {xsum("o_totalprice")} / 1000 AS arpu,
          CAST(count(*) AS DOUBLE) AS total_rech_num, {xsum("o_totalprice")} AS total_rech_amt,
          max(o_totalprice) AS max_rech_amt
-  FROM orders WHERE year(o_orderdate) BETWEEN 1997 AND 2000 GROUP BY 1, 2),
+  FROM orders GROUP BY 1, 2),
 yearly_items AS (
   SELECT o_custkey AS ck, year(o_orderdate) AS y,
     sum(CASE WHEN l_returnflag = 'A' THEN l_quantity * 10 END) AS total_og_mou,
@@ -63,8 +68,7 @@ yearly_items AS (
     count(CASE WHEN l_linenumber = 3 THEN 1 END) AS night_pck_user,
     count(CASE WHEN l_linenumber = 4 THEN 1 END) AS fb_user,
     count(CASE WHEN l_linenumber = 5 THEN 1 END) AS vbc_3g
-  FROM orders JOIN lineitem ON l_orderkey = o_orderkey
-  WHERE year(o_orderdate) BETWEEN 1997 AND 2000 GROUP BY 1, 2),
+  FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2),
 months(y, report_month) AS (
   VALUES {", ".join(f"({y}, '{label}')" for y, (_, label) in YEARS.items())}),
 base AS (
@@ -101,7 +105,7 @@ def _wide() -> str:
     ]
     columns += [
         f"max(CASE WHEN y = {y} THEN vbc_3g END) AS {name}_vbc_3g"
-        for y, name in zip(YEARS, ("jun", "jul", "aug", "sep"))
+        for y, name in zip(YEARS, VBC_MONTHS)
     ]
     columns += [
         f"max(CASE WHEN y = {y} AND ordered THEN '{y}-12-31' END) AS last_date_of_month{suffix}"
@@ -205,7 +209,7 @@ alerts AS (
   FROM declines WHERE calls_decline_pct > 0.5 OR data_decline_pct > 0.5)"""
 
 
-def _silent() -> str:
+def _silent(also: str = "") -> str:
     return f"""
 silent AS (
   SELECT mobile_number, circle_id, aon, report_month, prev_arpu,
@@ -216,7 +220,7 @@ silent AS (
     CASE WHEN prev_arpu >= 500 THEN '高价值客户沉默, 建议客服48小时内回访'
       WHEN prev_arpu >= 200 THEN '中等价值客户, 建议推送优惠活动召回'
       ELSE '低价值客户, 建议短信营销触达' END AS recommendation
-  FROM compared WHERE is_active_call = 0 AND is_active_data = 0)"""
+  FROM compared WHERE (is_active_call = 0 AND is_active_data = 0) {also})"""
 
 
 def _events() -> str:
@@ -404,10 +408,25 @@ def statements() -> dict[str, str]:
             *silent,
         ),
         "layer_counts": q(layers, *rank, _compared(), _alerts(), _silent()),
+        "month_rerun_corrected": q(
+            "SELECT * FROM silent",
+            *compared,
+            _silent("OR (report_month = '2014-09' AND circle_id IN ('0', '1', '2'))"),
+        ),
+        "month_rerun_emptied": q("SELECT * FROM silent WHERE report_month <> '2014-09'", *silent),
+        "mart_if_written": q("SELECT * FROM ranking", *rank),
+        "mart_catalog_table": q("SELECT * FROM ranking", *rank),
         "mart_parquet_pruned": q("SELECT * FROM alerts WHERE report_month = '2014-09'", *alerts),
         "extract_csv_roundtrip": q("SELECT * FROM ranking", *rank),
         "usage_events": q(narrow, usage),
         "usage_events_two_months": q(f"{narrow} {two_months}", usage),
+        "usage_events_absent_columns": q(
+            f"""SELECT mobile_number, circle_id, report_month,
+              {rnd(z("total_og_mou"), 2)} AS total_calls, {rnd(z("vol_3g_mb"), 2)} AS total_data_mb,
+              {rnd(z("arpu"), 2)} AS arpu, {rnd(z("total_rech_amt"), 2)} AS total_rech_amt, {stamp},
+              false AS _anomaly FROM long""",
+            usage,
+        ),
         "usage_events_rich": q(f"{rich} FROM long", usage),
         "usage_events_narrowed": q(
             f"""SELECT mobile_number, circle_id, report_month, {CALLS} AS total_calls,
@@ -432,6 +451,14 @@ def statements() -> dict[str, str]:
         "risk_alert_stream": q(
             f"SELECT {RISK_COLUMNS} FROM graded WHERE alert_level <> 'INFO'", *day
         ),
+        "risk_alert_stream_5min": q(
+            f"SELECT {RISK_COLUMNS} FROM graded WHERE alert_level <> 'INFO'", *five
+        ),
+        "stream_corrupt_lines": "SELECT '{broken ' || event_id AS line FROM events",
+        "alert_topic_messages": q(
+            f"SELECT circle_id AS key, {RISK_COLUMNS} FROM graded WHERE alert_level <> 'INFO'",
+            *day,
+        ),
         "risk_alert_late": q(
             f"SELECT {RISK_COLUMNS} FROM graded WHERE alert_level <> 'INFO'", *day
         ),
