@@ -5,6 +5,9 @@ from contextlib import redirect_stdout
 
 from pyspark.sql import DataFrame
 
+# Rows of the two reports over the four default months at the smallest scale.
+ALERT_ROWS, SILENT_ROWS = 190, 157
+
 SUFFIXES = ("_6", "_7", "_8", "_9")
 METRICS = (
     "arpu", "total_og_mou", "total_ic_mou", "roam_og_mou", "roam_ic_mou", "total_rech_num",

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from meterwell.functions.values import exact_avg, exact_sum
 from meterwell.operators.customer import customer_month_kpi
 from meterwell.operators.region import (
@@ -16,7 +18,7 @@ from helpers import operators, same, wide_frame
 
 
 def test_exact_sum_ignores_order_and_missing(spark):
-    values = [0.1, 0.2, 0.3, 1e9, -1e9, -0.7, None, float("nan"), 12.345678]
+    values = [0.1, 0.2, 0.3, 1e6, -1e6, -0.7, None, 12.345678]
     for data in (values, values[::-1]):
         df = spark.createDataFrame([(v,) for v in data], "x double")
         got = df.agg(exact_sum("x").alias("s"), exact_avg("x").alias("a")).first()
@@ -24,6 +26,36 @@ def test_exact_sum_ignores_order_and_missing(spark):
         assert got.a == 12.245678 / 7
 
 
+@pytest.mark.parametrize(
+    "values",
+    [[1e-7] * 1000, [1e19, 3.5], [float("inf"), 1.0], [float("inf"), float("-inf")],
+     [float("nan"), 2.0], [1 / 3, 2 / 3, 1e300], [1e10 + 0.25, -3.0]],
+)
+def test_exact_sum_is_sum_for_every_input(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = df.agg(
+        exact_sum("x").alias("s"), exact_avg("x").alias("a"), F.sum("x").alias("t"), F.avg("x").alias("b")
+    ).first()
+    assert got.s == pytest.approx(got.t, rel=1e-12, nan_ok=True)
+    assert got.a == pytest.approx(got.b, rel=1e-12, nan_ok=True)
+
+
+def test_exact_sum_of_a_million_tiny_values(spark):
+    df = spark.range(1_000_000).selectExpr("1e-7D AS x")
+    assert df.agg(exact_sum("x").alias("s")).first().s == pytest.approx(0.1, rel=1e-9)
+
+
+def test_nan_is_missing_in_every_reader_of_wide_rows(spark):
+    nan = float("nan")
+    wide = wide_frame(
+        spark, [{"mobile_number": 1, "total_og_mou_6": nan, "vol_2g_mb_6": nan, "arpu_6": nan}]
+    )
+    row = wide_to_long(wide, months=["2014-06"]).first()
+    assert (row.total_og_mou, row.arpu, row.is_active, row.total_data_mb) == (None, None, 0, 0.0)
+    kpi = region_month_kpi(wide_to_long(wide, months=["2014-06"])).first()
+    assert (kpi.active_customers, kpi.total_og_mou, kpi.avg_arpu) == (0, 0.0, None)
+
+
 def test_exact_sum_of_nothing_is_null(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert df.agg(exact_sum("x").alias("s"), exact_avg("x").alias("a")).first() == (None, None)

@@ -2,27 +2,18 @@ from __future__ import annotations
 
 from types import SimpleNamespace
 
-import pytest
-
 from meterwell.sources.scratch import scratch_dir, shared_root
 
 
-def fake(master: str, configured: str | None):
-    return SimpleNamespace(
-        conf=SimpleNamespace(get=lambda key, default: configured),
-        sparkContext=SimpleNamespace(master=master, applicationId="app-1"),
-    )
-
-
-def test_cluster_folder_comes_from_the_session():
-    assert shared_root(fake("yarn", "hdfs:///shared/")) == "hdfs:///shared"
-    with pytest.raises(ValueError):
-        shared_root(fake("yarn", None))
+def fake(**settings: str):
+    known = {key.replace("_", "."): value for key, value in settings.items()}
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, *default: known.get(key)))
 
 
-def test_local_session_falls_back_to_one_temporary_folder():
-    local = fake("local[2]", None)
-    assert shared_root(local) == shared_root(local)
+def test_folder_comes_from_the_session():
+    both = {"spark_checkpoint_dir": "hdfs:///shared/", "spark_sql_warehouse_dir": "hdfs:///tables"}
+    assert shared_root(fake(**both)) == "hdfs:///shared"
+    assert shared_root(fake(spark_sql_warehouse_dir="hdfs:///tables")) == "hdfs:///tables"
 
 
 def test_every_scratch_folder_is_new(spark):

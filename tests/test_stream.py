@@ -83,5 +83,19 @@ def test_corrupt_lines_are_kept_aside(spark, usage):
     assert "{broken" in line.value
 
 
+def test_heartbeat_raises_no_alert_when_events_follow(spark, usage):
+    """The heartbeat's own window closes later and must not appear."""
+    source, out, state = (scratch_dir(spark, n) for n in ("in", "out", "state"))
+    append_event_files(usage, source)
+    append_event_files(heartbeat(usage, window_seconds=HOUR), source)
+    run(spark, source, out, state)
+    later = usage.withColumn("event_time", F.col("event_time") + F.expr("INTERVAL 60 DAYS"))
+    append_event_files(later, source)
+    run(spark, source, out, state)
+    append_event_files(heartbeat(later, window_seconds=HOUR), source)
+    run(spark, source, out, state)
+    same(read_alerts(spark, out), risk_alerts(usage.unionByName(later), window_seconds=HOUR))
+
+
 def test_heartbeat_of_no_events_is_empty(usage):
     assert heartbeat(usage.filter("false")).count() == 0

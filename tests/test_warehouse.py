@@ -8,6 +8,7 @@ from meterwell.plans.pipeline import ALERTS, LAYERS, RANKING, SILENT, layer_coun
 from meterwell.schemas import DETAIL_TABLE, RAW_TABLE, TABLES, mismatches, wide_schema
 from meterwell.sources.extracts import read_extract
 from meterwell.sources.scratch import scratch_dir
+from meterwell.sources.star import STAR
 from meterwell.sources.tables import (
     read_table,
     read_table_if_written,
@@ -16,7 +17,7 @@ from meterwell.sources.tables import (
 )
 from meterwell.sources.wide_csv import read_csv_inferred, read_wide_csv, write_wide_csv
 
-from helpers import operators, plan, same, wide_frame
+from helpers import ALERT_ROWS, SILENT_ROWS, operators, plan, same, wide_frame
 
 
 @pytest.fixture(scope="module")
@@ -34,7 +35,7 @@ def test_layers_are_written_to_their_contracts(spark, warehouse, stored_wide):
     n = stored_wide.count()
     assert counts["ods_raw"] == n and counts["dwd_long"] == counts["dws_customer_kpi"] == 4 * n
     assert counts["dws_circle_kpi"] == counts["ads_ranking"] == 100
-    assert (counts["ads_alerts"], counts["ads_silent"]) == (169, 124)
+    assert (counts["ads_alerts"], counts["ads_silent"]) == (ALERT_ROWS, SILENT_ROWS)
 
 
 def test_month_filter_prunes_partitions(spark, warehouse):
@@ -65,11 +66,12 @@ def test_one_month_run_replaces_only_that_month(spark, stored_wide):
     assert read_table(spark, root, RANKING).count() == 100
 
 
-def test_extracts_are_single_files(spark, warehouse):
+def test_extracts(spark, warehouse):
     _, paths = warehouse
     extract = read_extract(spark, paths["circle_ranking"], TABLES[RANKING])
-    assert len(extract.inputFiles()) == 1 and extract.count() == 100
-    assert read_extract(spark, paths["decline_alerts"], TABLES[ALERTS]).count() == 169
+    assert extract.count() == 100
+    top = read_extract(spark, paths["decline_alerts"], TABLES[ALERTS])
+    assert len(top.inputFiles()) == 1 and top.count() == ALERT_ROWS
 
 
 def test_contract_violation_is_refused(spark):
@@ -124,7 +126,7 @@ def test_rank_filter_is_limited_early(stored_wide):
 def test_csv_types_come_from_the_header(spark, stored_wide):
     path = scratch_dir(spark, "csv")
     write_wide_csv(stored_wide, path)
-    back = read_wide_csv(spark, path)
+    back = read_wide_csv(spark, path, STAR)
     assert back.dtypes == stored_wide.dtypes
     same(back, stored_wide)
     inferred = dict(read_csv_inferred(spark, path).dtypes)
@@ -186,4 +188,53 @@ def test_latest_month_only(spark, warehouse):
     latest = dashboard.dashboard_latest_rank(read_table(spark, root, RANKING)).collect()
     assert {r.report_month for r in latest} == {"2014-09"} and len(latest) == 25
     scores = [r.composite_score for r in latest]
-    assert scores == sorted(scores)
+    known = [s for s in scores if s is not None]
+    assert scores == [None] * (25 - len(known)) + sorted(known)
+
+
+def test_latest_month_needs_no_single_partition(spark, warehouse):
+    root, _ = warehouse
+    text = plan(dashboard.dashboard_latest_rank(read_table(spark, root, RANKING)))
+    assert text.count("SinglePartition") == 1  # the one-row maximum
+
+
+def test_month_without_rows_ends_up_empty(spark):
+    def wide(calls):
+        rows = [{"mobile_number": 1, "circle_id": "a", "total_og_mou_8": 100, "total_og_mou_9": calls}]
+        return wide_frame(spark, rows)
+
+    root = scratch_dir(spark, "warehouse")
+    run_pipeline(wide(0), root)
+    before = {n: read_table(spark, root, n) for n in (ALERTS, SILENT)}
+    assert [d.filter("report_month = '2014-09'").count() for d in before.values()] == [1, 1]
+    others = read_table(spark, root, SILENT).filter("report_month < '2014-09'").count()
+    run_pipeline(wide(100), root, months=["2014-09"])
+    for name in (ALERTS, SILENT):
+        assert read_table(spark, root, name).filter("report_month = '2014-09'").count() == 0
+    assert read_table(spark, root, SILENT).count() == others
+
+
+def test_empty_region_is_a_missing_one(spark):
+    root = scratch_dir(spark, "warehouse")
+    rows = [{"mobile_number": 1, "circle_id": ""}, {"mobile_number": 2}]
+    run_pipeline(wide_frame(spark, rows), root)
+    assert [r[0] for r in read_table(spark, root, RAW_TABLE).select("circle_id").collect()] == [None] * 2
+
+
+def test_csv_columns_match_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("mobile_number,arpu_6,total_og_mou_6\n1,10,20\n")
+    (tmp_path / "b.csv").write_text("total_og_mou_6,mobile_number,arpu_6,loc_og_mou_6\n40,2,30,5\n")
+    got = {r.mobile_number: r for r in read_wide_csv(spark, str(tmp_path)).collect()}
+    assert (got[1].arpu_6, got[1].total_og_mou_6, got[1].loc_og_mou_6) == (10, 20, None)
+    assert (got[2].arpu_6, got[2].total_og_mou_6, got[2].loc_og_mou_6) == (30, 40, 5)
+
+
+def test_csv_cells_that_do_not_fit_are_not_lost(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(
+        'mobile_number,arpu_6,aon,circle_id\n1,abc,2,x\n2,"1,200",1.9,y\n3,1.5, 7 ,z\n'
+    )
+    with pytest.raises(Exception, match="do not fit"):
+        read_wide_csv(spark, str(tmp_path)).collect()
+    kept = {r.mobile_number: r for r in read_wide_csv(spark, str(tmp_path), bad_cells="keep").collect()}
+    assert kept[1]["_bad_cells"] == ["arpu_6"] and kept[2]["_bad_cells"] == ["arpu_6", "aon"]
+    assert kept[3]["_bad_cells"] == [] and (kept[3].arpu_6, kept[3].aon) == (1.5, 7)
