@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterwell.llm import language, lines, mixing, neighbours, packing, passages, secrets, simhash, sketches
+from meterwell.llm import (
+    language,
+    lines,
+    mixing,
+    neighbours,
+    packing,
+    passages,
+    secrets,
+    sharding,
+    simhash,
+    sketches,
+)
 from meterwell.llm.tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +40,11 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(documents(spark, sf_dir))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.place(documents(spark, sf_dir), sharding.shard_names())
+    return placed.select("doc_id", "source", "shard")
+
+
 def op6_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.remove_repeated_passages(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
@@ -62,6 +78,7 @@ _QUERIES = (
     op2_best_fit_packing,
     op3_document_fingerprints,
     op4_source_mixing,
+    op5_sharding,
     op6_passage_dedup,
     op7_line_dedup,
     op8_simhash_near_dedup,
