@@ -184,10 +184,10 @@ def local_search(
     """`bins` with fewer bins where exchanges between underfull bins can empty some.
 
     Takes the underfull bins from the emptiest on and gives what they hold to fuller
-    ones: a whole document (move), a longer for a shorter one (one for one), or two
-    for one and one for two. Each step makes a fuller bin fuller, so the sum of
-    squared fills grows and the search ends; `steps` bounds it. It stops as soon as
-    no fewer bins are possible.
+    ones: a whole document (move), a longer for a shorter one (one for one), or one for
+    two shorter ones (two for one). Each step makes a fuller bin fuller, so the sum of
+    squared fills grows and the search ends; `steps` bounds it. Rounds go on until one
+    changes nothing or no fewer bins are possible.
     """
     bins = bins.copy()
     fill = np.bincount(bins, lengths, minlength=bins.max(initial=-1) + 1).astype(np.int64)
@@ -211,39 +211,43 @@ def local_search(
         bins[item] = place[at[item]] = target
 
     all_bins = np.array(sorted(members))
-    for donor in sorted(members, key=lambda b: fill[b]):
-        if used <= least or steps <= 0:
-            break
-        improved = True
-        while improved and members[donor] and steps > 0:
-            improved = False
-            for item in sorted(members[donor], key=lambda i: -lengths[i]):
-                steps -= 1
-                length = int(lengths[item])
-                room = capacity - fill[all_bins]
-                fuller = (fill[all_bins] >= fill[donor]) & (all_bins != donor)
-                fits = np.flatnonzero(fuller & (room >= length))
-                if len(fits):  # move
-                    put(item, int(all_bins[fits[np.argmin(room[fits])]]))
-                    improved = True
-                    continue
-                # One for one: the partner whose place the item fills best.
-                spare = capacity - fill[place]
-                gain = length - size
-                good = (gain > 0) & (gain <= spare) & (fill[place] >= fill[donor]) & (place != donor)
-                best = int(np.argmax(np.where(good, gain, 0)))
-                if good.any() and good[best]:
-                    partner = int(loose[best])
-                    target = int(bins[partner])
-                    put(partner, donor)
-                    put(item, target)
-                    improved = True
-                    break
-                if _two_for_one(item, donor, members, fill, lengths, capacity, put, all_bins):
-                    improved = True
-                    break
-        if not members[donor]:
-            used -= 1
+    changed = True
+    while changed and used > least and steps > 0:
+        changed = False
+        for donor in sorted(members, key=lambda b: fill[b]):
+            if used <= least or steps <= 0:
+                break
+            improved = True
+            while improved and members[donor] and steps > 0:
+                improved = False
+                for item in sorted(members[donor], key=lambda i: -lengths[i]):
+                    steps -= 1
+                    length = int(lengths[item])
+                    room = capacity - fill[all_bins]
+                    fuller = (fill[all_bins] >= fill[donor]) & (all_bins != donor)
+                    fits = np.flatnonzero(fuller & (room >= length))
+                    if len(fits):  # move
+                        put(item, int(all_bins[fits[np.argmin(room[fits])]]))
+                        improved = changed = True
+                        continue
+                    # One for one: the partner whose place the item fills best.
+                    gain = length - size
+                    good = (gain > 0) & (gain <= capacity - fill[place])
+                    good &= (fill[place] >= fill[donor]) & (place != donor)
+                    if good.any():
+                        partner = int(loose[np.argmax(np.where(good, gain, 0))])
+                        target = int(bins[partner])
+                        put(partner, donor)
+                        put(item, target)
+                        improved = changed = True
+                        break
+                    if _two_for_one(item, donor, members, fill, lengths, capacity, put, all_bins):
+                        improved = changed = True
+                        break
+            if not members[donor]:
+                used -= 1
+                del members[donor]
+                all_bins = all_bins[all_bins != donor]
     return bins
 
 
