@@ -106,10 +106,11 @@ class Automata:
 def _candidates(docs: pd.DataFrame, phrases: pd.DataFrame) -> pd.DataFrame:
     """Windows of one block that hold a recurring phrase, with what the block can decide.
 
-    Rows (h1, h2, id, row, block, start, run, sure). `sure` marks runs of windows that a
-    smaller id of this very block holds too; the others stand for themselves.
+    Rows (h1, h2, id, row, span): a window by its hash, with its start in the upper half
+    of `span`. Where the lower half isn't 0 it is the length of a run of windows that a
+    smaller id of this very block holds too.
     """
-    columns = ["h1", "h2", "id", "row", "block", "start", "run", "sure"]
+    columns = ["h1", "h2", "id", "row", "span"]
     docs = docs.drop_duplicates("row")
     texts = dict(zip(docs["row"], (t.encode("utf-8") for t in docs["text"])))
     words = {row: texts[row].split() for row in set(phrases["row"])}
@@ -142,7 +143,7 @@ def _candidates(docs: pd.DataFrame, phrases: pd.DataFrame) -> pd.DataFrame:
             pd.DataFrame(
                 {"h1": h1.view(np.int64), "h2": (h2 >> np.uint64(33)).astype(np.int32),
                  "id": part["id"].to_numpy()[owner], "row": part["row"].to_numpy()[owner],
-                 "start": (at - ends[owner]).astype(np.int32)}
+                 "start": at - ends[owner]}
             )
         )
     if not parts:
@@ -150,16 +151,17 @@ def _candidates(docs: pd.DataFrame, phrases: pd.DataFrame) -> pd.DataFrame:
     windows = pd.concat(parts, ignore_index=True)
     least = windows.groupby(["h1", "h2"], sort=False)["id"].transform("min")
     local = windows[windows["id"] > least].sort_values(["row", "start"])
-    open_ = windows[windows["id"] <= least].assign(run=1, sure=False)
+    open_ = windows[windows["id"] <= least]
+    open_ = open_.assign(span=open_["start"].to_numpy() << 32)
     new = np.r_[True, (np.diff(local["row"]) != 0) | (np.diff(local["start"]) != 1)][: len(local)]
-    runs = local[new].assign(
-        run=np.diff(np.append(np.flatnonzero(new), len(local))), sure=True
-    )
+    runs = local[new]
+    lengths = np.diff(np.append(np.flatnonzero(new), len(local)))
+    runs = runs.assign(span=(runs["start"].to_numpy() << 32) + lengths)
     # A run needs no partner: its own place keeps it apart from every window.
-    place = runs["row"].to_numpy(np.int64) ^ (runs["start"].to_numpy(np.int64) << np.int64(20))
+    place = runs["row"].to_numpy(np.int64) ^ runs["span"].to_numpy(np.int64)
     runs["h1"] = mixed(place.view(np.uint64)).view(np.int64)
     runs["h2"] = np.int32(-1)
-    return pd.concat([open_, runs], ignore_index=True).assign(block=docs["block"].iloc[0])[columns]
+    return pd.concat([open_, runs], ignore_index=True)[columns]
 
 
 def _kept(docs: pd.DataFrame, gone: pd.DataFrame) -> pd.DataFrame:
@@ -172,9 +174,9 @@ def _kept(docs: pd.DataFrame, gone: pd.DataFrame) -> pd.DataFrame:
         n = len(words)
         if own is not None:
             edges = np.zeros(n + 1, np.int64)
-            first = own["start"].to_numpy()
+            first, run = own["span"].to_numpy() >> 32, own["span"].to_numpy() & 0xFFFFFFFF
             np.add.at(edges, first, 1)
-            np.add.at(edges, first + own["run"].to_numpy() - 1 + WINDOW, -1)
+            np.add.at(edges, first + np.maximum(run, 1) - 1 + WINDOW, -1)
             keep = np.cumsum(edges[:-1]) == 0
             words = [words[i] for i in np.flatnonzero(keep).tolist()]
         out.append((id_, n, n - len(words), b" ".join(words).decode("utf-8")))
@@ -225,11 +227,11 @@ def remove_repeated_passages(
         return _candidates(part.assign(id=part["id"].astype("int64")), own_phrases)
 
     windows = texts.cogroup(compiled.groupBy("block")).applyInPandas(
-        locate, "h1 long, h2 int, id long, row long, block int, start int, run int, sure boolean"
+        locate, "h1 long, h2 int, id long, row long, span long"
     )
     smallest = F.min("id").over(Window.partitionBy("h1", "h2"))
-    gone = windows.withColumn("least", smallest).where("sure OR id > least")
-    gone = gone.select("block", "row", "start", "run")
+    gone = windows.withColumn("least", smallest).where("h2 = -1 OR id > least")
+    gone = gone.select(block, "row", "span")
     kept = texts.cogroup(gone.groupBy("block")).applyInPandas(
         _kept, "id string, n_words long, n_removed long, kept_text string"
     )
