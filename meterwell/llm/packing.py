@@ -22,7 +22,7 @@ BLOCK = 40_000
 # Exchanges tried in a block at most.
 STEPS = 4_000
 # Words whose ids a worker remembers, and documents whose words are learned together.
-REMEMBERED = 500_000
+REMEMBERED = 350_000
 TOGETHER = 256
 
 _PIECES = "id string, piece int, start long, length long, ids_crc32 long"
