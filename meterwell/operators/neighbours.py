@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from meterwell.sources.scratch import scratch_dir
+
 # Keys with more rows than this are split into segments of about as many rows.
 CROWD = 100_000
 _COPIES_PER_TASK_ROW = 10_000
@@ -25,6 +27,9 @@ def with_previous_row(
     the last row of the segment before it. Both ways give the same pairs. The
     number of segments is joined to the rows, by broadcast only where adaptive
     execution finds the crowded keys few enough.
+
+    `df` is read twice: to count its keys, and to write its rows with their number
+    of segments to the shared folder. The rest reads that table.
     """
     rows = df.withColumns(
         {"_tie": F.xxhash64(*df.columns), "_here": F.struct(*values)}
@@ -33,9 +38,13 @@ def with_previous_row(
         df.groupBy(key)
         .agg(F.count("*").alias("_rows"))
         .filter(F.col("_rows") > crowd)
-        .select(F.col(key).alias("_key"), F.ceil(F.log2(F.col("_rows") / crowd)).cast("int").alias("_bits"))
+        .select(
+            F.col(key).alias("_key"),
+            F.ceil(F.log2(F.col("_rows") / crowd)).cast("int").alias("_bits"),
+        )
     )
     placed = rows.join(crowded, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+    placed = _written(placed)
 
     history = Window.partitionBy(key).orderBy(order, "_tie", "_here")
     usual = placed.filter("_bits IS NULL").withColumn("before", F.lag("_here").over(history))
@@ -43,6 +52,12 @@ def with_previous_row(
     return usual.unionByName(segmented).drop("_tie", "_here", "_bits")
 
 
+def _written(rows: DataFrame) -> DataFrame:
+    path = scratch_dir(rows.sparkSession, "placed-rows")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def _by_segments(rows: DataFrame, key: str, order: str) -> DataFrame:
     """The split keys. Equal rows are counted, paired once, and repeated after."""
     place = [key, order, "_segment"]

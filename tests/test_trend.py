@@ -170,3 +170,15 @@ def test_split_pairs_against_brute_force(spark):
     expected |= {b[::2]: a[::2] for a, b in zip(ordered, ordered[1:])}
     got = with_previous_row(df, "k", "m", ["m", "v"], crowd=10).collect()
     assert {(r.m, r.v): None if r.before is None else tuple(r.before) for r in got} == expected
+
+
+def test_lag_reads_its_input_twice_with_a_crowded_key(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(3000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN NULL ELSE id % 50 END AS k", "concat('m', id % 7) AS m", "id AS v"
+    ).write.parquet(path)
+    df = spark.read.parquet(path)
+    out = with_previous_row(df, "k", "m", ["m", "v"], crowd=100)
+    # What is left to run reads the written rows only: two scans went before it.
+    assert path not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == 3000
