@@ -131,6 +131,7 @@ def dashboard_usage_sample(usage: DataFrame, settings: Settings = DEFAULTS) -> D
         text = value.cast("bigint") if digits == 0 else value
         return F.nvl(text.cast("string"), F.lit("nan"))
 
+    # The words of the chart's hover text.
     hover = F.concat(
         F.lit("Circle "), F.nvl("circle_id", F.lit("nan")),
         F.lit("<br>Calls: "), shown("total_calls", 0), F.lit("min"),

@@ -1,4 +1,8 @@
-"""The SQL equivalent of each query, for DuckDB over the same tables."""
+"""The SQL equivalent of each query, for DuckDB over the same tables.
+
+Fixed values: the report texts and thresholds in the SQL are the reports' contract, typed
+here a second time so that the SQL stands for itself.
+"""
 
 from __future__ import annotations
 
