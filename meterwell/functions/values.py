@@ -17,7 +17,8 @@ def as_column(c: str | Column) -> Column:
 def without_nan(df: DataFrame) -> DataFrame:
     """`df` with NaN as null in its number columns: a measure is there or it is missing.
 
-    Every reader of wide rows applies it, so no operator meets NaN.
+    Every reader of wide rows applies it to the months it has unpivoted, so no operator
+    meets NaN.
     """
     numbers = [n for n, kind in df.dtypes if kind in ("double", "float")]
     return df.withColumns({n: F.nanvl(n, F.lit(None).cast("double")) for n in numbers})

@@ -38,10 +38,11 @@ def chart_usage(
         for suffix, _ in settings.months
         if m + suffix not in have
     ]
-    base = without_nan(wide).withColumns(
+    base = wide.withColumns(
         {"circle_id": F.col("circle_id").cast("string"), **{c: F.lit(0.0) for c in absent}}
     )
-    return unpivot(base, ["mobile_number", "circle_id"], _METRICS, rows).withColumns(
+    usage = without_nan(unpivot(base, ["mobile_number", "circle_id"], _METRICS, rows))
+    return usage.withColumns(
         {
             "total_calls": F.col("total_og_mou") + F.col("total_ic_mou"),
             "total_data": F.col("vol_2g_mb") + F.col("vol_3g_mb"),

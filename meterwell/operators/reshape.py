@@ -89,7 +89,7 @@ def wide_to_long(
         (label, [metric + suffix for metric in metrics])
         for suffix, label in chosen_months(settings, months)
     ]
-    return with_activity(unpivot(without_nan(wide), static, metrics, rows))
+    return with_activity(without_nan(unpivot(wide, static, metrics, rows)))
 
 
 def wide_to_long_by_union(
@@ -102,7 +102,6 @@ def wide_to_long_by_union(
     """
     metrics = monthly_metrics(wide.columns, settings)
     static = [c for c in settings.static_columns if c in wide.columns]
-    wide = without_nan(wide)
     branches = [
         wide.select(
             *static,
@@ -112,7 +111,7 @@ def wide_to_long_by_union(
         for suffix, label in chosen_months(settings, months)
     ]
     long = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), branches)
-    return with_activity(long.select(*static, *metrics, "report_month"))
+    return with_activity(without_nan(long.select(*static, *metrics, "report_month")))
 
 
 def with_activity(long: DataFrame) -> DataFrame:

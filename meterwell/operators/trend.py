@@ -76,7 +76,7 @@ def month_over_month(
         if label in wanted
     ]
     values = [*_INPUTS, *(f"before_{m}" for m in _INPUTS)]
-    pairs = unpivot(without_nan(wide), list(settings.static_columns), values, rows)
+    pairs = without_nan(unpivot(wide, list(settings.static_columns), values, rows))
 
     prev_month = F.lit(None).cast("string")
     for label, before in previous.items():
