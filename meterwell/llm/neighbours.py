@@ -13,8 +13,13 @@ from meterwell.llm.components import connected_components
 from meterwell.llm.tables import stored
 
 COSINE = 0.95
-# Vectors in a shard: what splits aim at, and what a task may hold.
+# Vectors in a shard: what splits aim at, and what a task searches by graph. Larger shards
+# that no split separates are searched exactly, in pairs of blocks of about SHARD_MOST.
 SHARD, SHARD_MOST = 600, 4_000
+# Sampled links from which a vector counts as part of a crowd; ANGLE is COSINE as an angle.
+SEEN, ANGLE = 8, float(np.arccos(COSINE))
+# What the name of a shard that is searched exactly starts with; such come first in order.
+WHOLE = "!"
 # Shards a split makes, shards a vector goes to at the first and at later splits.
 FANOUT, OVERLAP, LATER_OVERLAP = 64, 3, 2
 # Vectors that centroids are fitted to, a shard; rounds of fitting; splits at most.
@@ -46,17 +51,57 @@ def centroids(x: np.ndarray, k: int) -> np.ndarray:
     return c
 
 
+def _joined(touch: np.ndarray) -> np.ndarray:
+    """The smallest index that each row of the symmetric matrix `touch` is connected to."""
+    label = np.arange(len(touch))
+    while True:
+        least = np.where(touch, label[None, :], len(label)).min(1, initial=len(label))
+        new = np.minimum(label, least)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def crowds(x: np.ndarray, c: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The cell of each centroid of `c`, and the cosine from which a cell takes a vector.
+
+    `x` is a sample of `size` vectors. A vector is crowded if about SHARD / 4 others are
+    linked to it; a split would tear its links apart. So centroids that linked crowded
+    vectors are nearest to share one cell, named by the smallest. A crowd's cell takes
+    only what is near enough to be linked to a vector of the crowd; other cells take all.
+    """
+    nearest = (x @ c.T).argmax(1)
+    least = max(SEEN, SHARD / 4 * len(x) / size)
+    degree = np.concatenate(
+        [(x[at : at + 512] @ x.T >= COSINE).sum(1) - 1 for at in range(0, len(x), 512)]
+    )
+    crowded = degree >= least
+    y, near = x[crowded], nearest[crowded]
+    touch = np.zeros((len(c), len(c)), bool)
+    for at in range(0, len(y), 512):
+        i, j = np.nonzero(y[at : at + 512] @ y.T >= COSINE)
+        touch[near[at + i], near[j]] = True
+    cell, takes = _joined(touch | touch.T), np.full(len(c), -2.0)
+    away = np.arccos(np.clip(np.einsum("nd,nd->n", y, c[near]), -1, 1))
+    for own in np.unique(cell[near]):
+        # The crowd's radius is that of a sample, so some more is allowed.
+        reach = 1.2 * away[cell[near] == own].max() + ANGLE + 0.05
+        takes[cell == own] = np.cos(min(np.pi, reach))
+    return cell, takes
+
+
 def valid_vectors(rows: DataFrame) -> DataFrame:
     """The rows (id, v) whose vector has a direction: no null or non-finite part, not zero."""
     sound = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return rows.where(F.col("v").isNotNull() & sound & F.exists("v", lambda x: x != 0))
 
 
-def _split(members: DataFrame, sizes: DataFrame, overlap: int) -> DataFrame:
-    """Members (node, n, v, shard) of the shards in `sizes`, each in its nearest new shards.
+def _fitted(members: DataFrame, sizes: DataFrame, aim: int) -> DataFrame:
+    """(shard, c, cell, takes) of each shard in `sizes`: its centroids and crowds.
 
-    Centroids are fitted in a task per shard to about SAMPLE of its vectors, drawn by
-    hash, and joined back to the shard's vectors as one row.
+    They are fitted in a task per shard to about SAMPLE of its vectors, drawn by hash;
+    there is a centroid for each `aim` vectors, up to FANOUT.
     """
     share = F.col("sample") / F.col("size")
     place = F.pmod(F.xxhash64("node", "shard"), F.lit(1 << 30)) / (1 << 30)
@@ -64,26 +109,41 @@ def _split(members: DataFrame, sizes: DataFrame, overlap: int) -> DataFrame:
 
     def fit(own: pd.DataFrame) -> pd.DataFrame:
         x = _matrix(own.sort_values("node")["v"])
-        k = int(np.clip(-(-int(own["size"].iloc[0]) // SHARD), 2, FANOUT))
-        return pd.DataFrame({"shard": own["shard"].iloc[:1], "c": [centroids(x, k).ravel()]})
+        size = int(own["size"].iloc[0])
+        c = centroids(x, int(np.clip(-(-size // aim), 2, FANOUT)))
+        cell, takes = crowds(x, c, size)
+        return pd.DataFrame(
+            {"shard": own["shard"].iloc[:1], "c": [c.ravel()], "cell": [cell], "takes": [takes]}
+        )
 
     sampled = members.join(sized, "shard").where(place < share)
-    fitted = sampled.groupBy("shard").applyInPandas(fit, "shard string, c array<double>")
-    fitted = stored(fitted, "centroids")  # its size on disk decides how it is joined
+    fitted = sampled.groupBy("shard").applyInPandas(
+        fit, "shard string, c array<double>, cell array<int>, takes array<double>"
+    )
+    return stored(fitted, "centroids")  # its size on disk decides how it is joined
+
+
+def _split(members: DataFrame, fitted: DataFrame, overlap: int) -> DataFrame:
+    """Members (node, n, v, shard) of the shards in `fitted`, each in its nearest new shards."""
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for shard, own in batch.groupby("shard"):
                 x = _matrix(own["v"])
                 c = np.asarray(own["c"].iloc[0]).reshape(-1, x.shape[1])
-                order = np.argsort(-(x @ c.T), axis=1, kind="stable")[:, :overlap]
+                cell, takes = np.asarray(own["cell"].iloc[0]), np.asarray(own["takes"].iloc[0])
+                sims, names = x @ c.T, np.unique(cell)
+                best = np.stack([sims[:, cell == i].max(1) for i in names], axis=1)
+                best[best < takes[names]] -= 4  # after all cells that take it
+                order = np.argsort(-best, axis=1, kind="stable")[:, :overlap]
                 for j in range(order.shape[1]):
+                    taken = best[np.arange(len(x)), order[:, j]] >= (-1.5 if j else -9)
                     yield pd.DataFrame(
-                        {"node": own["node"], "n": own["n"], "v": own["v"],
-                         "shard": [f"{shard}.{i}" for i in order[:, j]]}
+                        {"node": own["node"][taken], "n": own["n"][taken], "v": own["v"][taken],
+                         "shard": [f"{shard}.{i}" for i in names[order[taken, j]]]}
                     )
 
-    joined = members.join(fitted, "shard").select("node", "n", "v", "shard", "c")
+    joined = members.join(fitted, "shard").select("node", "n", "v", "shard", "c", "cell", "takes")
     return joined.mapInPandas(assign, "node long, n long, v array<double>, shard string")
 
 
@@ -91,17 +151,29 @@ def shards(nodes: DataFrame, overlap: int = OVERLAP) -> DataFrame:
     """Members (node, n, v, shard) of overlapping cluster shards.
 
     Shards of more than SHARD_MOST vectors are split by their own centroids until none
-    is left or DEPTH is reached, so the work of a task doesn't grow with the input.
+    is left that can be. What is one crowd, or is large after DEPTH splits, stays whole
+    and gets a name that starts with WHOLE.
     """
     members = stored(nodes.withColumn("shard", F.lit("0")), "members")
     done: list[DataFrame] = []
-    for depth in range(DEPTH):
+    whole = F.concat(F.lit(WHOLE), "shard")
+    for depth in range(DEPTH + 1):
         sizes = members.groupBy("shard").agg(F.count(F.lit(1)).alias("size"))
         large = stored(sizes.where(F.col("size") > (SHARD_MOST if depth else SHARD)), "large")
         if large.isEmpty():
             break
         done.append(members.join(large, "shard", "left_anti"))
-        members = stored(_split(members, large, LATER_OVERLAP if depth else overlap), "members")
+        if depth == DEPTH:
+            members = members.join(large, "shard", "left_semi").withColumn("shard", whole)
+            break
+        fitted = _fitted(members, large, SHARD)
+        one = F.size(F.array_distinct("cell")) == 1
+        crowd = fitted.where(one).join(large, "shard").select("shard", "size")
+        kept = members.join(crowd, "shard")
+        named = F.when(F.col("size") > SHARD_MOST, whole).otherwise(F.col("shard"))
+        done.append(kept.withColumn("shard", named).select(members.columns))
+        members = _split(members, fitted.where(~one), LATER_OVERLAP if depth else overlap)
+        members = stored(members, "members")
     for part in done:
         members = members.unionByName(part)
     return members
@@ -256,6 +328,155 @@ def _search(members: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"node": node, "links": links, "near": node[tops]})
 
 
+def _blocks(members: DataFrame) -> DataFrame:
+    """(shard, node, n, v, earlier, block): shards cut into blocks of about SHARD_MOST.
+
+    Members of a block have the nearest centroid and the earlier whole shards that hold
+    them in common.
+    """
+    sizes = stored(members.groupBy("shard").agg(F.count(F.lit(1)).alias("size")), "sizes")
+
+    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for _, own in batch.groupby("shard"):
+                x = _matrix(own["v"])
+                c = np.asarray(own["c"].iloc[0]).reshape(-1, x.shape[1])
+                yield own.drop(columns="c").assign(near=(x @ c.T).argmax(1))
+
+    fitted = _fitted(members, sizes, SHARD_MOST // 2).select("shard", "c")
+    types = "shard string, node long, n long, v array<double>, earlier array<string>"
+    placed = members.join(fitted, "shard").select("shard", "node", "n", "v", "earlier", "c")
+    placed = stored(placed.mapInPandas(nearest, f"{types}, near long"), "placed")
+    counts = placed.groupBy("shard", "near", "earlier").agg(F.count(F.lit(1)).alias("size"))
+    counts = stored(counts, "block-sizes").select(
+        "shard", "near", F.col("earlier").alias("sign"), "size"
+    )
+    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / SHARD_MOST))
+    name = F.concat_ws("/", "shard", "near", F.concat_ws(",", "earlier"), part)
+    same = ["shard", "near"]
+    joined = placed.join(counts, same).where(F.col("earlier") == F.col("sign"))
+    return joined.select("shard", "node", "n", "v", "earlier", name.alias("block"))
+
+
+def _outline(block: pd.DataFrame) -> pd.DataFrame:
+    """One row for a block: its mean direction, the radius about it, and what it counts."""
+    x = _matrix(block["v"])
+    c = x.sum(0)
+    c = c / np.sqrt(c @ c) if c @ c > 1e-24 else x[0]
+    radius = float(np.arccos(np.clip((x @ c).min(), -1, 1)))
+    return pd.DataFrame(
+        {"shard": block["shard"].iloc[:1], "block": block["block"].iloc[:1], "c": [c],
+         "earlier": block["earlier"].iloc[:1], "radius": radius, "copies": int(block["n"].sum()),
+         "first": int(block["node"].min())}
+    )
+
+
+def _met(pair: pd.DataFrame) -> pd.DataFrame:
+    """Rows (node, links, near) of the links between two blocks, or inside one, by comparing all."""
+    a, b = pair[pair["side"] == 0], pair[pair["side"] == 1]
+    if inside := not len(b):
+        b = a
+    x, y = _matrix(a["v"]), _matrix(b["v"])
+    node_a, node_b = a["node"].to_numpy(np.int64), b["node"].to_numpy(np.int64)
+    n_a, n_b = a["n"].to_numpy(np.int64), b["n"].to_numpy(np.int64)
+    linked = np.empty((len(x), len(y)), bool)
+    for at in range(0, len(x), 512):
+        linked[at : at + 512] = x[at : at + 512] @ y.T >= COSINE
+    if inside:
+        linked &= linked.T
+        np.fill_diagonal(linked, False)
+    links_a = np.array([n_b[row].sum() for row in linked], np.int64)
+    links_b = np.array([n_a[row].sum() for row in linked.T], np.int64)
+    # Each linked member takes the smallest node of its component inside the pair.
+    far = np.iinfo(np.int64).max
+    top_a, top_b = node_a.copy(), node_b.copy()
+    changed = True
+    while changed:
+        before = top_a.sum(), top_b.sum()
+        for i in range(0, len(x), 512):
+            met = np.where(linked[i : i + 512], top_b[None, :], far).min(1)
+            top_a[i : i + 512] = np.minimum(top_a[i : i + 512], met)
+        for i in range(0, len(y), 512):
+            met = np.where(linked[:, i : i + 512], top_a[:, None], far).min(0)
+            top_b[i : i + 512] = np.minimum(top_b[i : i + 512], met)
+        changed = before != (top_a.sum(), top_b.sum())
+    out = pd.DataFrame({"node": node_a, "links": links_a, "near": top_a})
+    if not inside:
+        other = pd.DataFrame({"node": node_b, "links": links_b, "near": top_b})
+        out = pd.concat([out, other], ignore_index=True)
+    return out[out["links"] > 0]
+
+
+def _exactly(members: DataFrame) -> DataFrame:
+    """(node, links, near) of all links inside each shard of (shard, node, n, v, earlier).
+
+    Pairs that a shard in `earlier` holds too are left to it. Two blocks whose centres
+    and radii rule links out don't meet, those in which all must be linked are counted
+    without their vectors, any other two meet in a task.
+    """
+    blocks = stored(_blocks(members), "blocks")
+    outlines = stored(
+        blocks.groupBy("block").applyInPandas(
+            _outline,
+            "shard string, block string, c array<double>, earlier array<string>,"
+            " radius double, copies long, first long",
+        ),
+        "outlines",
+    )
+    a, b = (
+        outlines.select("shard", *(F.col(c).alias(f"{c}_{s}") for c in outlines.columns[1:]))
+        for s in "ab"
+    )
+
+    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                p, q = np.stack(batch.pop("c_a")), np.stack(batch.pop("c_b"))
+                angle = np.arccos(np.clip(np.einsum("nd,nd->n", p, q), -1, 1))
+                angle[batch["block_a"] == batch["block_b"]] = 0
+                radii = (batch["radius_a"] + batch["radius_b"]).to_numpy()
+                batch["every"] = angle + radii <= ANGLE - 1e-6
+                yield batch[angle - radii <= ANGLE + 1e-6].drop(columns=["radius_a", "radius_b"])
+
+    pairs = a.join(b, "shard").where("block_a <= block_b AND NOT arrays_overlap(earlier_a, earlier_b)")
+    ends = [f"{c}_{s}" for c in ("block", "copies", "first", "c", "radius") for s in "ab"]
+    types = "block_a string, block_b string, copies_a long, copies_b long, first_a long, first_b long"
+    pairs = stored(pairs.select(ends).mapInPandas(judge, f"{types}, every boolean"), "block-pairs")
+    other = pairs.where("block_a != block_b")
+    every = pairs.where("every").select(
+        F.col("block_a").alias("block"), F.col("copies_b").alias("copies"), F.col("first_b").alias("near"),
+        (F.col("block_a") == F.col("block_b")).alias("own"),
+    ).union(other.where("every").select("block_b", "copies_a", "first_a", F.lit(False)))
+    sums = every.groupBy("block").agg(
+        F.sum("copies").alias("copies"), F.max("own").alias("own"), F.collect_set("near").alias("nears")
+    )
+    counted = blocks.join(sums, "block").select(
+        "node", (F.col("copies") - F.when(F.col("own"), F.col("n")).otherwise(0)).alias("links"),
+        F.array_min("nears").alias("near"), "block", "nears",
+    )
+    # A whole block is tied to the first node of each block by one of its own members.
+    firsts = outlines.select(F.col("block").alias("of"), F.col("first").alias("head"))
+    heads = counted.join(firsts, (F.col("block") == F.col("of")) & (F.col("node") == F.col("head")))
+    ties = heads.select("node", F.lit(0).cast("long").alias("links"), F.explode("nears").alias("near"))
+    some = pairs.where("NOT every")
+    sides = some.select(
+        F.col("block_a").alias("block"), F.lit(0).alias("side"), "block_a", "block_b"
+    ).union(
+        some.where("block_a != block_b").select("block_b", F.lit(1), "block_a", "block_b")
+    )
+    meeting = blocks.join(sides, "block").select("block_a", "block_b", "side", "node", "n", "v")
+    met = meeting.groupBy("block_a", "block_b").applyInPandas(
+        _met, "node long, links long, near long"
+    )
+    return counted.select("node", "links", "near").union(ties).union(met)
+
+
+def _all_links(nodes: DataFrame) -> DataFrame:
+    """(node, links, near) of every node with a link, from one shard that is searched exactly."""
+    none = F.array().cast("array<string>")
+    return stored(_exactly(nodes.select(F.lit(WHOLE).alias("shard"), "*", none.alias("earlier"))), "found")
+
+
 def _brute_force(nodes: DataFrame, size: int = AUDIT) -> DataFrame:
     """(node, true_links) of about `size` nodes drawn by hash, counted against all nodes.
 
@@ -292,16 +513,21 @@ def recall(links: DataFrame, audit: DataFrame) -> float:
 
 def _linked(nodes: DataFrame, overlap: int) -> DataFrame:
     """(node, links, near) of every node, from the graph over `overlap` shards a node."""
-    members = stored(shards(nodes, overlap), "shards")
+    every = stored(shards(nodes, overlap), "shards")
+    is_whole = F.col("shard").startswith(WHOLE)
+    members, whole = every.where(~is_whole), every.where(is_whole)
     graph = members.groupBy("shard").applyInPandas(_edges, "node long, near long")
     lists = graph.distinct().groupBy("node").agg(F.collect_list("near").alias("nears"))
-    of = members.groupBy("node").agg(F.collect_list("shard").alias("shards"))
+    of = every.groupBy("node").agg(F.collect_list("shard").alias("shards"))
     none = F.array().cast("array<bigint>")
     extras = of.join(lists, "node", "left").withColumn("nears", F.coalesce("nears", none))
     joined = members.join(extras, "node")
-    return stored(
-        joined.groupBy("shard").applyInPandas(_search, "node long, links long, near long"), "found"
-    )
+    found = joined.groupBy("shard").applyInPandas(_search, "node long, links long, near long")
+    if not whole.isEmpty():
+        before = F.filter("shards", lambda s: s.startswith(WHOLE) & (s < F.col("shard")))
+        held = whole.join(of, "node").withColumn("earlier", F.sort_array(before))
+        found = found.union(_exactly(held.select("shard", "node", "n", "v", "earlier")))
+    return stored(found, "found")
 
 
 def near_duplicates(
@@ -316,7 +542,9 @@ def near_duplicates(
     its medoid for its members' links. Links are counted and tied together in the task,
     so a group of any size gives out one row a member and shard. The links of about
     AUDIT nodes are counted by brute force; below a recall of RECALL the graph is built
-    again over twice as many shards a node.
+    again over twice as many shards a node, and at FANOUT all nodes are searched exactly.
+    A crowd of more than SHARD_MOST vectors that link among themselves isn't split: its
+    links are counted exactly, in pairs of blocks.
 
     Vectors that are null, empty, zero or hold null or non-finite parts link with
     nothing, nor do vectors of different lengths with each other. Rows that repeat an
@@ -339,12 +567,11 @@ def near_duplicates(
         audit = stored(_brute_force(nodes), "audit")
         overlap = OVERLAP
         found = _linked(nodes, overlap)
-        while overlap < FANOUT:
-            links = found.groupBy("node").agg((F.sum("links")).alias("links"))
-            if recall(links, audit) >= RECALL:
-                break
+        while recall(found.groupBy("node").agg(F.sum("links").alias("links")), audit) < RECALL:
             overlap *= 2
-            found = _linked(nodes, overlap)
+            found = _linked(nodes, overlap) if overlap < FANOUT else _all_links(nodes)
+            if overlap >= FANOUT:
+                break
         found_parts.append(found)
     if not found_parts:
         return rows.select(

@@ -124,6 +124,44 @@ def test_embeddings_in_many_shards(spark, monkeypatch):
     assert all(r.kept == (r.vec_id == r.component_id) for r in rows)
 
 
+def test_crowds_larger_than_a_shard_keep_all_links(spark, monkeypatch):
+    """A tight and a wide crowd, both larger than any shard searched by graph, and pairs."""
+    monkeypatch.setattr(neighbours, "SHARD", 60)
+    monkeypatch.setattr(neighbours, "SHARD_MOST", 150)
+    # The audit may not send the crowds to a second try.
+    monkeypatch.setattr(neighbours, "recall", lambda links, audit: 1.0)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(1500, 24))
+    x[:500] = x[0] + rng.normal(size=(500, 24)) * 0.03
+    x[500:900] = x[500] + rng.normal(size=(400, 24)) * 0.26
+    x[1000:1010] = x[1010:1020] * 3
+    x[:1500:2] *= 1.7
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    rows = sorted(neighbours.near_duplicates(df.repartition(5)).collect())
+    near = brute_force(x)
+    links = near.sum(1)
+    assert 0 < near[500:900, 500:900].mean() < 0.95  # the wide crowd links in part
+    assert [r.n_links for r in rows[:900]] == links[:900].tolist()
+    pairs = [(int(a), int(b)) for a, b in zip(*np.nonzero(near))]
+    assert [r.component_id for r in rows[:900]] == components(len(x), pairs)[:900]
+
+
+def test_low_recall_ends_in_an_exact_search(spark, monkeypatch):
+    """When no retry is good enough the result is exact and not the last try."""
+    monkeypatch.setattr(neighbours, "SHARD", 20)
+    monkeypatch.setattr(neighbours, "SHARD_MOST", 40)
+    monkeypatch.setattr(neighbours, "FANOUT", 6)
+    monkeypatch.setattr(neighbours, "recall", lambda links, audit: 0.5)
+    rng = np.random.default_rng(7)
+    x = np.repeat(rng.normal(size=(80, 12)), 3, axis=0) + rng.normal(size=(240, 12)) * 0.12
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    rows = sorted(neighbours.near_duplicates(df).collect())
+    near = brute_force(x)
+    assert [r.n_links for r in rows] == near.sum(1).tolist()
+    pairs = [(int(a), int(b)) for a, b in zip(*np.nonzero(near))]
+    assert [r.component_id for r in rows] == components(len(x), pairs)
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
