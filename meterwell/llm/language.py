@@ -272,11 +272,15 @@ def in_some_language(
 
     A document goes if it is null, has no letter, or codes in more than MAX_BITS bits a
     byte under every language, by MARGIN bits in all. With nothing learned only the
-    first two go.
+    first two go. Each row is judged by its own text, whatever its id, null included.
     """
     trees = learn(docs, id_col, text_col, lang_col)
-    found = predict(docs, trees, id_col, text_col)
+    text, id_ = F.col(text_col), F.col(id_col).cast("string")
+    # Id and 128 hash bits of the text; a null id is left out of the key.
+    key = F.concat_ws("/", id_, F.xxhash64(text), F.xxhash64(text, F.lit(1)))
+    keyed = docs.withColumn("__key", key)
+    found = predict(keyed, trees, "__key", text_col)
     other = found.where((F.col("bits") - MAX_BITS) * F.col("n_bytes") > MARGIN)
-    gone = stored(other.select(F.col(id_col).alias("__gone")).distinct(), "other-languages")
-    lettered = docs.where(F.col(text_col).rlike(r"\p{L}"))
-    return lettered.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    gone = stored(other.select(F.col("__key").alias("__gone")).distinct(), "other-languages")
+    lettered = keyed.where(text.rlike(r"\p{L}"))
+    return lettered.join(gone, F.col("__key") == F.col("__gone"), "left_anti").drop("__key")

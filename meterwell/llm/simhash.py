@@ -150,6 +150,16 @@ def near_links(prints: DataFrame) -> DataFrame:
     return pairs.union(_links_by_midpoint(stored(crowded, "crowded"))).distinct()
 
 
+def _placed(rows: DataFrame) -> DataFrame:
+    """(fp, first_id, component) of the distinct fingerprints of `rows` (id, fp)."""
+    prints = stored(rows.groupBy("fp").agg(F.min("id").alias("first_id")), "prints")
+    labels = connected_components(near_links(prints), "a", "b")
+    placed = prints.join(labels, prints.fp == labels.node, "left").select(
+        "fp", "first_id", F.coalesce("component", "fp").alias("component")
+    )
+    return stored(placed, "placed")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -164,12 +174,7 @@ def near_duplicates(
     """
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = stored(fingerprints(own, "id", "text"), "fingerprints")
-    prints = stored(rows.groupBy("fp").agg(F.min("id").alias("first_id")), "prints")
-    labels = connected_components(near_links(prints), "a", "b")
-    placed = prints.join(labels, prints.fp == labels.node, "left").select(
-        "fp", "first_id", F.coalesce("component", "fp").alias("component")
-    )
-    placed = stored(placed, "placed")
+    placed = _placed(rows)
     smallest = placed.groupBy("component").agg(F.min("first_id").alias("component_id"))
     by_print = placed.join(smallest, "component").select("fp", "component_id")
     return rows.join(by_print, "fp").select(
@@ -182,8 +187,19 @@ def near_duplicates(
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` with its own columns and one document of each group: that with the smallest id.
 
-    Rows with a null id stay, and rows that repeat a staying id stay together.
+    A document is an id with a text, so an id that repeats with other texts is judged
+    text by text; between texts of the smallest id in a group their hash decides. Rows
+    with a null id stay, and rows that repeat a staying document stay together.
     """
-    found = near_duplicates(docs, id_col, text_col)
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone"))
-    return docs.join(gone.distinct(), docs[id_col] == F.col("_gone"), "left_anti")
+    text = F.col(text_col)
+    hashes = [F.xxhash64(text).alias("_h1"), F.xxhash64(text, F.lit(1)).alias("_h2")]
+    rows = docs.select(F.col(id_col).alias("id"), *hashes, _fingerprints(text).alias("fp"))
+    rows = stored(rows, "fingerprints")
+    placed = _placed(rows).select("fp", "component")
+    known = rows.where("id IS NOT NULL").join(placed, "fp")
+    document = F.struct("id", "_h1", "_h2")
+    firsts = known.groupBy("component").agg(F.min(document).alias("first"))
+    gone = known.join(firsts, "component").where(document != F.col("first"))
+    gone = gone.select(F.col("id").alias("_gone"), "_h1", "_h2").distinct()
+    same = (hashes[0] == F.col("_h1")) & (hashes[1] == F.col("_h2"))
+    return docs.join(gone, (docs[id_col] == F.col("_gone")) & same, "left_anti")

@@ -85,6 +85,14 @@ def test_groups_of_odd_documents(odd_documents, no_documents):
     assert ids.count(5) == 2 and 6 not in ids and ids.count(None) == 2
 
 
+def test_one_of_each_judges_repeated_ids_by_text(spark):
+    a, b = (" ".join(f"{w}{i}" for i in range(400)) for w in "ab")
+    rows = [(3, a), (5, a), (5, b), (9, b), (5, b), (None, a), (7, "all alone"), (7, b)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(map(tuple, simhash.one_of_each(docs).collect()), key=str)
+    assert kept == sorted([(3, a), (5, b), (5, b), (None, a), (7, "all alone")], key=str)
+
+
 def test_components_of_chains_stars_and_loops(spark):
     pairs = [(i, i + 1) for i in range(100, 140)] + [(7, i) for i in range(20, 60)] + [(3, 3), (5, None)]
     df = spark.createDataFrame(pairs, "a long, b long")

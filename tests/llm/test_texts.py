@@ -285,6 +285,19 @@ def test_languages_of_odd_documents(odd_documents, no_documents):
     assert {1, 2, 3, 12, 13}.isdisjoint({r[0] for r in kept.select("doc_id").collect()})
 
 
+def test_foreign_bytes_take_no_other_text_of_their_id(spark, documents):
+    noise = "".join(map(chr, np.random.default_rng(1).integers(0x4E00, 0x9FFF, 400)))
+    clean = documents.where("lang = 'en'").orderBy("doc_id").first()
+    odd = [(clean.doc_id, noise, None), (None, noise, None), (None, clean.text, None)]
+    odd = spark.createDataFrame(odd, "doc_id long, text string, lang string")
+    docs = documents.select("doc_id", "text", "lang").unionByName(odd)
+    kept = language.in_some_language(docs)
+    assert kept.columns == docs.columns
+    rows = {(r.doc_id, r.text) for r in kept.collect()}
+    assert {(clean.doc_id, clean.text), (None, clean.text)} <= rows
+    assert noise not in {text for _, text in rows}
+
+
 def test_foreign_bytes_are_rejected(spark, documents):
     noise = np.random.default_rng(1).integers(0x4E00, 0x9FFF, 400)
     odd = spark.createDataFrame([(10**6, "".join(map(chr, noise)), None)], "doc_id long, text string, lang string")
