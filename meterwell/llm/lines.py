@@ -45,7 +45,8 @@ class LineRuns:
     `add` writes a batch's own run on level 0. When a level holds `fanout` runs they
     are merged into one run of the next level, so a key is rewritten only once a
     level and there are at most `fanout` - 1 runs a level. Runs are tables sorted by
-    hash in the shared folder. A batch must not hold a document of an earlier one.
+    hash in the shared folder. A batch must not hold a document of an earlier one; it
+    doesn't look at earlier runs, as counts are settled by `surplus` after loading.
     """
 
     def __init__(self, fanout: int = FANOUT):
@@ -85,7 +86,7 @@ class LineRuns:
         return self._merged([run for level in self.levels for run in level])
 
     def surplus(self, lines: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-        """The rows of `lines` that repeat: what a merge anti-join with the runs leaves out.
+        """The rows of `lines` that repeat, by one semi-join with all runs merged.
 
         A row goes if at least `min_docs` documents hold its key and one of them has
         a larger id. Both sides are shuffled by key, so adaptive execution can split
