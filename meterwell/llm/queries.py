@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterwell.llm import (
+    clustering,
+    divergence,
+    exact,
     language,
     lines,
     mixing,
@@ -73,6 +76,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents(spark, sf_dir))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_duplicates(documents(spark, sf_dir))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 _QUERIES = (
     op1_embedding_near_dedup,
     op2_best_fit_packing,
@@ -84,6 +99,9 @@ _QUERIES = (
     op8_simhash_near_dedup,
     op9_secret_scan,
     op10_language_id,
+    op11_source_divergence,
+    op12_exact_dedup,
+    op13_centroid_clustering,
 )
 
 
@@ -98,4 +116,7 @@ def oracle_sql() -> dict[str, str]:
         op6_passage_dedup.__name__: passages.SQL,
         op7_line_dedup.__name__: lines.SQL,
         op9_secret_scan.__name__: secrets.SQL,
+        op11_source_divergence.__name__: divergence.SQL,
+        op12_exact_dedup.__name__: exact.SQL,
+        op13_centroid_clustering.__name__: clustering.SQL,
     }
