@@ -3,7 +3,7 @@
     jobs.py batch  --input DIR_OR_CSV --output ROOT [--months 7,8] [--parquet]
     jobs.py events --input DIR_OR_CSV --output DIR  [--months 7,8] [--parquet]
     jobs.py stream --events DIR --alerts DIR --stats DIR --corrupt DIR --checkpoint DIR
-                   [--window-size 300] [--once]
+                   [--window-size 300] [--once] [--max-idle SECONDS]
 """
 
 from __future__ import annotations
@@ -13,12 +13,12 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from meterwell import session
-from meterwell.operators.events import corrupt_events, usage_events
+from meterwell.operators.events import usage_events
 from meterwell.plans.pipeline import layer_counts, run_pipeline
 from meterwell.settings import DEFAULTS
 from meterwell.sources.messages import stream_event_files, write_event_files
 from meterwell.sources.wide_csv import read_wide_csv
-from meterwell.streaming.risk_stream import alert_stream, start_json_sink, stats_stream
+from meterwell.streaming.one_pass import OnePass, run_until_idle, start_one_pass
 
 
 def _spark(settings: dict[str, str]) -> SparkSession:
@@ -49,23 +49,20 @@ def events(args: argparse.Namespace) -> None:
 
 
 def stream(args: argparse.Namespace) -> None:
+    """One query for all results; it keeps its tables beside its checkpoint.
+
+    With `--once` it works through what is there, with `--max-idle` it ends when no
+    line came for so long and closes the last windows, else it runs on.
+    """
     spark = _spark(session.STREAM)
-    decoded, size = stream_event_files(spark, args.events), args.window_size
-    # Each sink keeps its own progress. Lines that are no events go to `corrupt`.
-    sinks = {
-        args.alerts: alert_stream(decoded, window_seconds=size),
-        args.stats: stats_stream(decoded, window_seconds=size),
-        args.corrupt: corrupt_events(decoded),
-    }
-    started = [
-        start_json_sink(rows, out, f"{args.checkpoint}/{number}", args.once)
-        for number, (out, rows) in enumerate(sinks.items())
-    ]
-    if args.once:
-        for query in started:
-            query.awaitTermination()
+    decoded = stream_event_files(spark, args.events)
+    state = f"{args.checkpoint.rstrip('/')}/tables"
+    sink = OnePass(state, args.alerts, args.stats, args.corrupt, window_seconds=args.window_size)
+    checkpoint = f"{args.checkpoint.rstrip('/')}/query"
+    if args.max_idle is not None:
+        run_until_idle(decoded, sink, checkpoint, args.max_idle)
     else:
-        spark.streams.awaitAnyTermination()  # a failed sink ends the job
+        start_one_pass(decoded, sink, checkpoint, args.once).awaitTermination()
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -82,7 +79,9 @@ def main(argv: list[str] | None = None) -> None:
     for name in ("--events", "--alerts", "--stats", "--corrupt", "--checkpoint"):
         job.add_argument(name, required=True)
     job.add_argument("--window-size", type=int, default=DEFAULTS.window_seconds)
-    job.add_argument("--once", action="store_true")
+    how = job.add_mutually_exclusive_group()
+    how.add_argument("--once", action="store_true")
+    how.add_argument("--max-idle", type=float)
     job.set_defaults(run=stream)
     args = parser.parse_args(argv)
     args.run(args)

@@ -51,9 +51,12 @@ def region_windows(
     ).filter("customer_count > 0")
 
 
-def _graded(events: DataFrame, s: Settings, window_seconds: int | None) -> DataFrame:
-    level, reason = window_rules(s)
-    return region_windows(events, s, window_seconds).withColumns(
+def graded_windows(
+    events: DataFrame, settings: Settings = DEFAULTS, window_seconds: int | None = None
+) -> DataFrame:
+    """The region windows with level and reason, from which all reports are made."""
+    level, reason = window_rules(settings)
+    return region_windows(events, settings, window_seconds).withColumns(
         {"alert_level": level, "alert_reason": reason}
     )
 
@@ -69,8 +72,13 @@ def window_risk(
     events: DataFrame, settings: Settings = DEFAULTS, window_seconds: int | None = None
 ) -> DataFrame:
     """One graded record per window and region, INFO included."""
+    return risk_records(graded_windows(events, settings, window_seconds))
+
+
+def risk_records(graded: DataFrame) -> DataFrame:
+    """Graded windows as the records that are given out."""
     n = F.col("customer_count")
-    return _graded(events, settings, window_seconds).select(
+    return graded.select(
         "circle_id",
         *_bounds(),
         "customer_count",
@@ -91,7 +99,11 @@ def risk_alerts(
     events: DataFrame, settings: Settings = DEFAULTS, window_seconds: int | None = None
 ) -> DataFrame:
     """The records that call for action: every level but INFO."""
-    return window_risk(events, settings, window_seconds).filter(F.col("alert_level") != T.INFO)
+    return alert_records(graded_windows(events, settings, window_seconds))
+
+
+def alert_records(graded: DataFrame) -> DataFrame:
+    return risk_records(graded).filter(F.col("alert_level") != T.INFO)
 
 
 def window_stats(
@@ -102,10 +114,13 @@ def window_stats(
     A second aggregate over the region windows. On a stream both run in append
     mode under the same watermark.
     """
+    return stats_records(graded_windows(events, settings, window_seconds))
+
+
+def stats_records(graded: DataFrame) -> DataFrame:
     level = F.col("alert_level")
     return (
-        _graded(events, settings, window_seconds)
-        .groupBy("window")
+        graded.groupBy("window")
         .agg(
             F.sum("customer_count").alias("total_events"),
             F.count("*").alias("circles_analyzed"),
@@ -145,12 +160,16 @@ def window_arpu_decline(
     The window function runs over one row per region window, so its groups grow
     with elapsed time and not with events.
     """
+    return arpu_decline_records(region_windows(events, settings, window_seconds), settings)
+
+
+def arpu_decline_records(windows: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """The same from region windows that are there already."""
     history = Window.partitionBy("circle_id").orderBy("window.start")
     before, now = F.col("prev_avg_arpu"), F.col("mean_arpu")
     fall = F.when(before > 0, 1 - now / before).otherwise(0.0)
     return (
-        region_windows(events, settings, window_seconds)
-        .withColumn("prev_avg_arpu", F.lag("mean_arpu").over(history))
+        windows.withColumn("prev_avg_arpu", F.lag("mean_arpu").over(history))
         .select(
             "circle_id",
             *_bounds(),

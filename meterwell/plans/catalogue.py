@@ -43,6 +43,16 @@ from meterwell.sources.tables import (
     write_table,
 )
 from meterwell.sources.wide_csv import read_wide_csv, write_wide_csv
+from meterwell.streaming.one_pass import (
+    OnePass,
+    corrupt_lines,
+    current_alerts,
+    current_stats,
+    current_windows,
+    run_totals,
+    run_until_idle,
+    start_one_pass,
+)
 from meterwell.streaming.risk_stream import (
     alert_stream,
     heartbeat,
@@ -470,6 +480,80 @@ def window_stats_stream(spark, sf_dir):
     return spark.read.schema(stats.schema).json(out)
 
 
+def _one_pass(spark: SparkSession, window_seconds: int = DAY) -> tuple[OnePass, str]:
+    """A sink with folders of its own, and a checkpoint."""
+    names = ("one-pass", "alerts", "stats", "corrupt")
+    sink = OnePass(*(scratch_dir(spark, n) for n in names), window_seconds=window_seconds)
+    return sink, scratch_dir(spark, "state")
+
+
+def _replayed(spark: SparkSession, sf_dir: str) -> OnePass:
+    """All events and a broken line for each, through one query in several batches."""
+    source = write_event_files(star_events(spark, sf_dir).repartition(3), scratch_dir(spark, "in"))
+    ids = table(spark, sf_dir, "events").select(F.concat(F.lit("{broken "), F.col("event_id")))
+    ids.toDF("value").coalesce(1).write.mode("append").text(source)
+    sink, state = _one_pass(spark)
+    decoded = stream_event_files(stream_session(spark), source, max_files_per_batch=2)
+    start_one_pass(decoded, sink, state, available_now=True).awaitTermination()
+    sink.close(decoded.sparkSession, decoded.schema)
+    return sink
+
+
+@_query
+def one_pass_alerts(spark, sf_dir):
+    """Alerts, statistics and broken lines from one read; here the alerts."""
+    sink = _replayed(spark, sf_dir)
+    return current_alerts(spark, sink.alerts, sink.stats)
+
+
+@_query
+def one_pass_stats(spark, sf_dir):
+    return current_stats(spark, _replayed(spark, sf_dir).stats)
+
+
+@_query
+def one_pass_corrupt_lines(spark, sf_dir):
+    return corrupt_lines(spark, _replayed(spark, sf_dir).corrupt)
+
+
+@_query
+def one_pass_totals(spark, sf_dir):
+    """Lines of a run, counted while they are stored."""
+    totals = run_totals(spark, _replayed(spark, sf_dir).state)
+    return totals.select("events", "corrupt_lines")
+
+
+@_query
+def late_rows_repaired(spark, sf_dir):
+    """A third of the events comes after all windows have closed."""
+    usage = star_events(spark, sf_dir)
+    source = scratch_dir(spark, "in")
+    sink, state = _one_pass(spark)
+    for late in (False, True):
+        first = F.xxhash64("mobile_number", "event_time") % 3 != 0
+        append_event_files(usage.filter(~first if late else first), source)
+        decoded = stream_event_files(stream_session(spark), source)
+        start_one_pass(decoded, sink, state, available_now=True).awaitTermination()
+        sink.close(decoded.sparkSession, decoded.schema)
+    return risk.risk_records(current_windows(spark, sink.state))
+
+
+@_query
+def idle_end_stats(spark, sf_dir):
+    """A running stream ends by itself after a while without lines; its last window appears."""
+    source = write_event_files(star_events(spark, sf_dir), scratch_dir(spark, "in"))
+    sink, state = _one_pass(spark)
+    decoded = stream_event_files(stream_session(spark), source)
+    run_until_idle(decoded, sink, state, max_idle_seconds=1)
+    return current_stats(spark, sink.stats)
+
+
+@_query
+def one_pass_arpu_decline(spark, sf_dir):
+    """Each region window against the one before, from the windows a stream has stored."""
+    return risk.arpu_decline_records(current_windows(spark, _replayed(spark, sf_dir).state))
+
+
 # Chart data
 
 

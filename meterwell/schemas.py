@@ -113,6 +113,16 @@ RISK_ALERT = struct(
     alert_reason="string",
 )
 
+WINDOW_STATS = struct(
+    window="string",
+    total_events="long",
+    circles_analyzed="long",
+    alerts_triggered="long",
+    n_critical="long",
+    n_warning="long",
+    n_info="long",
+)
+
 # Warehouse tables by name; the partition column comes last in storage.
 TABLES: dict[str, t.StructType] = {
     "dws_customer_monthly_kpi": struct(

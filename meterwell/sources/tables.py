@@ -25,8 +25,8 @@ def _unfit(schema: t.StructType, name: str) -> list[str]:
     return mismatches(schema, t.StructType(shared))
 
 
-def _files(spark: SparkSession, folder: str) -> set[str]:
-    """Names of the files in one folder; none if it isn't there."""
+def folder_names(spark: SparkSession, folder: str) -> set[str]:
+    """Names of the files and folders in one folder; none if it isn't there."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not files.exists(path):
@@ -60,7 +60,7 @@ def write_table(
     path = table_path(root, name)
     spark, before = df.sparkSession, {}
     if months is not None:
-        before = {f"{path}/{by}={m}": _files(spark, f"{path}/{by}={m}") for m in months}
+        before = {f"{path}/{by}={m}": folder_names(spark, f"{path}/{by}={m}") for m in months}
         df = df.filter(F.col(by).isin([*months]))
     out = df.hint("rebalance", F.col(by)) if pack else df
     (
@@ -71,7 +71,7 @@ def write_table(
         .parquet(path)
     )
     for folder, old in before.items():
-        if old & _files(spark, folder):  # no new rows replaced the old ones
+        if old & folder_names(spark, folder):  # no new rows replaced the old ones
             _remove(spark, folder)
     return path
 

@@ -342,6 +342,11 @@ def statements() -> dict[str, str]:
         text = f"CAST(CAST({value} AS BIGINT) AS VARCHAR)" if digits == 0 else f"CAST({value} AS VARCHAR)"
         return f"coalesce({text}, 'nan')"
 
+    decline = f"""SELECT circle_id, window_start, window_end, {rnd("ar", 2)} AS avg_arpu,
+          {rnd("p", 2)} AS prev_avg_arpu,
+          CASE WHEN p > 0 THEN {rnd("1 - ar / p", 4)} ELSE 0.0::DOUBLE END AS arpu_decline_pct,
+          CASE WHEN p > 0 AND 1 - ar / p > 0.5 THEN 'CRITICAL' ELSE 'INFO' END AS alert_level
+        FROM (SELECT *, lag(ar) OVER (PARTITION BY circle_id ORDER BY w0) AS p FROM graded)"""
     return {
         "wide_table": q(_wide(), usage),
         "wide_scan_csv": q(_wide(), usage),
@@ -466,6 +471,18 @@ def statements() -> dict[str, str]:
         "risk_alert_late": q(
             f"SELECT {RISK_COLUMNS} FROM graded WHERE alert_level <> 'INFO'", *day
         ),
+        "one_pass_alerts": q(
+            f"SELECT {RISK_COLUMNS} FROM graded WHERE alert_level <> 'INFO'", *day
+        ),
+        "one_pass_stats": q("SELECT * FROM stats", *day),
+        "one_pass_corrupt_lines": "SELECT '{broken ' || event_id AS line FROM events",
+        "one_pass_totals": q(
+            "SELECT (SELECT count(*) FROM ev) AS events, (SELECT count(*) FROM events) AS corrupt_lines",
+            events,
+        ),
+        "late_rows_repaired": q(f"SELECT {RISK_COLUMNS} FROM graded", *day),
+        "idle_end_stats": q("SELECT * FROM stats", *day),
+        "one_pass_arpu_decline": q(decline, *day),
         "window_stats": q("SELECT * FROM stats", *day),
         "window_stats_stream": q("SELECT * FROM stats", *day),
         "alert_summary": q(
@@ -476,14 +493,7 @@ def statements() -> dict[str, str]:
               CAST(sum(n_info) AS BIGINT) AS n_info FROM stats""",
             *five,
         ),
-        "window_arpu_decline": q(
-            f"""SELECT circle_id, window_start, window_end, {rnd("ar", 2)} AS avg_arpu,
-              {rnd("p", 2)} AS prev_avg_arpu,
-              CASE WHEN p > 0 THEN {rnd("1 - ar / p", 4)} ELSE 0.0::DOUBLE END AS arpu_decline_pct,
-              CASE WHEN p > 0 AND 1 - ar / p > 0.5 THEN 'CRITICAL' ELSE 'INFO' END AS alert_level
-            FROM (SELECT *, lag(ar) OVER (PARTITION BY circle_id ORDER BY w0) AS p FROM graded)""",
-            *day,
-        ),
+        "window_arpu_decline": q(decline, *day),
         "window_top_alerts": q(
             """SELECT window_start, CAST(r AS INTEGER) AS position, alert_level, circle_id,
               customer_count, silent_rate, zero_call_rate, alert_reason
