@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from meterwell import session
 from meterwell.operators.events import usage_events
-from meterwell.plans.pipeline import layer_counts, run_pipeline
+from meterwell.plans.pipeline import run_pipeline, written_counts
 from meterwell.settings import DEFAULTS
 from meterwell.sources.messages import stream_event_files, write_event_files
 from meterwell.sources.wide_csv import read_wide_csv
@@ -38,8 +38,9 @@ def _wide(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 def batch(args: argparse.Namespace) -> None:
     spark = _spark(session.BATCH)
     months = DEFAULTS.labels_for(args.months) if args.months else None
-    run_pipeline(_wide(spark, args), args.output, months=months)
-    layer_counts(spark, args.output).show(truncate=False)
+    written: dict[str, int] = {}
+    run_pipeline(_wide(spark, args), args.output, months=months, written=written)
+    written_counts(spark, written).show(truncate=False)
 
 
 def events(args: argparse.Namespace) -> None:

@@ -102,16 +102,17 @@ def dashboard_latest_bubble(region_month: DataFrame, settings: Settings = DEFAUL
 
 def dashboard_latest_rank(ranking: DataFrame) -> DataFrame:
     """Newest month's scores, lowest first, with the bar label."""
-    return (
-        latest_month(ranking)
-        .select(
-            "circle_id",
-            "report_month",
-            "composite_score",
-            F.round("composite_score", 1).alias("score_label"),
-        )
-        .orderBy("composite_score", F.desc("circle_id"))
-    )
+    return ranked_bars(latest_month(ranking))
+
+
+def ranked_bars(ranking: DataFrame) -> DataFrame:
+    """Scores of one month, lowest first, with the bar label."""
+    return ranking.select(
+        "circle_id",
+        "report_month",
+        "composite_score",
+        F.round("composite_score", 1).alias("score_label"),
+    ).orderBy("composite_score", F.desc("circle_id"))
 
 
 def dashboard_usage_sample(usage: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:

@@ -99,3 +99,21 @@ def _by_segments(rows: DataFrame, key: str, order: str) -> DataFrame:
         .withColumn("before", F.when(F.col("_copy") == 0, F.col("_first")).otherwise(F.col("_here")))
         .select(*rows.columns, "before")
     )
+
+
+def spread_copies(rows: DataFrame, copies: str) -> DataFrame:
+    """Each row as often as its column `copies` says, without that column.
+
+    Long runs are cut into blocks and dealt out before they are written, so that a row
+    with a large share of all copies is the work of many tasks.
+    """
+    block = F.lit(_COPIES_PER_TASK_ROW)
+    usual = rows.filter(F.col(copies) <= block)
+    usual = usual.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))
+    blocks = rows.filter(F.col(copies) > block).withColumn(
+        "_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col(copies) - 1, block))
+    )
+    last = F.least(F.col("_from") + block, F.col(copies)) - 1
+    dealt = blocks.repartition(*rows.columns, "_from")
+    dealt = dealt.withColumn("_copy", F.explode(F.sequence(F.col("_from"), last))).drop("_from")
+    return usual.unionByName(dealt).drop("_copy", copies)

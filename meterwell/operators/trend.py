@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from meterwell import wording as T
 from meterwell.functions.rules import (
@@ -18,7 +18,7 @@ from meterwell.functions.rules import (
     value_band,
 )
 from meterwell.functions.values import decline, without_nan, zero
-from meterwell.operators.neighbours import CROWD, with_previous_row
+from meterwell.operators.neighbours import CROWD, spread_copies, with_previous_row
 from meterwell.operators.reshape import chosen_months, unpivot
 from meterwell.settings import DEFAULTS, Settings
 
@@ -180,25 +180,34 @@ def silent_customers_by_join(
 ) -> DataFrame:
     """The same report from silent rows joined to their previous-month values.
 
-    Only silent rows are joined, on all that both sides know of a row and its number
-    among equal ones. So each row of a repeated or null id meets its own values, as in
-    the main form, and such ids are spread by the rest of their rows.
+    Rows meet on all that both sides know of them. Equal rows are counted first and
+    the counts are joined, so each row of a repeated or null id meets its own values as
+    in the main form, and rows that are alike on any share of the table are one row to
+    the shuffle and the join. A row without a partner has no previous values. `compared`
+    must be made from `long`: more compared rows than rows of one content are refused.
     """
     shared = ["mobile_number", "report_month", "circle_id", "aon", *MOVING]
     is_silent = (F.col("is_active_call") == 0) & (F.col("is_active_data") == 0)
-    alike = Window.partitionBy("_content")
-
-    def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
-        content = rows.filter(is_silent).select(
-            *shared, *(c for c in order if c not in shared), F.xxhash64(*shared).alias("_content")
-        )
-        return content.withColumn("_number", F.row_number().over(alike.orderBy(*shared, *order)))
-
-    now = numbered(long, ["mobile_number"])
-    before = numbered(compared, list(PREVIOUS.values())).select(
-        "_content", "_number", *PREVIOUS.values()
+    previous = list(PREVIOUS.values())
+    now = long.filter(is_silent).groupBy(*shared).agg(F.count("*").alias("_now"))
+    before = compared.filter(is_silent).groupBy(*shared, *previous).agg(F.count("*").alias("_copies"))
+    paired = before.groupBy(*shared).agg(F.sum("_copies").alias("_paired"))
+
+    def met(rows: DataFrame, how: str) -> DataFrame:
+        other = rows.select(*(F.col(c).alias(f"_{c}" if c in shared else c) for c in rows.columns))
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in shared]
+        return now.join(other, reduce(Column.__and__, same), how)
+
+    refused = F.raise_error(F.lit("compared rows that are not rows of the long table"))
+    alone = F.col("_now") - F.coalesce("_paired", F.lit(0))
+    without = met(paired, "left").select(
+        *shared,
+        *(F.lit(None).cast("double").alias(c) for c in previous),
+        F.when(alone < 0, refused).otherwise(alone).alias("_copies"),
     )
-    return _silent_report(now.join(before, ["_content", "_number"], "left"), settings, ordered)
+    rows = met(before, "inner").select(*shared, *previous, "_copies")
+    rows = rows.unionByName(without.filter("_copies > 0"))
+    return _silent_report(spread_copies(rows, "_copies"), settings, ordered)
 
 
 def _silent_report(silent: DataFrame, s: Settings, ordered: bool) -> DataFrame:

@@ -37,6 +37,7 @@ from meterwell.sources.messages import (
 from meterwell.sources.scratch import scratch_dir
 from meterwell.sources.star import STAR, star_events, table, wide_usage
 from meterwell.sources.tables import (
+    read_latest_month,
     read_table,
     read_table_if_written,
     register_tables,
@@ -255,6 +256,15 @@ def layer_counts(spark, sf_dir):
     return pipeline.layer_counts(spark, root)
 
 
+@_query
+def layer_counts_observed(spark, sf_dir):
+    """The same counts, taken while the layers are written."""
+    written: dict[str, int] = {}
+    root = scratch_dir(spark, "warehouse")
+    pipeline.run_pipeline(wide_usage(spark, sf_dir), root, STAR, written=written)
+    return pipeline.written_counts(spark, written)
+
+
 _USAGE_9 = ("total_og_mou_9", "total_ic_mou_9", "vol_2g_mb_9", "vol_3g_mb_9")
 
 
@@ -311,6 +321,14 @@ def mart_parquet_pruned(spark, sf_dir):
     return read_table(spark, root, pipeline.ALERTS, months=[MONTH])
 
 
+@_query
+def mart_latest_rank(spark, sf_dir):
+    """The ranking chart from the stored mart, of which one month is read."""
+    root = scratch_dir(spark, "mart")
+    write_table(_ranking(spark, sf_dir), root, pipeline.RANKING)
+    return dashboard.ranked_bars(read_latest_month(spark, root, pipeline.RANKING))
+
+
 @_query
 def extract_csv_roundtrip(spark, sf_dir):
     path = scratch_dir(spark, "extract")
@@ -511,6 +529,12 @@ def one_pass_stats(spark, sf_dir):
     return current_stats(spark, _replayed(spark, sf_dir).stats)
 
 
+@_query
+def one_pass_summary(spark, sf_dir):
+    """Totals of a stream run: windows, events and alerts by level."""
+    return risk.alert_summary(current_stats(spark, _replayed(spark, sf_dir).stats))
+
+
 @_query
 def one_pass_corrupt_lines(spark, sf_dir):
     return corrupt_lines(spark, _replayed(spark, sf_dir).corrupt)

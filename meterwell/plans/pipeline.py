@@ -48,6 +48,7 @@ def run_pipeline(
     settings: Settings = DEFAULTS,
     months: Iterable[str] | None = None,
     store_raw: bool = True,
+    written: dict[str, int] | None = None,
 ) -> dict[str, str]:
     """Write every layer below `root`; returns table name -> path.
 
@@ -57,7 +58,8 @@ def run_pipeline(
     shuffle by customer. With `months` only those months' partitions of the
     layers after the raw one are replaced, and emptied where nothing is left. Pass
     `store_raw=False` when `wide` is the stored raw table. An empty region is a
-    missing one: a folder cannot be named by it.
+    missing one: a folder cannot be named by it. `written` takes the rows that each
+    table got, counted while they were written.
     """
     spark = wide.sparkSession
     months = None if months is None else list(months)
@@ -66,11 +68,11 @@ def run_pipeline(
         wide = wide.withColumn("circle_id", F.nullif(F.col("circle_id"), F.lit("")))
     stored = wide
     if store_raw:
-        paths[RAW_TABLE] = write_table(wide, root, RAW_TABLE)
+        paths[RAW_TABLE] = write_table(wide, root, RAW_TABLE, written=written)
         stored = read_table(spark, root, RAW_TABLE)
 
     def save(df: DataFrame, name: str, pack: bool = True) -> DataFrame:
-        paths[name] = write_table(df, root, name, pack, months)
+        paths[name] = write_table(df, root, name, pack, months, written)
         return read_table(spark, root, name, months)
 
     def extract(name: str, df: DataFrame) -> None:
@@ -114,3 +116,9 @@ def layer_counts(spark: SparkSession, root: str) -> DataFrame:
         for layer, name in LAYERS.items()
     ]
     return reduce(DataFrame.unionByName, [c.select("layer", "rows") for c in counts])
+
+
+def written_counts(spark: SparkSession, written: dict[str, int]) -> DataFrame:
+    """Rows per layer as a run has written them, without reading any of them again."""
+    counts = [(layer, written[name]) for layer, name in LAYERS.items() if name in written]
+    return spark.createDataFrame(counts, "layer string, rows long")

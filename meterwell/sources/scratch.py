@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -10,10 +11,16 @@ from pyspark.sql import SparkSession
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder from `spark.checkpoint.dir`, else the warehouse folder.
 
-    Both are folders that the driver and all executors reach.
+    Both are folders that the driver and all executors reach. On a cluster that sets
+    neither, Spark's own choice is a folder beside the driver, which is refused.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    if configured:
+        return configured.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if re.match(r"(file:)?/", warehouse) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+    return warehouse.rstrip("/")
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

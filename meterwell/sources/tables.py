@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as t
 
@@ -40,18 +40,26 @@ def _remove(spark: SparkSession, folder: str) -> None:
 
 
 def write_table(
-    df: DataFrame, root: str, name: str, pack: bool = True, months: Collection[str] | None = None
+    df: DataFrame,
+    root: str,
+    name: str,
+    pack: bool = True,
+    months: Collection[str] | None = None,
+    written: dict[str, int] | None = None,
 ) -> str:
     """Write one warehouse table and return its path.
 
     Without `months` it replaces what was there. With them it replaces exactly those
     months' partitions: a month without rows in `df` ends up empty, and all others are
-    left alone. Each partition changes at once.
+    left alone. Each partition changes at once. Months that end up empty are removed
+    last; a run that dies before that leaves their old rows, and running it again ends it.
 
     `pack` shuffles rows to their partition first, into files of the session's
     advisory size: few files, and a partition value that holds most rows is
     still spread over many tasks. Without it each task writes a file for every
     partition value it meets, which suits tables of a few large partitions.
+
+    The rows are counted on their way to the files and put into `written` by name.
     """
     wrong = _unfit(df.schema, name)
     if wrong:
@@ -63,13 +71,17 @@ def write_table(
         before = {f"{path}/{by}={m}": folder_names(spark, f"{path}/{by}={m}") for m in months}
         df = df.filter(F.col(by).isin([*months]))
     out = df.hint("rebalance", F.col(by)) if pack else df
+    seen = Observation()
     (
-        out.write.mode("overwrite")
+        out.observe(seen, F.count(F.lit(1)).alias("rows"))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if months is None else "dynamic")
         .option("compression", "snappy")
         .partitionBy(by)
         .parquet(path)
     )
+    if written is not None:
+        written[name] = seen.get["rows"]
     for folder, old in before.items():
         if old & folder_names(spark, folder):  # no new rows replaced the old ones
             _remove(spark, folder)
@@ -110,6 +122,16 @@ def read_table_if_written(spark: SparkSession, root: str, name: str) -> DataFram
     return read_table(spark, root, name) if is_written(spark, root, name) else None
 
 
+def read_latest_month(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The newest month of a warehouse table, of which only that partition's files are read.
+
+    The month is a subquery over the partition column, answered while the query runs.
+    """
+    rows = read_table(spark, root, name)
+    newest = read_table(spark, root, name).agg(F.max("report_month")).scalar()
+    return rows.filter(F.col("report_month") == newest)
+
+
 def register_tables(
     spark: SparkSession, root: str, database: str, names: Iterable[str] | None = None
 ) -> list[str]:

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as t
@@ -36,23 +39,41 @@ def wide_types(columns: Iterable[str], settings: Settings = DEFAULTS) -> dict[st
 BAD_CELLS = "_bad_cells"
 
 
+# First lines fetched at a time.
+_OPEN_FILES = 64
+
+
 def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """Column names -> the files that have them in this order. Reads one line a file."""
+    """Column names -> the files that have them in this order.
+
+    The driver fetches one buffer of each file, many files at a time, and keeps each
+    different header once. A Spark job can't stop after a line without reading the
+    file to its end or starting a Python worker anew for each file.
+    """
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
-    found: dict[tuple[str, ...], list[str]] = {}
-    for name in sorted(spark.read.text(path).inputFiles()):
+
+    def first_line(name: str) -> str | None:
         file = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
         stream, codec = file.getFileSystem(conf).open(file), codecs.getCodec(file)
         if codec is not None:
             stream = codec.createInputStream(stream)
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine()
-        reader.close()
-        if line is not None:
-            header = tuple(next(csv.reader([line.lstrip("\ufeff")])))
-            found.setdefault(header, []).append(name)
-    return found
+        try:
+            return reader.readLine()
+        finally:
+            reader.close()
+
+    names = sorted(spark.read.text(path).inputFiles())
+    with ThreadPoolExecutor(_OPEN_FILES) as pool:
+        lines = pool.map(inheritable_thread_target(spark)(first_line), names)
+        found: dict[tuple[str, ...], list[str]] = {}
+        for name, line in zip(names, lines):
+            if line is not None:
+                header = tuple(next(csv.reader([line.lstrip("\ufeff")]), ()))
+                found.setdefault(header, []).append(unquote(name))
+    # The folder itself where one header holds: Spark lists many single paths in a job.
+    return {header: [path] for header in found} if len(found) == 1 else found
 
 
 def _parsed(name: str, kind: t.DataType) -> tuple[str, str | None]:

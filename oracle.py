@@ -342,6 +342,14 @@ def statements() -> dict[str, str]:
         text = f"CAST(CAST({value} AS BIGINT) AS VARCHAR)" if digits == 0 else f"CAST({value} AS VARCHAR)"
         return f"coalesce({text}, 'nan')"
 
+    latest_rank = f"""SELECT circle_id, report_month, composite_score,
+          {rnd("composite_score", 1)} AS score_label FROM ranking
+        WHERE report_month = (SELECT max(report_month) FROM ranking)"""
+    summary = """SELECT CAST(sum(total_events) AS BIGINT) AS total_events, count(*) AS windows,
+          CAST(sum(alerts_triggered) AS BIGINT) AS total_alerts,
+          CAST(sum(n_critical) AS BIGINT) AS n_critical,
+          CAST(sum(n_warning) AS BIGINT) AS n_warning,
+          CAST(sum(n_info) AS BIGINT) AS n_info FROM stats"""
     decline = f"""SELECT circle_id, window_start, window_end, {rnd("ar", 2)} AS avg_arpu,
           {rnd("p", 2)} AS prev_avg_arpu,
           CASE WHEN p > 0 THEN {rnd("1 - ar / p", 4)} ELSE 0.0::DOUBLE END AS arpu_decline_pct,
@@ -417,6 +425,8 @@ def statements() -> dict[str, str]:
             *silent,
         ),
         "layer_counts": q(layers, *rank, _compared(), _alerts(), _silent()),
+        "layer_counts_observed": q(layers, *rank, _compared(), _alerts(), _silent()),
+        "mart_latest_rank": q(latest_rank, *rank),
         "month_rerun_corrected": q(
             "SELECT * FROM silent",
             *compared,
@@ -485,14 +495,8 @@ def statements() -> dict[str, str]:
         "one_pass_arpu_decline": q(decline, *day),
         "window_stats": q("SELECT * FROM stats", *day),
         "window_stats_stream": q("SELECT * FROM stats", *day),
-        "alert_summary": q(
-            """SELECT CAST(sum(total_events) AS BIGINT) AS total_events, count(*) AS windows,
-              CAST(sum(alerts_triggered) AS BIGINT) AS total_alerts,
-              CAST(sum(n_critical) AS BIGINT) AS n_critical,
-              CAST(sum(n_warning) AS BIGINT) AS n_warning,
-              CAST(sum(n_info) AS BIGINT) AS n_info FROM stats""",
-            *five,
-        ),
+        "alert_summary": q(summary, *five),
+        "one_pass_summary": q(summary, *day),
         "window_arpu_decline": q(decline, *day),
         "window_top_alerts": q(
             """SELECT window_start, CAST(r AS INTEGER) AS position, alert_level, circle_id,
@@ -520,12 +524,7 @@ def statements() -> dict[str, str]:
             usage,
             chart,
         ),
-        "dashboard_latest_rank": q(
-            f"""SELECT circle_id, report_month, composite_score,
-              {rnd("composite_score", 1)} AS score_label FROM ranking
-            WHERE report_month = (SELECT max(report_month) FROM ranking)""",
-            *rank,
-        ),
+        "dashboard_latest_rank": q(latest_rank, *rank),
         "dashboard_usage_sample": q(
             f"""SELECT mobile_number, circle_id, report_month,
               CASE WHEN total_calls > 2000 THEN 2000.0::DOUBLE ELSE total_calls END AS x_calls,

@@ -5,7 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from meterwell.operators.neighbours import with_previous_row
+from meterwell.operators import neighbours
+from meterwell.operators.neighbours import spread_copies, with_previous_row
 from meterwell.operators.reshape import wide_to_long
 from meterwell.operators.trend import (
     month_over_month,
@@ -109,6 +110,30 @@ def test_join_form_does_not_multiply_repeated_keys(spark):
     assert silent_customers_by_join(long, compared).count() == 80
 
 
+def test_join_form_counts_equal_rows(spark):
+    """A third of the rows alike, a third alike but for last month: no window, no row lost."""
+    rows = [{"mobile_number": None}] * 60 + [
+        {"mobile_number": None, "total_og_mou_6": float(i % 7), "arpu_6": 300.0} for i in range(60)
+    ]
+    wide = wide_frame(spark, rows + [{"mobile_number": i, "arpu_6": 600.0} for i in range(60)])
+    compared, long = month_over_month(wide), wide_to_long(wide)
+    same(silent_customers(compared), silent_customers_by_join(long, compared))
+    assert operators(silent_customers_by_join(long, compared), "Window") == 0
+    # Rows without a partner have no previous values, and foreign rows are refused.
+    only = silent_customers_by_join(long, compared.filter("mobile_number IS NOT NULL"))
+    assert only.count() == silent_customers(compared).count()
+    assert only.filter("mobile_number IS NULL AND prev_arpu IS NOT NULL").count() == 0
+    with pytest.raises(Exception, match="not rows of the long table"):
+        silent_customers_by_join(long, compared.unionByName(compared)).collect()
+
+
+def test_copies_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "_COPIES_PER_TASK_ROW", 10)
+    rows = spark.createDataFrame([("a", 1), ("b", 10), ("c", 11), ("d", 95)], "k string, n long")
+    counts = {r.k: r["count"] for r in spread_copies(rows, "n").groupBy("k").count().collect()}
+    assert counts == {"a": 1, "b": 10, "c": 11, "d": 95}
+
+
 def test_repeated_and_null_ids_keep_every_row(spark):
     """A third of the rows share an id, another third has none; each row is its own pair."""
     rows = [

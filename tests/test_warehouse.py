@@ -1,15 +1,26 @@
 from __future__ import annotations
 
+import gzip
+
 import pytest
 from pyspark.sql import functions as F
 
 from meterwell.operators import dashboard, reports
-from meterwell.plans.pipeline import ALERTS, LAYERS, RANKING, SILENT, layer_counts, run_pipeline
+from meterwell.plans.pipeline import (
+    ALERTS,
+    LAYERS,
+    RANKING,
+    SILENT,
+    layer_counts,
+    run_pipeline,
+    written_counts,
+)
 from meterwell.schemas import DETAIL_TABLE, RAW_TABLE, TABLES, mismatches, wide_schema
 from meterwell.sources.extracts import read_extract
 from meterwell.sources.scratch import scratch_dir
 from meterwell.sources.star import STAR
 from meterwell.sources.tables import (
+    read_latest_month,
     read_table,
     read_table_if_written,
     register_tables,
@@ -238,3 +249,36 @@ def test_csv_cells_that_do_not_fit_are_not_lost(spark, tmp_path):
     kept = {r.mobile_number: r for r in read_wide_csv(spark, str(tmp_path), bad_cells="keep").collect()}
     assert kept[1]["_bad_cells"] == ["arpu_6"] and kept[2]["_bad_cells"] == ["arpu_6", "aon"]
     assert kept[3]["_bad_cells"] == [] and (kept[3].arpu_6, kept[3].aon) == (1.5, 7)
+
+
+def test_many_small_files_with_odd_names(spark, tmp_path):
+    for i in range(300):
+        (tmp_path / f"part {i}.csv").write_text(f"mobile_number,aon\n{i},5\n")
+    (tmp_path / "empty.csv").write_text("")
+    got = read_wide_csv(spark, str(tmp_path))
+    assert got.count() == 300 and got.columns == ["mobile_number", "aon"]
+    with gzip.open(tmp_path / "z é.csv.gz", "wt", encoding="utf8") as file:
+        file.write("\ufeffaon,mobile_number,arpu_6\n5,777,1.5\n")
+    got = read_wide_csv(spark, str(tmp_path))
+    assert got.count() == 301
+    (row,) = got.filter("mobile_number = 777").collect()
+    assert (row.aon, row.arpu_6) == (5, 1.5)
+
+
+def test_rows_are_counted_while_they_are_written(spark, stored_wide):
+    root, written = scratch_dir(spark, "warehouse"), {}
+    run_pipeline(stored_wide, root, written=written)
+    same(written_counts(spark, written), layer_counts(spark, root))
+    one: dict[str, int] = {}
+    run_pipeline(stored_wide, root, months=["2014-09"], store_raw=False, written=one)
+    assert one[ALERTS] == read_table(spark, root, ALERTS, ["2014-09"]).count()
+    assert RAW_TABLE not in one
+
+
+def test_newest_month_reads_one_partition(spark, warehouse):
+    root, _ = warehouse
+    latest = read_latest_month(spark, root, RANKING)
+    rows = latest.collect()
+    assert {r.report_month for r in rows} == {"2014-09"} and len(rows) == 25
+    scan = plan(latest).split("Subqueries")[0]
+    assert "PartitionFilters: [isnotnull(report_month" in scan and "Subquery" in scan
