@@ -19,8 +19,6 @@ CAPACITY = 2048
 END = 0
 # Pieces packed together in one task.
 BLOCK = 40_000
-# Exchanges tried in a block at most.
-STEPS = 4_000
 # Words whose ids a worker remembers, and documents whose words are learned together.
 REMEMBERED = 350_000
 TOGETHER = 256
@@ -178,100 +176,168 @@ def best_fit(lengths: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
     return bins
 
 
+class _Pairs:
+    """What two items of one bin hold together: a row for each bin and sum."""
+
+    def __init__(self) -> None:
+        self.sums, self.owner = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.alive = np.zeros(0, bool)
+        self.rows: dict[int, np.ndarray] = {}
+        self.n = 0
+
+    def drop(self, own: int) -> None:
+        if own in self.rows:
+            self.alive[self.rows.pop(own)] = False
+
+    def renew(self, own: int, lengths: list[int]) -> None:
+        self.drop(own)
+        values, counts = np.unique(lengths, return_counts=True)
+        first, second = np.triu_indices(len(values), 1)
+        sums = np.unique(np.r_[values[first] + values[second], 2 * values[counts > 1]])
+        if self.n + len(sums) > len(self.sums):
+            self._make_room(len(sums))
+        rows = np.arange(self.n, self.n + len(sums))
+        self.sums[rows], self.owner[rows], self.alive[rows] = sums, own, True
+        self.rows[own] = rows
+        self.n += len(sums)
+
+    def _make_room(self, more: int) -> None:
+        kept = np.flatnonzero(self.alive[: self.n])
+        size = 2 * (len(kept) + more)
+        for name in ("sums", "owner", "alive"):
+            old = getattr(self, name)
+            new = np.zeros(size, old.dtype)
+            new[: len(kept)] = old[kept]
+            setattr(self, name, new)
+        moved = np.full(self.n, -1)
+        moved[kept] = np.arange(len(kept))
+        self.rows = {own: moved[rows] for own, rows in self.rows.items()}
+        self.n = len(kept)
+
+    def best(self, length: int, donor: int, fill: np.ndarray, capacity: int) -> tuple[int, int] | None:
+        """(bin, sum) of two items whose place one of `length` fills best, in a bin not emptier."""
+        sums, owner = self.sums[: self.n], self.owner[: self.n]
+        near = np.flatnonzero(self.alive[: self.n] & (sums < length))
+        gain, held = length - sums[near], fill[owner[near]]
+        good = (gain <= capacity - held) & (held >= fill[donor]) & (owner[near] != donor)
+        if not good.any():
+            return None
+        row = near[np.argmax(np.where(good, gain, 0))]
+        return int(owner[row]), int(sums[row])
+
+
+class _Search:
+    """Underfull bins and the exchanges between them. Bins that are full or empty leave it."""
+
+    def __init__(self, lengths: np.ndarray, bins: np.ndarray, capacity: int):
+        self.lengths, self.bins, self.capacity = lengths, bins, capacity
+        self.fill = np.bincount(bins, lengths, minlength=bins.max(initial=-1) + 1).astype(np.int64)
+        self.used = int((self.fill > 0).sum())
+        self.loose = np.flatnonzero((self.fill[bins] < capacity) & (lengths > 0))
+        self.size, self.place = lengths[self.loose], bins[self.loose].copy()
+        self.at = {item: i for i, item in enumerate(self.loose.tolist())}
+        self.members: dict[int, set[int]] = {}
+        for item in self.loose.tolist():
+            self.members.setdefault(int(bins[item]), set()).add(item)
+        self.open = np.array(sorted(self.members), np.int64)
+        self.pairs = _Pairs()
+        for own in self.members:
+            self._renew(own)
+
+    def _renew(self, own: int) -> None:
+        """Bring what is known of a bin up to date after its items changed."""
+        items = self.members[own]
+        if items and self.fill[own] < self.capacity:
+            self.pairs.renew(own, [int(self.lengths[i]) for i in items])
+            return
+        self.used -= not items
+        self.place[[self.at[i] for i in items]] = -1
+        del self.members[own]
+        self.pairs.drop(own)
+        self.open = self.open[self.open != own]
+
+    def exchange(self, donor: int, given: int, target: int, taken: list[int]) -> None:
+        for item, source, end in [(given, donor, target), *((i, target, donor) for i in taken)]:
+            self.members[source].discard(item)
+            self.members[end].add(item)
+            self.fill[source] -= self.lengths[item]
+            self.fill[end] += self.lengths[item]
+            self.bins[item] = self.place[self.at[item]] = end
+        self._renew(target)
+        self._renew(donor)
+
+    def step(self, donor: int, item: int) -> bool:
+        """Give `item` to a bin that is not emptier: a move, else the exchange that fills most."""
+        length, fill, capacity = int(self.lengths[item]), self.fill, self.capacity
+        room = capacity - fill[self.open]
+        fits = np.flatnonzero((room >= length) & (fill[self.open] >= fill[donor]) & (self.open != donor))
+        if len(fits):
+            self.exchange(donor, item, int(self.open[fits[np.argmin(room[fits])]]), [])
+            return True
+        near = np.flatnonzero((self.place >= 0) & (self.size < length))
+        gain, place = length - self.size[near], self.place[near]
+        good = (gain <= capacity - fill[place]) & (fill[place] >= fill[donor]) & (place != donor)
+        if good.any():
+            row = near[np.argmax(np.where(good, gain, 0))]
+            self.exchange(donor, item, int(self.place[row]), [int(self.loose[row])])
+            return True
+        found = self.pairs.best(length, donor, fill, capacity)
+        if found is None:
+            return False
+        target, total = found
+        self.exchange(donor, item, target, self._two(target, total))
+        return True
+
+    def _two(self, own: int, total: int) -> list[int]:
+        by_length: dict[int, int] = {}
+        for item in sorted(self.members[own]):
+            length = int(self.lengths[item])
+            if total - length in by_length:
+                return [by_length[total - length], item]
+            by_length[length] = item
+        raise AssertionError("a sum without its items")
+
+
 def local_search(
-    lengths: np.ndarray, bins: np.ndarray, capacity: int = CAPACITY, steps: int = STEPS
+    lengths: np.ndarray, bins: np.ndarray, capacity: int = CAPACITY, steps: int | None = None
 ) -> np.ndarray:
     """`bins` with fewer bins where exchanges between underfull bins can empty some.
 
-    Takes the underfull bins from the emptiest on and gives what they hold to fuller
-    ones: a whole document (move), a longer for a shorter one (one for one), or one for
-    two shorter ones (two for one). Each step makes a fuller bin fuller, so the sum of
-    squared fills grows and the search ends; `steps` bounds it. Rounds go on until one
-    changes nothing or no fewer bins are possible.
+    Takes the underfull bins from the emptiest on and gives what they hold to bins that
+    are not emptier: a whole document (move), a longer for a shorter one (one for one),
+    or one for two shorter ones (two for one). Each step raises the sum of squared
+    fills, so the search ends: when a round over all bins changes nothing, or no fewer
+    bins are possible. Partners are looked up among all underfull bins. `steps` ends it
+    after so many exchanges, for callers that want less.
     """
     bins = bins.copy()
-    fill = np.bincount(bins, lengths, minlength=bins.max(initial=-1) + 1).astype(np.int64)
+    search = _Search(lengths, bins, capacity)
     least = -(-int(lengths.sum()) // capacity)
-    used = int((fill > 0).sum())
-    loose = np.flatnonzero((fill[bins] < capacity) & (lengths > 0))
-    members: dict[int, set[int]] = {}
-    for item in loose.tolist():
-        members.setdefault(int(bins[item]), set()).add(item)
-    if used <= least or len(members) < 2:
-        return bins
-    size, place = lengths[loose], bins[loose].copy()
-    at = {item: i for i, item in enumerate(loose.tolist())}
-
-    def put(item: int, target: int) -> None:
-        source = int(bins[item])
-        members[source].discard(item)
-        members[target].add(item)
-        fill[source] -= lengths[item]
-        fill[target] += lengths[item]
-        bins[item] = place[at[item]] = target
-
-    all_bins = np.array(sorted(members))
+    # Lengths that found no partner from a bin of some fill, since the last exchange.
+    barren: set[tuple[int, int]] = set()
     changed = True
-    while changed and used > least and steps > 0:
+    while changed:
         changed = False
-        for donor in sorted(members, key=lambda b: fill[b]):
-            if used <= least or steps <= 0:
-                break
+        for donor in sorted(search.members, key=lambda b: (search.fill[b], b)):
             improved = True
-            while improved and members[donor] and steps > 0:
+            while improved and donor in search.members:
                 improved = False
-                for item in sorted(members[donor], key=lambda i: -lengths[i]):
-                    steps -= 1
-                    length = int(lengths[item])
-                    room = capacity - fill[all_bins]
-                    fuller = (fill[all_bins] >= fill[donor]) & (all_bins != donor)
-                    fits = np.flatnonzero(fuller & (room >= length))
-                    if len(fits):  # move
-                        put(item, int(all_bins[fits[np.argmin(room[fits])]]))
-                        improved = changed = True
+                for item in sorted(search.members[donor], key=lambda i: (-lengths[i], i)):
+                    if search.used <= least or steps == 0:
+                        return bins
+                    case = (int(lengths[item]), int(search.fill[donor]))
+                    if case in barren:
                         continue
-                    # One for one: the partner whose place the item fills best.
-                    gain = length - size
-                    good = (gain > 0) & (gain <= capacity - fill[place])
-                    good &= (fill[place] >= fill[donor]) & (place != donor)
-                    if good.any():
-                        partner = int(loose[np.argmax(np.where(good, gain, 0))])
-                        target = int(bins[partner])
-                        put(partner, donor)
-                        put(item, target)
-                        improved = changed = True
-                        break
-                    if _two_for_one(item, donor, members, fill, lengths, capacity, put, all_bins):
+                    if search.step(donor, item):
+                        steps = None if steps is None else steps - 1
+                        barren.clear()
                         improved = changed = True
                         break
-            if not members[donor]:
-                used -= 1
-                del members[donor]
-                all_bins = all_bins[all_bins != donor]
+                    barren.add(case)
     return bins
 
 
-def _two_for_one(item, donor, members, fill, lengths, capacity, put, all_bins) -> bool:
-    """Exchange `item` for two shorter ones of the fullest bin where that fills it better."""
-    length = int(lengths[item])
-    order = all_bins[np.argsort(-fill[all_bins], kind="stable")]
-    for target in order[:64].tolist():
-        spare = capacity - int(fill[target])
-        if target == donor or spare <= 0 or fill[target] < fill[donor]:
-            continue
-        shorter = sorted((i for i in members[target] if lengths[i] < length), key=lambda i: lengths[i])
-        for k, one in enumerate(shorter):
-            for two in shorter[k + 1 :]:
-                gain = length - int(lengths[one] + lengths[two])
-                if 0 < gain <= spare:
-                    put(one, donor)
-                    put(two, donor)
-                    put(item, target)
-                    return True
-    return False
-
-
-def _packed(block: pd.DataFrame, capacity: int, steps: int) -> pd.DataFrame:
+def _packed(block: pd.DataFrame, capacity: int, steps: int | None) -> pd.DataFrame:
     block = block.sort_values("row", kind="stable").reset_index(drop=True)
     lengths = block["length"].to_numpy(np.int64)
     bins = local_search(lengths, best_fit(lengths, capacity), capacity, steps)
@@ -294,7 +360,7 @@ def pack(
     tokenizer: str | None = None,
     capacity: int = CAPACITY,
     block: int = BLOCK,
-    steps: int = STEPS,
+    steps: int | None = None,
 ) -> DataFrame:
     """(id, piece, start, length, ids_crc32, sequence_id, offset): documents in sequences.
 
@@ -303,7 +369,9 @@ def pack(
     best fit and local search in one task: lengths mix the same way everywhere, so a
     block loses less than one sequence against packing all together. A null or empty
     text is the end token alone; rows that repeat, and null ids, are packed like any
-    other row. Other columns are ignored; an empty table gives an empty one.
+    other row. Very long texts become many pieces of one document; equal lengths go by
+    row. Other columns are ignored; an empty table gives an empty one. `steps` bounds the
+    exchanges of a block, which otherwise go on until none is left.
     """
     pieces = stored(token_pieces(docs, id_col, text_col, tokenizer, capacity), "pieces")
     blocks = -(-pieces.count() // block) or 1
