@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterwell.llm.tables import stored
+from meterwell.llm.tables import free_names, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -71,58 +71,80 @@ def source_targets(
     )
 
 
-def _thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
-    """(source, source_size, target, base, upto): each source's mix.
+def _boundary(sized: DataFrame, state: DataFrame, column: str) -> DataFrame:
+    """`state` with the one value of `column` at which a source's wanted words are reached.
 
-    Every document is taken `base` times, and once more if its place is at most
-    `upto`. Nested histograms find `upto`: each level sums sizes by source and the
-    next bits of the place, within the bucket of the level before in which the words
-    still wanted are reached, and only there. At the end a single place is left; it is
-    taken if that comes nearer to the target.
+    Nested histograms: each level sums sizes by source and the next bits of the column,
+    within the bucket of the level before in which the words are reached, and only
+    there. `at` is the place looked into, or -1 for all.
     """
-    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0)
-    plan = targets.withColumn("base", F.floor(ratio)).withColumn(
-        "wanted", F.col("target") - F.col("base") * F.col("source_size")
-    )
-    plan = stored(plan, "targets")
-    state = plan.where("wanted > 0").select(
-        "source", "wanted", F.lit(0).cast("long").alias("prefix"),
-        F.lit(0).cast("long").alias("below"), F.lit(0).cast("long").alias("weight"),
-    )
     for bits in range(LEVEL_BITS, PLACE_BITS + 1, LEVEL_BITS):
-        outer = F.shiftright("place", PLACE_BITS - bits + LEVEL_BITS)
-        bucket = F.shiftright("place", PLACE_BITS - bits)
+        outer = F.shiftright(column, PLACE_BITS - bits + LEVEL_BITS)
+        bucket = F.shiftright(column, PLACE_BITS - bits)
         inside = sized.alias("s").join(
-            state.drop("weight").alias("p"),
-            F.col("s.source").eqNullSafe(F.col("p.source")) & (outer == F.col("p.prefix")),
+            state.select("source", "wanted", "at", "prefix", "below").alias("p"),
+            F.col("s.source").eqNullSafe(F.col("p.source"))
+            & (outer == F.col("p.prefix"))
+            & ((F.col("p.at") < 0) | (F.col("s.place") == F.col("p.at"))),
         )
-        counts = inside.groupBy("p.source", "wanted", "below", bucket.alias("bucket")).agg(
-            F.sum("size").alias("weight")
+        counts = inside.groupBy("p.source", "wanted", "at", "below", bucket.alias("bucket")).agg(
+            F.sum("size").alias("weight"), F.count(F.lit(1)).alias("rows")
         )
         upto = F.col("below") + F.sum("weight").over(
             Window.partitionBy("source").orderBy("bucket")
         )
         reached = counts.select(
-            "source", "wanted", "bucket", "weight", (upto - F.col("weight")).alias("below"),
-            (upto >= F.col("wanted")).alias("enough"),
+            "source", "wanted", "at", "bucket", "weight", "rows",
+            (upto - F.col("weight")).alias("below"), (upto >= F.col("wanted")).alias("enough"),
         )
-        first = F.min(
-            F.when(F.col("enough"), F.struct("bucket", "below", "weight"))
-        )
-        state = reached.groupBy("source", "wanted").agg(first.alias("first")).select(
-            "source", "wanted", F.col("first.bucket").alias("prefix"),
+        first = F.min(F.when(F.col("enough"), F.struct("bucket", "below", "weight", "rows")))
+        state = reached.groupBy("source", "wanted", "at").agg(first.alias("first")).select(
+            "source", "wanted", "at", F.col("first.bucket").alias("prefix"),
             F.col("first.below").alias("below"), F.col("first.weight").alias("weight"),
+            F.col("first.rows").alias("rows"),
         )
         state = stored(state, "boundary")
+    return state
+
+
+def _thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
+    """(source, source_size, target, base, at, last): each source's mix.
+
+    Every row is taken `base` times, and once more if its place is before `at`, or is
+    `at` and its tie at most `last`. Nested histograms find `at`; where several rows
+    share that place, as rows that repeat do, histograms over their ties go on. At the
+    end a single row is left, which is taken if that comes nearer to the target.
+    """
+    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0)
+    plan = targets.withColumn("base", F.floor(ratio)).withColumn(
+        "wanted", F.col("target") - F.col("base") * F.col("source_size")
+    )
+    plan = stored(plan, "targets")
+    zero, every = F.lit(0).cast("long"), F.lit(-1).cast("long")
+    state = plan.where("wanted > 0").select(
+        "source", "wanted", every.alias("at"), zero.alias("prefix"), zero.alias("below")
+    )
+    state = _boundary(sized, state, "place").withColumn("at", F.col("prefix"))
+    shared = state.where("rows > 1")
     over = F.col("below") + F.col("weight") - F.col("wanted")
     nearer = over < F.col("wanted") - F.col("below")
-    ends = state.select(
-        F.col("source").alias("__source"),
-        F.when(nearer, F.col("prefix")).otherwise(F.col("prefix") - 1).alias("__upto"),
-    )
-    return plan.join(ends, F.col("source").eqNullSafe(F.col("__source")), "left").select(
-        "source", "source_size", "target", "base", F.coalesce("__upto", F.lit(-1)).alias("upto")
+    ends = state.where("rows = 1").select(
+        "source", "at", F.when(nearer, F.lit((1 << PLACE_BITS) - 1)).otherwise(-1).alias("last")
     )
+    if not shared.isEmpty():
+        ties = _boundary(sized, shared.withColumn("prefix", zero), "tie")
+        last = F.when(nearer, F.col("prefix")).otherwise(F.col("prefix") - 1)
+        ends = ends.unionByName(ties.select("source", "at", last.alias("last")))
+    ends = ends.withColumnRenamed("source", "of")
+    return plan.join(ends, F.col("source").eqNullSafe(F.col("of")), "left").select(
+        "source", "source_size", "target", "base",
+        F.coalesce("at", every).alias("at"), F.coalesce("last", every).alias("last"),
+    )
+
+
+def tie_of() -> Column:
+    """A number of its own for each row of a stored table, which parts rows that repeat."""
+    return F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << PLACE_BITS))
 
 
 def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
@@ -131,6 +153,7 @@ def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> Data
         F.col(source_col).alias("source"),
         size_of(F.col(text_col)).alias("size"),
         place_of(F.col(id_col), F.col(text_col)).alias("place"),
+        tie_of().alias("tie"),
     )
 
 
@@ -139,8 +162,9 @@ def _plan(sized: DataFrame) -> DataFrame:
     return stored(_thresholds(sized, source_targets(sizes)), "mix")
 
 
-def _times() -> Column:
-    return F.col("base") + F.when(F.col("place") <= F.col("upto"), 1).otherwise(0)
+def _times(base: str, at: str, last: str, place: str, tie: str) -> Column:
+    more = (F.col(place) < F.col(at)) | ((F.col(place) == F.col(at)) & (F.col(tie) <= F.col(last)))
+    return F.col(base) + F.when(more, 1).otherwise(0)
 
 
 def mixture(
@@ -151,16 +175,18 @@ def mixture(
     Documents are taken whole, so a source's taken words differ from its target by
     at most half a document. No sort of documents: two passes, a histogram of at
     most 4,096 rows a source for each level, and a filter. Null and empty texts have
-    size 0 and take nothing; a null source is a source of its own; rows that repeat
-    id and text have one place and are taken alike, null ids included. Other columns
-    are ignored; an empty table gives an empty one.
+    size 0 and take nothing; a null source is a source of its own. Rows that repeat id
+    and text are alike until the boundary falls among them: then as many of them are
+    taken as come nearest, and it doesn't matter which. Other columns are ignored; an
+    empty table gives an empty one.
     """
     sized = stored(_sized(docs, id_col, text_col, source_col), "sizes")
-    plan = _plan(sized).withColumnRenamed("source", "__source")
-    mixed = sized.join(plan, F.col("source").eqNullSafe(F.col("__source")))
+    plan = _plan(sized).withColumnRenamed("source", "of")
+    mixed = sized.join(plan, F.col("source").eqNullSafe(F.col("of")))
+    times = _times("base", "at", "last", "place", "tie")
     return mixed.select(
         F.col("id").alias(id_col), "size", "source_size", "target",
-        (F.col("size") * _times()).cast("long").alias("taken"),
+        (F.col("size") * times).cast("long").alias("taken"),
     )
 
 
@@ -169,17 +195,22 @@ def mixed_documents(
 ) -> DataFrame:
     """`docs` with its own columns, each row as often as the mix takes it.
 
-    Texts are not shuffled: a row's number of copies follows from its source's row of
-    the plan and its own place.
+    The mix is that of `mixture`, over whole texts; rows without words, null texts among
+    them, follow their place like others. Texts are not shuffled: a row's number of
+    copies follows from its source's row of the plan and its own place. `docs`
+    must be a table or come in the same order each time it is read, as rows that repeat
+    are told apart by their position. Columns may have any names; an empty table gives
+    an empty one.
     """
     sized = stored(_sized(docs, id_col, text_col, source_col), "sizes")
-    plan = _plan(sized).select(F.col("source").alias("__source"), "base", "upto")
-    plan = plan.select("__source", F.col("base").alias("__base"), F.col("upto").alias("__upto"))
-    placed = docs.withColumn("__place", place_of(F.col(id_col), F.col(text_col)))
-    extra = F.when(F.col("__place") <= F.col("__upto"), 1).otherwise(0)
-    copies = F.array_repeat(F.lit(0), (F.col("__base") + extra).cast("int"))
-    mixed = placed.join(plan, F.col(source_col).eqNullSafe(F.col("__source")))
-    return mixed.withColumn("__copy", F.explode(copies)).select(docs.columns)
+    names = free_names(docs, "mix_source", "mix_base", "mix_at", "mix_last")
+    place, tie, copy = free_names(docs, "mix_place", "mix_tie", "mix_copy")
+    plan = _plan(sized).select("source", "base", "at", "last").toDF(*names)
+    placed = docs.withColumns({place: place_of(F.col(id_col), F.col(text_col)), tie: tie_of()})
+    mixed = placed.join(plan, F.col(source_col).eqNullSafe(F.col(names[0])))
+    copies = F.array_repeat(F.lit(0), _times(*names[1:], place, tie).cast("int"))
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    return mixed.withColumn(copy, F.explode(copies)).select(*own)
 
 
 #: The same rows in DuckDB SQL, with a sort in place of the histograms.
@@ -206,12 +237,11 @@ t AS (SELECT source, source_size, coalesce(least(CAST(cap AS DOUBLE),
 b AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS base
       FROM t),
 c AS (SELECT d.*, b.source_size, b.target, b.base, b.target - b.base * b.source_size AS wanted,
-        sum(size) OVER (PARTITION BY d.source ORDER BY place) AS upto,
-        sum(size) OVER (PARTITION BY d.source, place) AS own
+        sum(size) OVER (PARTITION BY d.source ORDER BY place, doc_id
+                        ROWS UNBOUNDED PRECEDING) AS upto
       FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source)
 SELECT doc_id, size, source_size, target,
        CAST(size * (base + CASE WHEN wanted > 0 AND
-         (upto < wanted OR upto - wanted < wanted - (upto - own)
-          OR (upto = wanted)) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+         (upto <= wanted OR upto - wanted < wanted - (upto - size)) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM c
 """

@@ -20,3 +20,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as keep it apart from `df`'s columns."""
+    taken = {column.lower() for column in df.columns}
+    free = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        free.append(name)
+    return free
