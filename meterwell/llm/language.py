@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -11,19 +11,21 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterwell.llm.tables import stored
+from meterwell.llm.tables import free_names, stored
 
 # Longest context, in bytes.
 ORDER = 3
 # Documents per language that the statistics are taken from, about: a bound on the sample.
 SAMPLE = 2_000
-# Four-byte strings seen less often than this in the sample of a language don't count.
-MIN_COUNT = 2
+# Cells of the tables of all languages at most: what the driver builds and broadcasts.
+MOST_CELLS = 1 << 27
 UNKNOWN = "und"
 # A document that every language codes in more bits a byte than this is in none of them,
 # if that holds by so many bits in all that chance can't explain it.
 MAX_BITS = 6.0
 MARGIN = 200
+# How often a string must occur to count where documents are rejected.
+WITNESSES = 2
 # Bytes scored at once.
 _CHUNK = 1 << 19
 _LETTER = regex.compile(r"\p{L}")
@@ -125,9 +127,13 @@ def _code_table(levels: list[tuple[np.ndarray, np.ndarray]], width: int) -> np.n
     return np.concatenate(rows).astype(np.float32).ravel()
 
 
-def grow(counts: pd.DataFrame) -> Trees:
-    """Trees from (lang, gram, n): how often each big-endian four-byte string occurs."""
-    trees = Trees(sorted(counts["lang"].unique()))
+def grow(counts: pd.DataFrame, langs: Iterable[str] | None = None) -> Trees:
+    """Trees from (lang, gram, n): how often each big-endian four-byte string occurs.
+
+    `langs` names languages that are learned even without such a string; theirs code
+    every byte in eight bits. Tables over MOST_CELLS are refused.
+    """
+    trees = Trees(sorted(counts["lang"].unique() if langs is None else set(langs)))
     grams = counts["gram"].to_numpy(np.int64)
     parts = [(grams >> shift) & 255 for shift in (24, 16, 8, 0)]
     seen = np.unique(np.concatenate(parts)) if len(grams) else np.array([], np.int64)
@@ -143,6 +149,8 @@ def grow(counts: pd.DataFrame) -> Trees:
         own = (counts["lang"] == lang).to_numpy()
         weights = counts["n"].to_numpy(np.float64)[own]
         levels = [_contexts(coded[own], weights, order, width) for order in range(ORDER + 1)]
+        if not len(weights):
+            levels[0] = (np.zeros(1, np.int64), np.zeros((1, width)))
         trees.bits.append(_code_table(levels, width))
         firsts = np.cumsum([0] + [len(contexts) for contexts, _ in levels])
         second = np.concatenate([known % width, np.arange(width)])
@@ -155,28 +163,34 @@ def grow(counts: pd.DataFrame) -> Trees:
             (3, np.where(full >= 0, full * width + third, -1)),
         ):
             contexts = levels[order][0]
+            if not len(contexts):
+                continue
             at = np.minimum(np.searchsorted(contexts, key), len(contexts) - 1)
             states = np.where(contexts[at] == key, firsts[order] + at, states)
         trees.states.append(states.astype(np.int64).ravel())
+        cells = sum(len(table) for table in (*trees.bits, *trees.states))
+        if cells > MOST_CELLS:
+            raise ValueError(f"{cells} cells for {len(trees.bits)} of {len(trees.langs)} languages")
     return trees
 
 
 def learn(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-    sample: int = SAMPLE,
+    sample: int = SAMPLE, least: int = 1,
 ) -> Trees:
     """Context trees from whole texts of documents that are not held out and have a language.
 
-    About `sample` documents of each language are read, chosen by a hash of the id.
-    Strings are counted in the tasks and summed by Spark; the driver gets the sums, at
-    most 2^32 numbers a language by their nature and in practice some 10^5.
+    About `sample` documents of each language are read, chosen by a hash of id and text,
+    so that rows which repeat an id are drawn by their texts. Strings of the sample count
+    that occur `least` times in a language, all of them by default. Strings are counted in the tasks and summed by Spark; the driver gets a row for
+    each language and the sums, which grow with the sample and not with the table.
     """
     labelled = docs.where(F.col(id_col).isNotNull() & ~held_out(F.col(id_col))).select(
         F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
     )
     labelled = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
     sizes = labelled.groupBy("lang").count().collect()  # one row per language
-    place = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / (1 << 30)
+    place = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) / (1 << 30)
     shares = F.create_map(*(F.lit(x) for lang, n in sizes for x in (lang, min(1.0, sample / n))))
     chosen = labelled.where(place < shares[F.col("lang")]) if sizes else labelled
 
@@ -197,7 +211,7 @@ def learn(
 
     counted = chosen.select("lang", "text").mapInPandas(count, "lang string, gram long, n long")
     summed = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    return grow(summed.where(F.col("n") >= MIN_COUNT).toPandas())
+    return grow(summed.where(F.col("n") >= least).toPandas(), [lang for lang, _ in sizes])
 
 
 def predict(
@@ -254,9 +268,10 @@ def identify(
     """(id, held_out, lang_pred, score, bits) for every row of `docs`.
 
     Statistics are learned from `lang` of the documents that are not held out and then
-    frozen; no other column enters a prediction. Rows that repeat come out alike; a
-    null id is not held out and not learned from; other columns are ignored; an empty
-    table gives an empty one.
+    frozen; no other column enters a prediction. Whole texts are coded, long ones in
+    steps; of equal code lengths the first language by name wins. Rows that repeat come
+    out alike; a null id is not held out and not learned from; other columns are ignored;
+    an empty table gives an empty one.
     """
     trees = learn(docs, id_col, text_col, lang_col)
     found = predict(docs, trees, id_col, text_col)
@@ -271,16 +286,20 @@ def in_some_language(
     """`docs` with its own columns, without what is in none of the languages learned.
 
     A document goes if it is null, has no letter, or codes in more than MAX_BITS bits a
-    byte under every language, by MARGIN bits in all. With nothing learned only the
-    first two go. Each row is judged by its own text, whatever its id, null included.
+    byte under every language, by MARGIN bits in all. Only strings seen WITNESSES times
+    count here, because a string seen once may be the judged text's own and would speak
+    for it. With nothing learned only the first two go. Each row is judged by its own
+    whole text, whatever its id, null included, so rows that repeat stay or go together.
+    Columns may have any names; an empty table gives an empty one.
     """
-    trees = learn(docs, id_col, text_col, lang_col)
     text, id_ = F.col(text_col), F.col(id_col).cast("string")
     # Id and 128 hash bits of the text; a null id is left out of the key.
     key = F.concat_ws("/", id_, F.xxhash64(text), F.xxhash64(text, F.lit(1)))
-    keyed = docs.withColumn("__key", key)
-    found = predict(keyed, trees, "__key", text_col)
-    other = found.where((F.col("bits") - MAX_BITS) * F.col("n_bytes") > MARGIN)
-    gone = stored(other.select(F.col("__key").alias("__gone")).distinct(), "other-languages")
+    own, other = free_names(docs, "text_key", "other_key")
+    keyed = docs.withColumn(own, key)
+    trees = learn(docs, id_col, text_col, lang_col, least=WITNESSES)
+    found = predict(keyed, trees, own, text_col)
+    foreign = found.where((F.col("bits") - MAX_BITS) * F.col("n_bytes") > MARGIN)
+    gone = stored(foreign.select(F.col(own).alias(other)).distinct(), "other-languages")
     lettered = keyed.where(text.rlike(r"\p{L}"))
-    return lettered.join(gone, F.col("__key") == F.col("__gone"), "left_anti").drop("__key")
+    return lettered.join(gone, F.col(own) == F.col(other), "left_anti").drop(own)
