@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterwell.llm.tables import stored
+from meterwell.llm.tables import free_names, stored
 
 # White space at line ends: space and U+0009 to U+000D.
 BLANKS = " \t\n\x0b\f\r"
@@ -110,20 +110,36 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     return surplus.groupBy("id", "text_hash").agg(F.collect_set("pos").alias("gone"))
 
 
-def _with_gone(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """`docs` with `__text` (null: empty) and `__gone`, the positions of its dropped lines or null."""
+def _with_gone(
+    docs: DataFrame, id_col: str, text_col: str, text: str, gone: str
+) -> DataFrame:
+    """`docs` with `text` (null: empty) and `gone`, the positions of its dropped lines or null."""
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    gone = dropped_lines(own).select(
-        F.col("id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("gone").alias("__gone")
-    )
-    docs = docs.withColumn("__text", F.coalesce(F.col(text_col), F.lit("")))
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64("__text") == F.col("__hash"))
-    return docs.join(gone, same, "left").drop("__id", "__hash")
+    id_, hash_ = free_names(docs, "gone_id", "gone_hash")
+    dropped = dropped_lines(own).select("id", "text_hash", "gone").toDF(id_, hash_, gone)
+    docs = docs.withColumn(text, F.coalesce(F.col(text_col), F.lit("")))
+    same = F.col(id_col).eqNullSafe(F.col(id_)) & (F.xxhash64(text) == F.col(hash_))
+    return docs.join(dropped, same, "left").drop(id_, hash_)
+
+
+def _kept_text(text: str, gone: str) -> Column:
+    """The runs of lines between the dropped ones, so that each line is touched once."""
+    lines, at = F.split(text, "\n"), F.array_sort(gone)
+
+    def between(parts: Column) -> Column:
+        lines, at = parts["lines"], parts["at"]
+
+        def run(k: Column) -> Column:
+            begin = F.when(k == 0, 0).otherwise(F.get(at, k - 1) + 1)
+            end = F.when(k == F.size(at), F.size(lines)).otherwise(F.get(at, k))
+            return F.slice(lines, begin + 1, end - begin)
 
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(at)), run))
 
-def _kept_text() -> Column:
-    kept = F.expr("filter(split(__text, '\\n'), (x, i) -> NOT array_contains(__gone, i))")
-    return F.when(F.col("__gone").isNull(), F.col("__text")).otherwise(F.array_join(kept, "\n"))
+    # One struct in an array binds lines and positions, which are then computed once.
+    bound = F.array(F.struct(lines.alias("lines"), at.alias("at")))
+    kept = F.array_join(F.transform(bound, between)[0], "\n")
+    return F.when(F.col(gone).isNull(), F.col(text)).otherwise(kept)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -138,12 +154,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     one.
     """
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return _with_gone(own, "id", "text").select(
+    return _with_gone(own, "id", "text", "whole", "gone").select(
         F.col("id").alias(id_col),
-        (F.length("__text") - F.length(F.replace("__text", F.lit("\n"), F.lit(""))) + 1)
+        (F.length("whole") - F.length(F.replace("whole", F.lit("\n"), F.lit(""))) + 1)
         .cast("long").alias("n_lines"),
-        F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_dropped"),
-        _kept_text().alias("kept_text"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
+        _kept_text("whole", "gone").alias("kept_text"),
     )
 
 
@@ -152,11 +168,15 @@ def without_repeated_lines(
 ) -> DataFrame:
     """`docs` with its own columns and each text without the lines it loses.
 
-    A text that loses nothing stays as it was, null included.
+    The rule is that of `dedup_lines`, for whole texts of any length. A text that loses
+    nothing stays as it was, null included; a line that several ids hold stays in the
+    largest, and rows that repeat id and text come out alike. Columns may have any
+    names; an empty table gives an empty one.
     """
-    marked = _with_gone(docs, id_col, text_col)
-    changed = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(_kept_text())
-    return marked.withColumn(text_col, changed).select(docs.columns)
+    text, gone = free_names(docs, "whole_text", "gone_lines")
+    marked = _with_gone(docs, id_col, text_col, text, gone)
+    changed = F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(_kept_text(text, gone))
+    return marked.withColumn(text_col, changed).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 #: The same rows in DuckDB SQL.

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from meterwell.llm.components import connected_components
-from meterwell.llm.tables import stored
+from meterwell.llm.tables import free_names, stored
 
 BITS = 64
 # Bits that may differ between linked fingerprints.
@@ -189,17 +189,23 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     A document is an id with a text, so an id that repeats with other texts is judged
     text by text; between texts of the smallest id in a group their hash decides. Rows
-    with a null id stay, and rows that repeat a staying document stay together.
+    with a null id stay, and rows that repeat a staying document stay together. Null and
+    empty texts are one group; whole texts count. Columns may have any names; an empty
+    table gives an empty one.
     """
     text = F.col(text_col)
-    hashes = [F.xxhash64(text).alias("_h1"), F.xxhash64(text, F.lit(1)).alias("_h2")]
-    rows = docs.select(F.col(id_col).alias("id"), *hashes, _fingerprints(text).alias("fp"))
+    hashes = [F.xxhash64(text), F.xxhash64(text, F.lit(1))]
+    rows = docs.select(
+        F.col(id_col).alias("id"), hashes[0].alias("h1"), hashes[1].alias("h2"),
+        _fingerprints(text).alias("fp"),
+    )
     rows = stored(rows, "fingerprints")
     placed = _placed(rows).select("fp", "component")
     known = rows.where("id IS NOT NULL").join(placed, "fp")
-    document = F.struct("id", "_h1", "_h2")
+    document = F.struct("id", "h1", "h2")
     firsts = known.groupBy("component").agg(F.min(document).alias("first"))
     gone = known.join(firsts, "component").where(document != F.col("first"))
-    gone = gone.select(F.col("id").alias("_gone"), "_h1", "_h2").distinct()
-    same = (hashes[0] == F.col("_h1")) & (hashes[1] == F.col("_h2"))
-    return docs.join(gone, (docs[id_col] == F.col("_gone")) & same, "left_anti")
+    names = free_names(docs, "gone_id", "gone_h1", "gone_h2")
+    gone = gone.select("id", "h1", "h2").distinct().toDF(*names)
+    same = [F.col(name) == own for name, own in zip(names, (F.col(id_col), *hashes))]
+    return docs.join(gone, same, "left_anti")
