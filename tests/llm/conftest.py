@@ -11,7 +11,12 @@ SF_DIR = "/root/testdata/sf0.001"
 CLASHING = (
     "id", "row", "h1", "fp", "component", "component_id", "size", "place", "base", "lang_pred",
     "piece", "block", "phrase", "kind", "value", "n", "key", "pos", "range", "shard", "node",
+    "gone_id", "gone_h1", "gone_h2", "gone_hash", "gone_lines", "whole_text", "text_key",
+    "other_key", "mix_source", "mix_base", "mix_at", "mix_last", "mix_place", "mix_tie",
+    "mix_copy", "_mix_copy", "tie", "at", "last", "of", "_h1", "_h2", "_gone", "__id", "__hash",
+    "__gone", "__text", "__source", "__place", "__copy", "__key", "GONE_ID", "term", "total", "sha",
 )
+CLASHING = tuple({name.lower(): name for name in CLASHING}.values())
 LONG = "long words go on and on " * 20_000
 
 

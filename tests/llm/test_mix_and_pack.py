@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from meterwell.llm import mixing, packing
+from meterwell.llm import mixing, packing, simhash
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = ["a", "Word", " ", "  ", "\n", "\t", "é", "ß", "'s", "<|endoftext|>", "1", "!!", "中", "🙂", "\x1c", " "]
@@ -57,6 +57,38 @@ def test_search_empties_a_bin_that_best_fit_leaves():
     assert len(np.unique(packing.local_search(lengths, bins, 10))) == 3
 
 
+def open_exchange(lengths, bins, capacity):
+    """Any move, one-for-one or two-for-one exchange between underfull bins that is left."""
+    fill = np.bincount(bins, lengths)
+    for item, donor in enumerate(bins):
+        for target in set(bins) - {donor}:
+            if fill[target] < fill[donor] or fill[target] >= capacity:
+                continue
+            room = capacity - fill[target]
+            own = [int(lengths[i]) for i in np.flatnonzero(bins == target)]
+            sums = [0, *own, *(a + b for i, a in enumerate(own) for b in own[i + 1 :])]
+            if any(0 < lengths[item] - total <= room for total in sums):
+                return item, target
+    return None
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 60), min_size=2, max_size=40))
+def test_search_leaves_no_exchange(lengths):
+    lengths = np.array(lengths)
+    bins = packing.local_search(lengths, packing.best_fit(lengths, 100), 100)
+    if len(np.unique(bins)) > -(-lengths.sum() // 100):
+        assert open_exchange(lengths, bins, 100) is None
+
+
+def test_search_over_many_underfull_bins():
+    """Lengths that best fit packs badly: the search goes on until nothing is left to do."""
+    lengths = np.random.default_rng(1).integers(300, 1100, 5_000)
+    first = packing.best_fit(lengths)
+    found = [len(np.unique(packing.local_search(lengths, first, steps=n))) for n in (0, 100, None)]
+    assert found[0] > found[1] > found[2] and found[2] <= 1.02 * lengths.sum() / packing.CAPACITY
+
+
 def check_packing(rows, texts):
     """Every id of every document is placed once; sequences are gapless and fit."""
     tokenizer = Tokenizer.from_file(PATH)
@@ -136,6 +168,22 @@ def test_mix_of_odd_documents(odd_documents, no_documents):
     assert "Python" not in mixing.mixture(odd_documents)._jdf.queryExecution().toString()
 
 
+def test_mix_of_rows_that_repeat(spark):
+    """Most words of a source lie in copies of one row; as many of them are taken as needed."""
+    rows = [(1, "a b c d", "x")] * 2_000 + [(i, "word " * 20, "x") for i in range(2, 102)]
+    rows += [(1_000 + i, "a b", "y") for i in range(50)] + [(None, None, None)] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    for docs in (df, df.repartition(3)):
+        found = mixing.mixture(docs).collect()
+        taken = sum(r.taken for r in found if r.source_size == 10_000)
+        (target,) = {r.target for r in found if r.source_size == 10_000}
+        assert abs(taken - target) <= 10
+        assert all(r.taken in (0, r.size, 2 * r.size) for r in found)
+    stored = mixing.stored(df, "rows")
+    mixed = mixing.mixed_documents(stored).where("source = 'x'").select(mixing.size_of(mixing.F.col("text")))
+    assert sum(r[0] for r in mixed.collect()) == taken
+
+
 def test_documents_come_as_often_as_the_mix_takes_them(documents):
     taken = {r.doc_id: r.taken // r.size for r in mixing.mixture(documents).collect() if r.size}
     copies = defaultdict(int)
@@ -155,6 +203,46 @@ def test_pipeline_stages(spark, documents):
     assert {"doc_id", "piece", "sequence_id", "offset"} <= set(docs.columns)
 
 
+def test_stages_bear_any_column_name(odd_documents):
+    """Extra columns, whatever their names, change nothing but come along."""
+    docs = mixing.stored(odd_documents.withColumn("n_chars", odd_documents.doc_id), "rows")
+    plain = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        wide, narrow = stage(docs.sparkSession, docs, ""), stage(docs.sparkSession, plain, "")
+        assert wide.columns == docs.columns
+        own = wide.select(plain.columns).collect()
+        assert sorted(map(repr, own)) == sorted(map(repr, narrow.collect()))
+        assert {r[0] for r in wide.select("__key").collect()} <= {"other"}
+
+
+def test_pipeline_keeps_clean_documents(spark, documents):
+    """Stage by stage: what goes is noise, a repeated line, a near copy; the mix meets its targets."""
+    noise = "".join(map(chr, np.random.default_rng(1).integers(0x4E00, 0x9FFF, 400)))
+    first = documents.where("lang = 'en' AND n_chars > 2000").orderBy("doc_id").first()
+    line = "this line of boilerplate stands in many documents"
+    extra = [(10**6, noise, "en", "src0", 400), (10**6 + 1, first.text.replace(" ", "  "), "en", "src0", 1)]
+    extra += [(10**6 + 10 + i, f"{line}\nown words number {i} of a short text", "en", "src0", 1) for i in range(5)]
+    docs = mixing.stored(documents.unionByName(spark.createDataFrame(extra, documents.schema)), "rows")
+    stages = dict(corpus_pipeline.STAGES)
+
+    known = mixing.stored(stages["language id"](spark, docs, ""), "known")
+    ids = {r.doc_id for r in known.select("doc_id").collect()}
+    assert 10**6 not in ids and len(ids) >= 0.99 * docs.count()
+    lines = mixing.stored(stages["line dedup"](spark, known, ""), "lines")
+    holding = [r.doc_id for r in lines.where(lines.text.contains(line)).collect()]
+    assert holding == [10**6 + 14] and lines.count() == known.count()
+    kept = mixing.stored(stages["simhash near-dedup"](spark, lines, ""), "kept")
+    left = {r.doc_id for r in kept.select("doc_id").collect()}
+    assert 10**6 + 1 not in left and first.doc_id in left | {
+        r.component_id for r in simhash.near_duplicates(lines).where(f"doc_id = {first.doc_id}").collect()
+    }
+    groups = {r.doc_id: r.component_id for r in simhash.near_duplicates(lines).collect()}
+    assert left == {i for i, group in groups.items() if i == group}
+    taken = {r.doc_id: r.taken // r.size for r in mixing.mixture(kept).collect() if r.size}
+    mixed = stages["source mixing"](spark, kept, "").groupBy("doc_id").count().collect()
+    assert {r.doc_id: r["count"] for r in mixed if r.doc_id in taken} == {i: n for i, n in taken.items() if n}
+
+
 def test_pipeline_over_odd_and_empty_documents(spark, odd_documents, no_documents):
     for docs in (odd_documents.withColumn("n_chars", odd_documents.doc_id), no_documents.selectExpr("*", "0L AS n_chars")):
         for _, stage in corpus_pipeline.STAGES:

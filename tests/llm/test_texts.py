@@ -272,6 +272,37 @@ def test_held_out_languages_are_found(documents):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_a_small_language_is_learned(spark, documents):
+    """Two documents without a repeated string, and one too short for any string."""
+    rows = [(1, "abc def", "xx"), (3, "tiny", "xx"), (4, "q", "yy")]
+    odd = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    english = documents.where("lang = 'en'").select("doc_id", "text", "lang").orderBy("doc_id").limit(30)
+    docs = english.withColumn("doc_id", english.doc_id + 1_000).unionByName(odd)
+    assert not any(r[0] for r in odd.select(language.held_out(odd.doc_id)).collect())
+    trees = language.learn(docs)
+    assert trees.langs == ["en", "xx", "yy"]
+    assert (trees.code_lengths([b"zz"])[:, 2] == 16).all()
+    got = {r.doc_id: r.lang_pred for r in language.identify(docs).collect()}
+    assert got[1] == "xx"
+
+
+def test_tables_over_the_bound_are_refused(documents, monkeypatch):
+    monkeypatch.setattr(language, "MOST_CELLS", 1_000)
+    with pytest.raises(ValueError, match="cells for 1 of"):
+        language.learn(documents)
+
+
+def test_many_dropped_lines_of_one_text(spark):
+    """Runs of dropped lines at the start, inside and at the end of a long text."""
+    shared = [f"line number {i} that three documents have" for i in range(8_000)]
+    texts = {1: shared, 2: ["own", *shared[:4_000], "", "more", *shared[4_000:]], 3: [*shared, "last"]}
+    rows = [(i, "\n".join(t)) for i, t in texts.items()]
+    got = {r.doc_id: r for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert (got[1].n_lines, got[1].n_dropped, got[1].kept_text) == (8_000, 8_000, "")
+    assert (got[2].n_dropped, got[2].kept_text) == (8_000, "own\n\nmore")
+    assert (got[3].n_dropped, got[3].kept_text) == (0, rows[2][1])
+
+
 def test_languages_of_odd_documents(odd_documents, no_documents):
     rows = language.identify(odd_documents).collect()
     assert len(rows) == odd_documents.count()
