@@ -119,16 +119,23 @@ def term_counts(
 
 
 def _groups(counts: DataFrame) -> DataFrame:
-    """(lang, source, g, n_group, n_lang, terms): every group with its number in its language."""
+    """Every group with its number `g` and, of its language, the number of groups, counts and terms."""
     of_lang = Window.partitionBy("lang")
-    groups = counts.groupBy("lang", "source").agg(F.sum("n").alias("n_group"))
-    groups = groups.withColumn(
-        "g", (F.row_number().over(of_lang.orderBy("source")) - 1).cast("int")
-    ).withColumn("n_lang", F.sum("n_group").over(of_lang))
-    sizes = counts.where("first AND term IS NOT NULL").groupBy("lang").agg(
-        F.count(F.lit(1)).alias("terms")
+    groups = counts.groupBy("lang", "source").agg(
+        F.sum("n").alias("n_group"),
+        F.count("term").alias("own_counts"),
+        F.count_if(F.col("first") & F.col("term").isNotNull()).alias("own_terms"),
+    )
+    return groups.select(
+        "lang",
+        "source",
+        "n_group",
+        (F.row_number().over(of_lang.orderBy("source")) - 1).cast("int").alias("g"),
+        F.count(F.lit(1)).over(of_lang).cast("int").alias("groups"),
+        F.sum("n_group").over(of_lang).alias("n_lang"),
+        F.sum("own_counts").over(of_lang).alias("counts"),
+        F.sum("own_terms").over(of_lang).alias("terms"),
     )
-    return groups.join(sizes, "lang", "left").fillna(0, ["terms"])
 
 
 def _share(n: str, of: str) -> Column:
@@ -211,28 +218,22 @@ def pair_divergences(
     it, a cell adds up its own terms for its pairs, and cells are reduced along the
     term axis. A cell sees all its groups, so a count of zero needs no row.
     """
-    kept = counts.where("term IS NOT NULL")
-    blocks = F.ceil(F.count(F.lit(1)) / F.lit(entries)).cast("int")
-    cuts = kept.groupBy("lang").agg(blocks.alias("cuts"))
-    sized = kept.join(cuts, "lang").withColumn(
-        "tb", F.pmod(F.xxhash64("term"), F.col("cuts")).cast("int")
-    )
-    in_block = Window.partitionBy("lang", "tb")
-    numbered = sized.withColumn(
-        "t", (F.dense_rank().over(in_block.orderBy("term")) - 1).cast("int")
-    )
-    numbered = stored(numbered.select("lang", "source", "tb", "t", "n"), "numbered")
-    blocked = groups.withColumn("block", F.floor(F.col("g") / side).cast("int")).withColumn(
-        "blocks", F.max(F.floor(F.col("g") / side).cast("int") + 1).over(Window.partitionBy("lang"))
+    placed = groups.withColumn("block", F.floor(F.col("g") / side).cast("int")).withColumn(
+        "blocks", F.ceil(F.col("groups") / side).cast("int")
     )
-    here = numbered.groupBy("lang", "tb").agg((F.max("t") + 1).alias("terms_here"))
-    members = blocked.join(here, "lang").select(
+    of_group = placed.select("lang", "source", "g", "block", "blocks", "counts")
+    sized = counts.where("term IS NOT NULL").join(of_group, ["lang", "source"])
+    tb = F.pmod(F.xxhash64("term"), F.ceil(F.col("counts") / F.lit(entries))).cast("int")
+    sized = sized.withColumn("tb", tb)
+    in_block = Window.partitionBy("lang", "tb").orderBy("term")
+    numbered = sized.withColumn("t", (F.dense_rank().over(in_block) - 1).cast("int"))
+    slices = numbered.select("lang", "tb", "block", "blocks", "g", "t", "n")
+    slices = stored(slices, "slices")
+    here = slices.groupBy("lang", "tb").agg((F.max("t") + 1).alias("terms_here"))
+    members = placed.join(here, "lang").select(
         "lang", "tb", "terms_here", "block", "blocks", "g",
         (F.col("n_group") + F.col("terms")).alias("of"),
     )
-    slices = numbered.join(
-        blocked.select("lang", "source", "block", "blocks", "g"), ["lang", "source"]
-    ).select("lang", "tb", "block", "blocks", "g", "t", "n")
     cell = ["lang", "gi", "gj", "tb"]
     # Columns of their own, as both sides come from the same tables.
     members = _replicated(members.toDF(*members.columns))
