@@ -28,8 +28,11 @@ SAMPLE, ROUNDS, DEPTH = 4_096, 6, 8
 NEAR, DRAWN, NEAR_EDGES, FAR_EDGES, ALPHA = 64, 32, 24, 8, 1.2
 # Queries searched together, nodes each expands in a step, steps without gain that end it.
 QUERIES, WIDTH, PATIENCE = 256, 8, 3
-# Vectors whose links are counted by brute force, and the recall they must show.
-AUDIT, RECALL = 200, 0.95
+# Vectors whose links are counted by brute force: at first, and at most. They are four times
+# as many in each draw until LINKED of them have a link. RECALL is what they must show.
+AUDIT, AUDIT_MOST, LINKED, RECALL = 200, 12_800, 50, 0.95
+# Drawn vectors that are compared with a batch at a time.
+DRAWN_AT_ONCE = 1_024
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -270,22 +273,14 @@ def _edges(members: pd.DataFrame) -> pd.DataFrame:
 
 
 def _search(members: pd.DataFrame) -> pd.DataFrame:
-    """Rows (node, links, near): what each member is linked to, counted once over all shards.
+    """Ties (node, near): each member and the smallest one its links here lead to.
 
-    A pair counts in the first shard that holds both. `near` ties the members that are
-    linked in this shard together by one link each; pairs themselves aren't given out.
+    Pairs themselves aren't given out. Only links verified in double precision tie.
     """
     members = members.sort_values("node", kind="stable")
-    node, copies = members["node"].to_numpy(np.int64), members["n"].to_numpy(np.int64)
+    node = members["node"].to_numpy(np.int64)
     n = len(node)
     x = _matrix(members["v"])
-    here = members["shard"].iloc[0]
-    names = sorted({s for own in members["shards"] for s in own})
-    number = {s: i for i, s in enumerate(names)}
-    held = np.zeros((n, len(names)), bool)
-    for i, own in enumerate(members["shards"]):
-        held[i, [number[s] for s in own]] = True
-    earlier = held[:, : number[here]].astype(np.float32)
     adjacent = [np.searchsorted(node, near) for near in members["nears"]]
     known = [at[(at < n) & (node[np.minimum(at, n - 1)] == near)]
              for at, near in zip(adjacent, members["nears"])]
@@ -294,7 +289,7 @@ def _search(members: pd.DataFrame) -> pd.DataFrame:
         edges[i, : len(at)] = at
     mean = x.mean(0)
     medoid = int((x @ mean).argmax())
-    links, root = np.zeros(n, np.int64), np.arange(n)
+    root = np.arange(n)
 
     def find(i: int) -> int:
         while root[i] != i:
@@ -307,25 +302,49 @@ def _search(members: pd.DataFrame) -> pd.DataFrame:
         sims = range_search(x, edges, queries, medoid)
         q, t = np.nonzero(sims >= COSINE - 1e-3)
         own = queries[q]
-        # Verify in double precision.
         exact = np.concatenate(
             [np.einsum("pd,pd->p", x[own[b : b + 65536]], x[t[b : b + 65536]])
              for b in range(0, len(own), 65536)] or [np.zeros(0)]
         )
         right = (exact >= COSINE) & (own != t)
-        own, t = own[right], t[right]
-        first = np.concatenate(
-            [~(earlier[own[b : b + 65536]] * earlier[t[b : b + 65536]]).any(1)
-             for b in range(0, len(own), 65536)] or [np.zeros(0, bool)]
-        )
-        np.add.at(links, own[first], copies[t[first]])
         # One pass over the links of a query joins its component.
-        for a, b in zip(own.tolist(), t.tolist()):
+        for a, b in zip(own[right].tolist(), t[right].tolist()):
             if root[a] != root[b]:
                 a, b = find(a), find(b)
                 root[max(a, b)] = min(a, b)
     tops = np.array([find(i) for i in range(n)])
-    return pd.DataFrame({"node": node, "links": links, "near": node[tops]})
+    tied = tops != np.arange(n)
+    return pd.DataFrame({"node": node[tied], "near": node[tops[tied]]})
+
+
+def _counted(members: pd.DataFrame) -> pd.DataFrame:
+    """Rows (node, links) of a shard's members of components: their links, verified exactly.
+
+    Members of one component are compared with one another in double precision, so a
+    link counts at both ends, whichever search met it and in whichever shard. A pair
+    that an earlier shard holds too is left to that shard, which compares it as well.
+    """
+    members = members.sort_values("component", kind="stable")
+    here = members["shard"].iloc[0]
+    x, copies = _matrix(members["v"]), members["n"].to_numpy(np.int64)
+    before = [[s for s in held if s < here] for held in members["shards"]]
+    number = {s: i for i, s in enumerate(sorted({s for held in before for s in held}))}
+    earlier = np.zeros((len(x), len(number)), np.float32)
+    for i, held in enumerate(before):
+        earlier[i, [number[s] for s in held]] = 1
+    links = np.zeros(len(x), np.int64)
+    _, starts = np.unique(members["component"].to_numpy(), return_index=True)
+    for start, end in zip(starts, [*starts[1:], len(x)]):
+        y, e, n = x[start:end], earlier[start:end], end - start
+        linked = np.empty((n, n), bool)
+        for at in range(0, n, 512):
+            linked[at : at + 512] = y[at : at + 512] @ y.T >= COSINE
+            linked[at : at + 512] &= ~(e[at : at + 512] @ e.T > 0)
+        linked &= linked.T
+        np.fill_diagonal(linked, False)
+        links[start:end] = [copies[start:end][row].sum() for row in linked]
+    out = pd.DataFrame({"node": members["node"].to_numpy(np.int64), "links": links})
+    return out[out["links"] > 0]
 
 
 def _blocks(members: DataFrame) -> DataFrame:
@@ -471,13 +490,27 @@ def _exactly(members: DataFrame) -> DataFrame:
     return counted.select("node", "links", "near").union(ties).union(met)
 
 
+def _labelled(ties: DataFrame) -> DataFrame:
+    """(node, component) of every node of `ties` (node, near)."""
+    return stored(connected_components(ties, "node", "near"), "components")
+
+
+def _summed(labels: DataFrame, counts: DataFrame) -> DataFrame:
+    """(node, links, component) of every node that has a link."""
+    links = counts.groupBy("node").agg(F.sum("links").alias("links"))
+    joined = labels.join(links, "node", "left")
+    return stored(joined.select("node", F.coalesce("links", F.lit(0)).alias("links"), "component"), "found")
+
+
 def _all_links(nodes: DataFrame) -> DataFrame:
-    """(node, links, near) of every node with a link, from one shard that is searched exactly."""
+    """(node, links, component) of every node with a link, from one shard searched exactly."""
     none = F.array().cast("array<string>")
-    return stored(_exactly(nodes.select(F.lit(WHOLE).alias("shard"), "*", none.alias("earlier"))), "found")
+    one = nodes.select(F.lit(WHOLE).alias("shard"), "*", none.alias("earlier"))
+    exact = stored(_exactly(one), "exact")
+    return _summed(_labelled(exact), exact)
 
 
-def _brute_force(nodes: DataFrame, size: int = AUDIT) -> DataFrame:
+def _brute_force(nodes: DataFrame, size: int) -> DataFrame:
     """(node, true_links) of about `size` nodes drawn by hash, counted against all nodes.
 
     The drawn vectors are the queries, sent to every task: `size` bounds what is sent.
@@ -487,47 +520,74 @@ def _brute_force(nodes: DataFrame, size: int = AUDIT) -> DataFrame:
     drawn = nodes.where(place < size / total).toPandas()  # about `size` rows
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        q = _matrix(drawn["v"]) if len(drawn) else None
         own = drawn["node"].to_numpy()
         total = np.zeros(len(own), np.int64)
+        parts = [slice(at, at + DRAWN_AT_ONCE) for at in range(0, len(own), DRAWN_AT_ONCE)]
+        q = _matrix(drawn["v"]) if len(drawn) else None
         for batch in batches:
-            if q is None or not len(batch):
-                continue
-            linked = (q @ _matrix(batch["v"]).T >= COSINE) & (own[:, None] != batch["node"].to_numpy())
-            total += linked @ batch["n"].to_numpy(np.int64)
+            y = _matrix(batch["v"]) if len(batch) else None
+            for part in parts if len(batch) else []:
+                other = own[part, None] != batch["node"].to_numpy()
+                total[part] += ((q[part] @ y.T >= COSINE) & other) @ batch["n"].to_numpy(np.int64)
         yield pd.DataFrame({"node": own, "found": total})
 
     counted = nodes.mapInPandas(count, "node long, found long")
     return counted.groupBy("node").agg(F.sum("found").alias("true_links"))
 
 
+def audited(nodes: DataFrame) -> DataFrame:
+    """(node, true_links) of drawn nodes, of which LINKED have a link if any draw holds so many.
+
+    A draw of too few linked nodes is followed by one four times as large, up to all
+    nodes or AUDIT_MOST of them. So where no drawn node is linked, none of all nodes is,
+    or fewer than about three in AUDIT_MOST are.
+    """
+    total, size = nodes.count(), AUDIT
+    while True:
+        audit = stored(_brute_force(nodes, size), "audit")
+        if size >= min(total, AUDIT_MOST) or audit.where("true_links > 0").count() >= LINKED:
+            return audit
+        size = min(4 * size, AUDIT_MOST)
+
+
 def recall(links: DataFrame, audit: DataFrame) -> float:
-    """Share of the audited nodes' true links that `links` (node, links) holds; 1 if none."""
+    """Share of the audited nodes' true links that `links` (node, links) holds; 1 if none.
+
+    The lower of the share of all links and of the mean share of a linked node, so that
+    neither one large group nor many small ones hide what the others lose.
+    """
+    found = F.coalesce("links", F.lit(0))
     row = (
-        audit.join(links, "node", "left")
-        .agg(F.sum("true_links").alias("t"), F.sum(F.coalesce("links", F.lit(0))).alias("f"))
+        audit.where("true_links > 0")
+        .join(links, "node", "left")
+        .agg((F.sum(found) / F.sum("true_links")).alias("pooled"),
+             F.avg(found / F.col("true_links")).alias("mean"))
         .first()
-    )
-    return 1.0 if not row["t"] else row["f"] / row["t"]
+    )
+    return 1.0 if row["mean"] is None else min(row["pooled"], row["mean"])
 
 
 def _linked(nodes: DataFrame, overlap: int) -> DataFrame:
-    """(node, links, near) of every node, from the graph over `overlap` shards a node."""
+    """(node, links, component) of the linked nodes, from the graph over `overlap` shards a node."""
     every = stored(shards(nodes, overlap), "shards")
     is_whole = F.col("shard").startswith(WHOLE)
     members, whole = every.where(~is_whole), every.where(is_whole)
     graph = members.groupBy("shard").applyInPandas(_edges, "node long, near long")
     lists = graph.distinct().groupBy("node").agg(F.collect_list("near").alias("nears"))
-    of = every.groupBy("node").agg(F.collect_list("shard").alias("shards"))
     none = F.array().cast("array<bigint>")
-    extras = of.join(lists, "node", "left").withColumn("nears", F.coalesce("nears", none))
-    joined = members.join(extras, "node")
-    found = joined.groupBy("shard").applyInPandas(_search, "node long, links long, near long")
+    joined = members.join(lists, "node", "left").withColumn("nears", F.coalesce("nears", none))
+    ties = stored(joined.groupBy("shard").applyInPandas(_search, "node long, near long"), "ties")
+    of = every.groupBy("node").agg(F.collect_list("shard").alias("shards"))
+    exact = None
     if not whole.isEmpty():
         before = F.filter("shards", lambda s: s.startswith(WHOLE) & (s < F.col("shard")))
         held = whole.join(of, "node").withColumn("earlier", F.sort_array(before))
-        found = found.union(_exactly(held.select("shard", "node", "n", "v", "earlier")))
-    return stored(found, "found")
+        exact = stored(_exactly(held.select("shard", "node", "n", "v", "earlier")), "exact")
+        ties = ties.union(exact.select("node", "near"))
+    labels = _labelled(ties)
+    in_components = members.join(labels, "node").join(of, "node")
+    counts = in_components.groupBy("shard").applyInPandas(_counted, "node long, links long")
+    return _summed(labels, counts.union(exact.select("node", "links")) if exact else counts)
 
 
 def near_duplicates(
@@ -539,10 +599,12 @@ def near_duplicates(
     the smallest id reachable by them. Equal vectors are one node with a count. Nodes
     are dealt to overlapping shards of nearest centroids; each shard builds a pruned
     graph, the adjacency lists of all shards are united, and each shard searches from
-    its medoid for its members' links. Links are counted and tied together in the task,
-    so a group of any size gives out one row a member and shard. The links of about
-    AUDIT nodes are counted by brute force; below a recall of RECALL the graph is built
-    again over twice as many shards a node, and at FANOUT all nodes are searched exactly.
+    its medoid for its members' links. What it finds ties its members into components;
+    then each shard compares its members of a component with one another and counts, so
+    no pair is given out and no link that one end found is missing at the other. The
+    links of drawn nodes, AUDIT and more of them until LINKED have a link, are counted by
+    brute force; below a recall of RECALL the graph is built again over twice as many
+    shards a node, and at FANOUT all nodes are searched exactly.
     A crowd of more than SHARD_MOST vectors that link among themselves isn't split: its
     links are counted exactly, in pairs of blocks.
 
@@ -564,10 +626,10 @@ def near_duplicates(
     found_parts = []
     for (length,) in copies.select(F.size("v")).distinct().collect():  # one row a length
         nodes = copies.where(F.size("v") == length).select("node", "n", "v")
-        audit = stored(_brute_force(nodes), "audit")
+        audit = audited(nodes)
         overlap = OVERLAP
         found = _linked(nodes, overlap)
-        while recall(found.groupBy("node").agg(F.sum("links").alias("links")), audit) < RECALL:
+        while recall(found, audit) < RECALL:
             overlap *= 2
             found = _linked(nodes, overlap) if overlap < FANOUT else _all_links(nodes)
             if overlap >= FANOUT:
@@ -581,14 +643,11 @@ def near_duplicates(
     found = found_parts[0]
     for part in found_parts[1:]:
         found = found.union(part)
-    counts = found.groupBy("node").agg(F.sum("links").alias("links"))
-    ties = found.where("node != near").select("node", "near").distinct()
-    labels = connected_components(ties, "node", "near").select("node", "component")
-    placed = copies.join(labels, "node", "left").select(
-        "node", "v", "n", "first_id", F.coalesce("component", "node").alias("component")
+    placed = copies.join(found, "node", "left").select(
+        "v", "n", "first_id", "links", F.coalesce("component", "node").alias("component")
     )
     firsts = placed.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    result = placed.join(firsts, "component").join(counts, "node", "left")
+    result = placed.join(firsts, "component")
     result = result.select(
         F.col("v").alias("_v"), "component_id",
         (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -132,6 +133,53 @@ def test_embeddings_in_many_shards(spark, monkeypatch):
     assert all(r.kept == (r.vec_id == r.component_id) for r in rows)
 
 
+def test_a_link_counts_once_and_at_both_ends():
+    """Shards that share pairs count each pair once, whichever search had tied it."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=12) + rng.normal(size=(90, 12)) * 0.2
+    x[60:] = rng.normal(size=12) + rng.normal(size=(30, 12)) * 0.2
+    copies = rng.integers(1, 4, 90)
+    held = [sorted(rng.choice(list("abc"), rng.integers(1, 4), replace=False)) for _ in x]
+    rows = pd.DataFrame(
+        {"node": range(90), "n": copies, "v": list(x), "shards": held, "component": [0] * 60 + [60] * 30}
+    )
+    links = np.zeros(90, int)
+    for shard in "abc":
+        own = rows[[shard in s for s in held]].assign(shard=shard).sample(frac=1, random_state=1)
+        for r in neighbours._counted(own).itertuples():
+            links[r.node] += r.links
+    meet = np.array([[bool({*p} & {*q}) for q in held] for p in held])
+    meet[:60, 60:] = meet[60:, :60] = False
+    assert links.tolist() == ((brute_force(x) & meet) * copies).sum(1).tolist()
+    assert 0 < brute_force(x)[:60, :60].mean() < 1
+
+
+def test_audit_draws_on_until_links_are_seen(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "AUDIT", 8)
+    monkeypatch.setattr(neighbours, "LINKED", 10)
+    x = np.random.default_rng(9).normal(size=(400, 16))
+    x[390:] = x[380:390] * 2 + 0.01
+    rows = [(i, 1, v.tolist()) for i, v in enumerate(x)]
+    nodes = spark.createDataFrame(rows, "node long, n long, v array<double>")
+    audit = neighbours.audited(nodes)
+    near = brute_force(x).sum(1)
+    assert near.sum() >= 20
+    got = {r.node: r.true_links for r in audit.collect()}
+    assert len(got) > 100 and all(near[i] == n for i, n in got.items())
+    assert sum(n > 0 for n in got.values()) >= 10
+    # Without a link all nodes are counted.
+    assert neighbours.audited(nodes.where("node < 380")).count() == 380
+
+
+def test_recall_is_that_of_links_and_of_vectors(spark):
+    audit = spark.createDataFrame([(1, 98), (2, 1), (3, 1), (4, 0)], "node long, true_links long")
+    links = spark.createDataFrame([(1, 98), (4, 0)], "node long, links long")
+    assert neighbours.recall(links, audit) == pytest.approx(1 / 3)
+    links = spark.createDataFrame([(2, 1), (3, 1)], "node long, links long")
+    assert neighbours.recall(links, audit) == pytest.approx(0.02)
+    assert neighbours.recall(links, audit.where("true_links = 0")) == 1.0
+
+
 def test_crowds_larger_than_a_shard_keep_all_links(spark, monkeypatch):
     """A tight and a wide crowd, both larger than any shard searched by graph, and pairs."""
     monkeypatch.setattr(neighbours, "SHARD", 60)
