@@ -31,9 +31,13 @@ def with_previous_row(
     `df` is read twice: to count its keys, and to write its rows with their number
     of segments to the shared folder. The rest reads that table.
     """
-    rows = df.withColumns(
-        {"_tie": F.xxhash64(*df.columns), "_here": F.struct(*values)}
-    )
+    placed = _written(with_bits(df, key, crowd))
+    usual = placed.filter("_bits IS NULL").drop("_bits")
+    return previous_in_parts(usual, placed.filter("_bits IS NOT NULL"), key, order, values)
+
+
+def with_bits(df: DataFrame, key: str, crowd: int = CROWD) -> DataFrame:
+    """Add `_bits`: the log of the number of segments of the row's key, null if it isn't crowded."""
     crowded = (
         df.groupBy(key)
         .agg(F.count("*").alias("_rows"))
@@ -43,13 +47,22 @@ def with_previous_row(
             F.ceil(F.log2(F.col("_rows") / crowd)).cast("int").alias("_bits"),
         )
     )
-    placed = rows.join(crowded, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
-    placed = _written(placed)
+    return df.join(crowded, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+
 
+def previous_in_parts(
+    usual: DataFrame, crowded: DataFrame, key: str, order: str, values: list[str]
+) -> DataFrame:
+    """`with_previous_row` for rows that are parted: those of usual and of crowded keys.
+
+    `crowded` has the column `_bits` beside those of `usual`. Usual keys that are stored
+    in buckets need no shuffle.
+    """
+    helpers = {"_tie": F.xxhash64(*usual.columns), "_here": F.struct(*values)}
     history = Window.partitionBy(key).orderBy(order, "_tie", "_here")
-    usual = placed.filter("_bits IS NULL").withColumn("before", F.lag("_here").over(history))
-    segmented = _by_segments(placed.filter("_bits IS NOT NULL"), key, order)
-    return usual.unionByName(segmented).drop("_tie", "_here", "_bits")
+    whole = usual.withColumns(helpers).withColumn("before", F.lag("_here").over(history))
+    split = _by_segments(crowded.withColumns(helpers), key, order).drop("_bits")
+    return whole.unionByName(split).drop("_tie", "_here")
 
 
 def _written(rows: DataFrame) -> DataFrame:

@@ -18,7 +18,12 @@ from meterwell.functions.rules import (
     value_band,
 )
 from meterwell.functions.values import decline, without_nan, zero
-from meterwell.operators.neighbours import CROWD, spread_copies, with_previous_row
+from meterwell.operators.neighbours import (
+    CROWD,
+    previous_in_parts,
+    spread_copies,
+    with_previous_row,
+)
 from meterwell.operators.reshape import chosen_months, unpivot
 from meterwell.settings import DEFAULTS, Settings
 
@@ -107,9 +112,29 @@ def month_over_month_long(long: DataFrame, crowd: int = CROWD) -> DataFrame:
     id on more than `crowd` rows is split over many tasks.
     """
     needed = [c for c in COMPARED_COLUMNS if c in long.columns]
-    paired = with_previous_row(
-        long.select(*needed), "mobile_number", "report_month", ["report_month", *MOVING], crowd
+    return _with_previous(
+        with_previous_row(
+            long.select(*needed), "mobile_number", "report_month", ["report_month", *MOVING], crowd
+        )
     )
+
+
+def month_over_month_bucketed(usual: DataFrame, crowded: DataFrame) -> DataFrame:
+    """The same columns from the two parts of a long table in buckets of customers.
+
+    Rows of a usual id lie in one bucket, so they are paired where they are read. What
+    shuffles are the rows of crowded ids.
+    """
+    needed = [c for c in COMPARED_COLUMNS if c in usual.columns]
+    return _with_previous(
+        previous_in_parts(
+            usual.select(*needed), crowded.select(*needed, "_bits"),
+            "mobile_number", "report_month", ["report_month", *MOVING],
+        )
+    )
+
+
+def _with_previous(paired: DataFrame) -> DataFrame:
     return paired.withColumns(
         {
             "prev_month": F.col("before.report_month"),

@@ -26,6 +26,7 @@ from meterwell.operators.events import ISO_MICROS
 from meterwell.plans import pipeline
 from meterwell.schemas import RICH_EVENT, RISK_ALERT, TABLES
 from meterwell.session import stream_session
+from meterwell.sources.bucketed import write_buckets
 from meterwell.sources.extracts import read_extract, write_extract
 from meterwell.sources.messages import (
     alert_messages,
@@ -188,6 +189,23 @@ def month_over_month_lag(spark, sf_dir):
     return trend.month_over_month_long(_long(spark, sf_dir))
 
 
+def _bucketed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    name = f"usage_{uuid.uuid4().hex}"
+    return write_buckets(_long(spark, sf_dir), scratch_dir(spark, "buckets"), name).read(spark)
+
+
+@_query
+def month_over_month_bucketed(spark, sf_dir):
+    """The long table stored in buckets of customers, then paired without a shuffle."""
+    return trend.month_over_month_bucketed(*_bucketed(spark, sf_dir))
+
+
+@_query
+def silent_customers_bucketed(spark, sf_dir):
+    compared = trend.month_over_month_bucketed(*_bucketed(spark, sf_dir))
+    return trend.silent_customers(compared, ordered=False)
+
+
 @_query
 def usage_decline_alerts(spark, sf_dir):
     return trend.usage_decline_alerts(_compared(spark, sf_dir))

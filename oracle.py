@@ -388,6 +388,7 @@ def statements() -> dict[str, str]:
         ),
         "month_over_month": q("SELECT * FROM compared", *compared),
         "month_over_month_lag": q("SELECT * FROM compared", *compared),
+        "month_over_month_bucketed": q("SELECT * FROM compared", *compared),
         "usage_decline_alerts": q("SELECT * FROM alerts", *alerts),
         "usage_decline_one_month": q(
             "SELECT * FROM alerts WHERE report_month = '2014-09'", *alerts
@@ -395,6 +396,7 @@ def statements() -> dict[str, str]:
         "usage_decline_top500": q(f"SELECT * FROM alerts {top_alerts}", *alerts),
         "silent_customers": q("SELECT * FROM silent", *silent),
         "silent_customers_join": q("SELECT * FROM silent", *silent),
+        "silent_customers_bucketed": q("SELECT * FROM silent", *silent),
         "silent_top500": q(
             """SELECT * FROM silent
             ORDER BY prev_arpu DESC NULLS LAST, mobile_number, report_month LIMIT 500""",
