@@ -21,6 +21,9 @@ LEAST = {"assign": 12, "access": 18, "hex": 16}
 KINDS = ("assign", "access", "hex", "owned")
 # A value that this many owners or repositories hold is a copied example.
 COPIED = 2
+# Matches of a text that are worked through together. An array grows by copying, so the
+# work on a text with many matches grows with their number times this, not its square.
+CHUNK = 256
 
 
 # (pattern, group that holds the secret, what must hold for a match to count)
@@ -43,14 +46,35 @@ def _spans(kind: str) -> str:
     their lengths say where each match stands, in code points.
     """
     v, w, g = (f"{kind}_{x}" for x in "vwg")
-    none = f"CAST(array() AS {_SPANS})"
-    return f"""nvl(aggregate(arrays_zip({v}, {w}, {g}), named_struct('at', 0L, 'out', {none}),
+    none, chunks = f"CAST(array() AS {_SPANS})", f"CAST(array() AS array<{_SPANS}>)"
+    in_chunk = f"""aggregate(c, named_struct('at', o.at, 'out', {none}),
         (s, m) -> named_struct('at', s.at + m.{g} + nvl(length(m.{v}), 0), 'out',
           CASE WHEN m.{v} IS NOT NULL AND ({_PATTERNS[kind][2]}) THEN
             concat(s.out, array(named_struct('start', CAST(s.at + m.{g} AS bigint), 'kind',
               {KINDS.index(kind)}, 'end', CAST(s.at + m.{g} + length(m.{v}) AS bigint),
               'secret', m.{w}))) ELSE s.out END),
-        s -> s.out), {none})"""
+        s -> named_struct('at', s.at, 'out', concat(o.out, array(s.out))))"""
+    return f"""nvl(aggregate({_chunks(f"arrays_zip({v}, {w}, {g})")},
+        named_struct('at', 0L, 'out', {chunks}), (o, c) -> {in_chunk}, o -> flatten(o.out)), {none})"""
+
+
+def _chunks(array: str) -> str:
+    """SQL for an array cut into arrays of at most CHUNK; null stays null."""
+    last = f"greatest(size({array}) - 1, 0) div {CHUNK}"
+    cut = f"transform(sequence(0L, {last}), i -> slice({array}, CAST(i * {CHUNK} + 1 AS int), {CHUNK}))"
+    return f"CASE WHEN {array} IS NOT NULL THEN {cut} END"
+
+
+def _apart(spans: str, base: str) -> str:
+    """SQL for those of `spans`, in order, that no span of `base` overlaps.
+
+    A chunk meets only the base spans between its start and its end.
+    """
+    near = f"filter({base}, b -> b.start < element_at(c, -1).end AND c[0].start < b.end)"
+    meets = "exists(n, b -> b.start < m.end AND m.start < b.end)"
+    kept = f"transform(array({near}), n -> filter(c, m -> NOT {meets}))[0]"
+    return f"""CASE WHEN size({spans}) > 0 AND size({base}) > 0 THEN
+        flatten(transform({_chunks(spans)}, c -> {kept})) ELSE {spans} END"""
 
 
 def with_spans(docs: DataFrame) -> DataFrame:
@@ -132,10 +156,7 @@ def scan(
         .alias("repo"),
     )
     base = F.concat("assign", "access", "hex")
-    apart = F.filter(
-        "owned",
-        lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])),
-    )
+    apart = F.expr(_apart("owned", "base"))
     hashed = F.transform(
         F.concat("base", apart),
         lambda s: F.struct(

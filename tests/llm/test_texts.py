@@ -216,6 +216,32 @@ def test_secrets_of_odd_documents(odd_documents, no_documents):
     assert "Python" not in secrets.scan(odd_documents)._jdf.queryExecution().toString()
 
 
+def test_many_secrets_in_one_text(spark):
+    """Tens of thousands of matches of each kind, over many chunks, in one text."""
+    rng = random.Random(4)
+    lines = []
+    for i in range(20_000):
+        mixed = "".join(rng.choice("abcXYZ0189") for _ in range(30)) + "aX1"
+        lines.append(rng.choice([f"token={i:016x}", f"AKIA{i:018d}", f"{i:020x}", mixed, f"é {mixed}"]))
+    text = "\n".join(lines)
+    df = spark.createDataFrame([(1, text, "a", "b")], "doc_id long, text string, source string, lang string")
+    (row,) = secrets.scan(df).collect()
+    assert row.n_assign == sum(line.startswith("token") for line in lines)
+    found = [tuple(map(int, p.split(":")[1:])) for p in row.spans.split(",") if p.startswith("owned")]
+    base = [tuple(map(int, p.split(":")[1:])) for p in row.base_spans.split(",")]
+    every = sorted(found + base)
+    runs = [m.span() for m in re.finditer(secrets.MIXED, text)]
+    mixed = [r for r in runs if all(re.search(p, text[slice(*r)]) for p in ("[a-z]", "[A-Z]", "[0-9]"))]
+    at, free = 0, []
+    base.sort()
+    for start, end in mixed:
+        while at < len(base) and base[at][1] <= start:
+            at += 1
+        if at == len(base) or base[at][0] >= end:
+            free.append((start, end))
+    assert sorted(found) == free and len(free) > 5_000 and len(every) > 15_000
+
+
 # Languages
 
 
