@@ -1,4 +1,4 @@
-"""Line dedup with levelled sorted runs of line hashes."""
+"""Line dedup with levelled sorted runs of line hashes, which each batch merge-anti-joins."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterwell.llm.tables import free_names, stored
+from meterwell.llm.tables import free_names, stored, stored_in_buckets
 
 # White space at line ends: space and U+0009 to U+000D.
 BLANKS = " \t\n\x0b\f\r"
@@ -42,29 +42,48 @@ def hashed_lines(docs: DataFrame) -> DataFrame:
 class LineRuns:
     """Sorted runs of (h1, h2, n_docs, last_id), in levels.
 
-    `add` writes a batch's own run on level 0. When a level holds `fanout` runs they
-    are merged into one run of the next level, so a key is rewritten only once a
-    level and there are at most `fanout` - 1 runs a level. Runs are tables sorted by
-    hash in the shared folder. A batch must not hold a document of an earlier one; it
-    doesn't look at earlier runs, as counts are settled by `surplus` after loading.
+    `add` merge-anti-joins a batch with all live runs and writes what is left as the
+    batch's own run on level 0. A key that a run settles, held by `min_docs` documents
+    and by an id as large as any of the batch's, would change nothing and is not written
+    again; so `n_docs` is exact below `min_docs` only. When a level holds `fanout` runs
+    they are merged into one run of the next level, so a key is rewritten only once a
+    level and there are at most `fanout` - 1 runs a level. Runs lie in the shared folder,
+    in buckets of hashes and sorted in each: neither the anti-joins nor the merges shuffle
+    them. A batch must not hold a document of an earlier one; batches may come in any
+    order.
     """
 
-    def __init__(self, fanout: int = FANOUT):
+    def __init__(self, min_docs: int = MIN_DOCS, fanout: int = FANOUT):
+        self.min_docs = min_docs
         self.fanout = fanout
         self.levels: list[list[DataFrame]] = []
 
     def add(self, lines: DataFrame) -> None:
+        self._put(self.unsettled(lines), 0)
+
+    def unsettled(self, lines: DataFrame) -> DataFrame:
+        """The keys of a batch of lines that no live run settles."""
         per_doc = lines.select("h1", "h2", "id", "text_hash").distinct()
-        run = per_doc.groupBy("h1", "h2").agg(
+        batch = per_doc.groupBy("h1", "h2").agg(
             F.count(F.lit(1)).alias("n_docs"), F.max("id").alias("last_id")
         )
-        self._put(run, 0)
+        for run in self._live():
+            settled = run.where(F.col("n_docs") >= self.min_docs).select(
+                F.col("h1").alias("k1"), F.col("h2").alias("k2"), F.col("last_id").alias("k_last")
+            )
+            same = (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2"))
+            nothing_new = F.col("last_id").isNull() | (F.col("last_id") <= F.col("k_last"))
+            batch = batch.join(settled.hint("merge"), same & nothing_new, "left_anti")
+        return batch
+
+    def _live(self) -> list[DataFrame]:
+        return [run for level in self.levels for run in level]
 
     def _put(self, run: DataFrame, level: int) -> None:
         if level == len(self.levels):
             self.levels.append([])
         here = self.levels[level]
-        here.append(stored(run.sortWithinPartitions("h1", "h2"), f"run-{level}"))
+        here.append(stored_in_buckets(run, ["h1", "h2"], f"run-{level}"))
         if len(here) >= self.fanout:
             merged = self._merged(here)
             self.levels[level] = []
@@ -72,28 +91,35 @@ class LineRuns:
 
     @staticmethod
     def _merged(runs: list[DataFrame]) -> DataFrame:
-        union = runs[0]
+        """One row per key: runs are merged in the order of their sort, two at a time."""
+        merged = runs[0]
         for run in runs[1:]:
-            union = union.union(run)
-        if len(runs) == 1:
-            return union
-        return union.groupBy("h1", "h2").agg(
-            F.sum("n_docs").alias("n_docs"), F.max("last_id").alias("last_id")
-        )
+            other = run.toDF("k1", "k2", "k_docs", "k_last").hint("merge")
+            same = (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2"))
+            merged = merged.join(other, same, "full").select(
+                F.coalesce("h1", "k1").alias("h1"),
+                F.coalesce("h2", "k2").alias("h2"),
+                (F.coalesce("n_docs", F.lit(0)) + F.coalesce("k_docs", F.lit(0))).alias("n_docs"),
+                F.greatest("last_id", "k_last").alias("last_id"),
+            )
+        return merged
 
     def keys(self) -> DataFrame:
         """All runs merged, one row per key."""
-        return self._merged([run for level in self.levels for run in level])
+        return self._merged(self._live())
 
-    def surplus(self, lines: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    def surplus(self, lines: DataFrame) -> DataFrame:
         """The rows of `lines` that repeat, by one semi-join with all runs merged.
 
         A row goes if at least `min_docs` documents hold its key and one of them has
-        a larger id. Both sides are shuffled by key, so adaptive execution can split
-        a line that a large part of the documents holds.
+        a larger id; that is known only after all batches, so it is asked once. The
+        keys that go are stored without buckets first: both sides are then shuffled,
+        and adaptive execution can split a line that a large part of the documents holds.
         """
-        doomed = self.keys().where((F.col("n_docs") >= min_docs) & F.col("last_id").isNotNull())
-        doomed = doomed.select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), "last_id")
+        settled = (F.col("n_docs") >= self.min_docs) & F.col("last_id").isNotNull()
+        doomed = self.keys().where(settled)
+        keys = doomed.select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), "last_id")
+        doomed = stored(keys, "doomed-lines")
         later = F.col("id").isNull() | (F.col("id") < F.col("last_id"))
         same = (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2"))
         return lines.join(doomed, same & later, "left_semi")

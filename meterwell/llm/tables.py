@@ -18,6 +18,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_in_buckets(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """`df` written once to the shared folder, in buckets by `keys` sorted by them, and read back.
+
+    There are as many buckets as the session shuffles to, so what was just grouped or
+    joined by `keys` is written without a shuffle, and later joins by them need none on
+    this side. The catalog entry goes at once: the returned frame knows the buckets.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    table = f"meterwell_{path.rsplit('-', 1)[1]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path)
+    writer.format("parquet").saveAsTable(table)
+    found = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return found
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

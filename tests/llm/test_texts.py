@@ -163,6 +163,51 @@ def test_line_runs_keep_levels(spark):
     assert (row.n_docs, row.last_id) == (5, 4)
 
 
+def test_settled_lines_are_not_added_again(spark):
+    """A batch is merge-anti-joined with the runs; neither that nor a merge shuffles a run."""
+    def batch(*docs):
+        return lines.hashed_lines(spark.createDataFrame(list(docs), "id long, text string"))
+
+    one, two = "a line that three documents hold", "a line that turns up much later"
+    runs = lines.LineRuns(min_docs=3, fanout=3)
+    runs.add(batch((7, one), (8, one), (9, one)))
+    assert runs.unsettled(batch((5, one), (6, two))).count() == 1
+    assert runs.unsettled(batch((10, one), (6, two))).count() == 2  # a larger id is news
+    assert runs.unsettled(batch((None, one))).count() == 0
+    runs.add(batch((5, f"{one}\n{two}"), (None, two)))
+    runs.add(batch((6, two), (10, one)))
+    assert [len(level) for level in runs.levels] == [0, 1]
+    assert sorted((r.n_docs, r.last_id) for r in runs.keys().collect()) == [(3, 6), (4, 10)]
+
+    plan = runs.unsettled(batch((5, one)))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "LeftAnti" in plan and "Bucketed: true" in plan
+    # The batch is grouped by two exchanges, its run is only scanned.
+    assert plan.count("Exchange") == 2
+    runs.add(batch((4, two)))
+    merged = lines.LineRuns._merged(runs._live())
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" in plan and "Exchange" not in plan
+
+
+def test_line_batches_in_any_order(spark):
+    """Runs hold what a plain count finds, whatever the batches and their order."""
+    rng = random.Random(5)
+    rows = [
+        (i, "\n".join(f"one of the lines that recur {rng.randrange(12)}" for _ in range(3)))
+        for i in range(60)
+    ]
+    held = {}
+    for i, text in rows:
+        for line in set(text.split("\n")):
+            held.setdefault(line, []).append(i)
+    want = sorted(max(ids) for ids in held.values() if len(ids) >= 3)
+    rng.shuffle(rows)
+    runs = lines.LineRuns(fanout=2)
+    for at in range(0, 60, 12):
+        runs.add(lines.hashed_lines(spark.createDataFrame(rows[at : at + 12], "id long, text string")))
+    assert sorted(r.last_id for r in runs.keys().where("n_docs >= 3").collect()) == want
+
+
 def test_line_dedup_is_native(documents):
     plan = lines.dedup_lines(documents)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
