@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from meterwell.llm.components import connected_components
-from meterwell.llm.tables import free_names, stored
+from meterwell.llm.tables import free_names, joined_by_weight, stored
 
 BITS = 64
 # Bits that may differ between linked fingerprints.
@@ -191,7 +191,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     text by text; between texts of the smallest id in a group their hash decides. Rows
     with a null id stay, and rows that repeat a staying document stay together. Null and
     empty texts are one group; whole texts count. Columns may have any names; an empty
-    table gives an empty one.
+    table gives an empty one. A group or a fingerprint that a large part of all rows
+    share is not dealt to one task.
     """
     text = F.col(text_col)
     hashes = [F.xxhash64(text), F.xxhash64(text, F.lit(1))]
@@ -201,10 +202,17 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
     rows = stored(rows, "fingerprints")
     placed = _placed(rows).select("fp", "component")
-    known = rows.where("id IS NOT NULL").join(placed, "fp")
+    known = rows.where("id IS NOT NULL")
     document = F.struct("id", "h1", "h2")
-    firsts = known.groupBy("component").agg(F.min(document).alias("first"))
-    gone = known.join(firsts, "component").where(document != F.col("first"))
+    prints = known.groupBy("fp").agg(F.min(document).alias("own"), F.count(F.lit(1)).alias("n"))
+    prints = stored(prints.join(placed, "fp"), "placed-prints")
+    firsts = prints.groupBy("component").agg(
+        F.min("own").alias("first"), F.count(F.lit(1)).alias("n_prints")
+    )
+    firsts = stored(firsts, "first-documents")
+    by_print = joined_by_weight(prints.select("fp", "n", "component"), firsts, "component", "n_prints")
+    by_print = stored(by_print.select("fp", "n", "first"), "first-by-print")
+    gone = joined_by_weight(known, by_print, "fp", "n").where(document != F.col("first"))
     names = free_names(docs, "gone_id", "gone_h1", "gone_h2")
     gone = gone.select("id", "h1", "h2").distinct().toDF(*names)
     same = [F.col(name) == own for name, own in zip(names, (F.col(id_col), *hashes))]

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from meterwell.sources.scratch import scratch_dir
 
+# A key is heavy if more than this part of all rows have it, so fewer keys than this are.
+HEAVY = 1_000
+
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """`df` written once to the shared folder and read back.
@@ -36,6 +40,20 @@ def stored_in_buckets(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     return found
 
 
+def joined_by_weight(rows: DataFrame, labels: DataFrame, key: str, n: str) -> DataFrame:
+    """The inner join of `rows` with `labels`, one row a `key`, where no key fills a task.
+
+    `n` is the column of `labels` that counts the rows with its key, and is dropped. The
+    labels of heavy keys, fewer than HEAVY whatever the data, are broadcast, and their
+    rows stay where they are; all other rows are shuffled. Both frames are read twice, so
+    they should be stored ones.
+    """
+    heavy = F.col(n) * HEAVY > rows.count()
+    few = F.broadcast(labels.where(heavy).drop(n))
+    usual = rows.join(few.select(key), key, "left_anti").join(labels.where(~heavy).drop(n), key)
+    return rows.join(few, key).unionByName(usual)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from meterwell.llm import neighbours, simhash
 from meterwell.llm.components import connected_components
+from meterwell.llm.tables import joined_by_weight, stored
 
 
 def components(n, pairs):
@@ -94,6 +95,31 @@ def test_one_of_each_judges_repeated_ids_by_text(spark):
     assert kept == sorted([(3, a), (5, b), (5, b), (None, a), (7, "all alone")], key=str)
 
 
+def test_heavy_keys_are_joined_where_they_are(spark):
+    """A third of the rows have one key; they meet its label without a shuffle."""
+    rows = stored(spark.range(30_000).selectExpr("id", "IF(id < 10000, -1, id) AS k"), "rows")
+    counted = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("label"))
+    joined = joined_by_weight(rows, stored(counted, "labels"), "k", "n")
+    assert joined.columns == ["k", "id", "label"]
+    wrong = joined.where("label != IF(id < 10000, 0, id)")
+    assert joined.count() == 30_000 and wrong.count() == 0
+    labels = stored(counted.where("k = -1"), "labels")
+    assert joined_by_weight(rows, labels, "k", "n").count() == 10_000
+    assert joined_by_weight(rows.where("false"), labels, "k", "n").count() == 0
+
+
+def test_one_of_each_of_a_large_group(spark):
+    """Copies and near copies that fill most of the table leave their smallest document."""
+    words = [f"word{i}" for i in range(400)]
+    near = [" ".join([*words, f"tail{i % 7}"]) for i in range(2_500)]
+    other = [" ".join(f"{i}x{j}" for j in range(30)) for i in range(40)]
+    rows = [*((i + 100, t) for i, t in enumerate(near)), *((i, t) for i, t in enumerate(other))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    groups = simhash.near_duplicates(docs).groupBy("component_id").count().collect()
+    kept = sorted(r.doc_id for r in simhash.one_of_each(docs).collect())
+    assert kept == sorted(r.component_id for r in groups) and max(r["count"] for r in groups) > 300
+
+
 def test_components_of_chains_stars_and_loops(spark):
     pairs = [(i, i + 1) for i in range(100, 140)] + [(7, i) for i in range(20, 60)] + [(3, 3), (5, None)]
     df = spark.createDataFrame(pairs, "a long, b long")
