@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -139,19 +140,24 @@ def token_pieces(
     own = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
     end = np.array([END], "<u4").tobytes()
 
-    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Of an Arrow batch only the texts that are learned together become Python strings.
         encode = Encoder(path)
         for batch in batches:
-            for at in range(0, len(batch), TOGETHER):
-                some, rows = batch.iloc[at : at + TOGETHER], []
-                for id_, ids in zip(some["id"], encode([t or "" for t in some["text"]])):
-                    raw = memoryview(ids + end)
+            for at in range(0, batch.num_rows, TOGETHER):
+                ids, texts = (column.to_pylist() for column in batch.slice(at, TOGETHER).columns)
+                rows = []
+                for id_, tokens in zip(ids, encode([t or "" for t in texts])):
+                    raw = memoryview(tokens + end)
                     for i, (start, length) in enumerate(cut(len(raw) // 4, capacity)):
                         crc = zlib.crc32(raw[4 * start : 4 * (start + length)])
                         rows.append((id_, i, start, length, crc))
-                yield pd.DataFrame(rows, columns=["id", "piece", "start", "length", "ids_crc32"])
+                columns = [pa.array(column, type_) for column, type_ in zip(zip(*rows), types)]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
-    return own.mapInPandas(pieces, _PIECES)
+    names = [field.split()[0] for field in _PIECES.split(", ")]
+    types = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+    return own.mapInArrow(pieces, _PIECES)
 
 
 def best_fit(lengths: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
