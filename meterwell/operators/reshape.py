@@ -99,6 +99,9 @@ def wide_to_long_by_union(
 
     Scans the input once per month, but a later filter on `report_month` removes
     whole branches, which suits a view that is always read one month at a time.
+    `wide` should be a stored table. Each branch repeats the work that builds `wide`,
+    and Spark may run all branches of a shuffled input in one task, which then holds
+    the memory of every one of them.
     """
     metrics = monthly_metrics(wide.columns, settings)
     static = [c for c in settings.static_columns if c in wide.columns]

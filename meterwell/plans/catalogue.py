@@ -133,7 +133,11 @@ def wide_to_long(spark, sf_dir):
 
 @_query
 def wide_to_long_union(spark, sf_dir):
-    return reshape.wide_to_long_by_union(wide_usage(spark, sf_dir), STAR)
+    """The wide rows are stored once, and each month's branch only scans them."""
+    path = scratch_dir(spark, "wide")
+    wide = wide_usage(spark, sf_dir)
+    wide.write.parquet(path)
+    return reshape.wide_to_long_by_union(spark.read.schema(wide.schema).parquet(path), STAR)
 
 
 @_query

@@ -3,7 +3,10 @@ from __future__ import annotations
 import pytest
 
 from meterwell.operators.reshape import monthly_metrics, wide_to_long, wide_to_long_by_union
+from meterwell.plans import catalogue
+from meterwell.sources.star import STAR
 
+from conftest import SF_DIR
 from helpers import operators, plan, same, wide_frame
 
 
@@ -35,6 +38,14 @@ def test_union_gives_the_same_rows(stored_wide):
     same(wide_to_long(stored_wide), wide_to_long_by_union(stored_wide))
 
 
+def test_union_query_builds_the_wide_rows_once(spark):
+    """Its branches only scan, so no task holds the aggregations of several months."""
+    long = catalogue.wide_to_long_union(spark, SF_DIR)
+    assert operators(long, "Scan parquet") == len(STAR.months)
+    assert operators(long, "Exchange") == operators(long, "HashAggregate") == 0
+    same(long, catalogue.wide_to_long(spark, SF_DIR))
+
+
 def test_row_count_is_customers_times_months(stored_wide):
     assert wide_to_long(stored_wide).count() == 4 * stored_wide.count()
 
