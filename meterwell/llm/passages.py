@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
+import re
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import ahocorasick
 import numpy as np
@@ -77,30 +80,37 @@ def _anchor_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 class Automata:
     """Aho-Corasick automata over phrases of whole words, SHARD phrases each.
 
-    Within a shard each word of a phrase is one character and any other word is
-    another, so an automaton has at most a node a word, and finds words, not parts.
+    Within a shard each word of a phrase is two characters, its upper and its lower
+    digit, from alphabets of their own, and any other word is another two. So an
+    automaton has at most two nodes a word and finds words, not parts. A node looks its
+    edges through one by one: digits leave it few, where a character a word would
+    give the root an edge for each first word of a phrase.
     """
 
     def __init__(self, phrases: list[tuple[bytes, ...]]):
         self.shards = []
         for at in range(0, len(phrases), SHARD):
-            letters: dict[bytes, str] = {}
+            some = phrases[at : at + SHARD]
+            words = dict.fromkeys(chain.from_iterable(some))
+            base = math.isqrt(len(words)) + 1
+            upper, lower = ([chr(first + i) for i in range(base)] for first in (1, 1 + base))
+            letters = {w: upper[n // base] + lower[n % base] for n, w in enumerate(words)}
             automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-            for phrase in phrases[at : at + SHARD]:
-                for word in phrase:
-                    if word not in letters:
-                        n = len(letters) + 1
-                        letters[word] = chr(n if n < 0xD800 else n + 0x800)  # no surrogates
+            for phrase in some:
                 automaton.add_word("".join(map(letters.__getitem__, phrase)))
             automaton.make_automaton()
-            self.shards.append((letters, automaton))
+            # No phrase reaches over a word that none of them has.
+            runs = re.compile("[^\0]{%d,}" % (2 * min(map(len, some))))
+            self.shards.append((letters, runs, automaton))
 
     def occurrences(self, words: list[bytes]) -> Iterator[tuple[int, int]]:
         """(first word, number of words) of every occurrence of every phrase."""
-        for letters, automaton in self.shards:
-            text = "".join([letters.get(word, "\0") for word in words])
-            for last, length in automaton.iter(text):
-                yield last + 1 - length, length
+        for letters, runs, automaton in self.shards:
+            text = "".join(map(letters.get, words, repeat("\0\0")))
+            for run in runs.finditer(text):
+                after = run.start() + 1
+                for last, length in automaton.iter(run.group()):
+                    yield (last + after - length) // 2, length // 2
 
 
 def _candidates(docs: pd.DataFrame, phrases: pd.DataFrame) -> pd.DataFrame:

@@ -123,6 +123,21 @@ def test_passages_against_all_windows(spark, monkeypatch, block_chars):
     assert {i: (r.n_words, r.n_removed, r.kept_text) for i, r in got.items()} == expected
 
 
+def test_automata_branch_by_digits_of_words():
+    """A node's edges are looked through one by one, so few may leave the root."""
+    rng = random.Random(3)
+    words = [b"w%d" % i for i in range(10_000)]
+    phrases = [(w, *rng.choices(words, k=3)) for w in words]
+    automata = passages.Automata(phrases)
+    letters = automata.shards[0][0]
+    assert len(set(letters.values())) == len(words)
+    assert len({letter[0] for letter in letters.values()}) <= 101
+    text = [*phrases[7], b"unknown", *phrases[8][1:], *phrases[9], *rng.choices(words, k=500)]
+    there = set(phrases)
+    plain = [(i, 4) for i in range(len(text) - 3) if tuple(text[i : i + 4]) in there]
+    assert sorted(automata.occurrences(text)) == plain and (0, 4) in plain
+
+
 def test_passages_of_odd_documents(odd_documents, no_documents):
     rows = passages.remove_repeated_passages(odd_documents).collect()
     assert len(rows) == odd_documents.count()
