@@ -19,8 +19,10 @@ CAPACITY = 2048
 END = 0
 # Pieces packed together in one task.
 BLOCK = 40_000
-# Words whose ids a worker remembers, and documents whose words are learned together.
+# Words whose ids a worker remembers, those that begin a text and the longest of these,
+# and documents whose words are learned together.
 REMEMBERED = 350_000
+REMEMBERED_FIRSTS, LONGEST_FIRST = 10_000, 100
 TOGETHER = 256
 
 _PIECES = "id string, piece int, start long, length long, ids_crc32 long"
@@ -73,28 +75,40 @@ class Encoder:
             "words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
         self.words: dict[str, bytes] = {}
+        self.firsts: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def first(self, word: str) -> bytes:
+        """The ids of a word at the beginning of a text."""
+        if len(word) > LONGEST_FIRST:
+            return self.whole(word)
+        if word not in self.firsts:
+            if len(self.firsts) >= REMEMBERED_FIRSTS:
+                self.firsts.clear()
+            self.firsts[word] = self.whole(word)
+        return self.firsts[word]
+
     def learn(self, words: list[str]) -> None:
         """Remember the ids of `words`, each taken with a space before it."""
         if len(self.words) + len(words) > REMEMBERED:
             self.words.clear()
         for at in range(0, len(words), 4096):
             some = words[at : at + 4096]
-            ids = np.array(self.fast.encode_ordinary(" " + " ".join(some)), "<u4")
+            joined = " " + " ".join(some)
+            ids = np.array(self.fast.encode_ordinary(joined), "<u4")
             upto = np.cumsum(self.widths[ids])
-            ends = np.cumsum([len(w.encode("utf-8", "replace")) + 1 for w in some])
+            # No word has a space, so each begins at one and ends at the next.
+            spaces = np.frombuffer(joined.encode("utf-8", "replace") + b" ", np.uint8) == 0x20
+            ends = np.flatnonzero(spaces)[1:]
             cuts = np.searchsorted(upto, ends)
             if len(ids) == 0 or not np.array_equal(upto[np.minimum(cuts, len(ids) - 1)], ends):
                 for word in some:
                     self.words[word] = self.whole(" " + word)
                 continue
-            raw, begin = ids.tobytes(), 0
-            for word, cut in zip(some, ((cuts + 1) * 4).tolist()):
-                self.words[word] = raw[begin:cut]
-                begin = cut
+            stops = ((cuts + 1) * 4).tolist()
+            self.words.update(zip(some, map(ids.tobytes().__getitem__, map(slice, [0, *stops], stops))))
 
     def words_of(self, text: str) -> list[str] | None:
         """The text cut at its spaces, or None if words can't be encoded one by one."""
@@ -107,16 +121,17 @@ class Encoder:
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text. What is new in all of them is encoded at once."""
         cut_texts = [self.words_of(text) for text in texts]
-        seen = set().union(*(words[1:] for words in cut_texts if words))
-        self.learn(list(seen.difference(self.words)))
-        known = self.words.__getitem__
+        # A word is looked up once; the places of new ones are filled after learning them.
+        found: list[list[bytes | None]] = [[*map(self.words.get, words[1:])] for words in cut_texts if words]
+        empty = [[i for i, ids in enumerate(own) if ids is None] if None in own else [] for own in found]
+        known = [words for words in cut_texts if words]
+        self.learn([*{words[i + 1] for words, places in zip(known, empty) for i in places}])
+        for words, own, places in zip(known, found, empty):
+            for i in places:
+                own[i] = self.words[words[i + 1]]
+        rest = iter(found)
         for text, words in zip(texts, cut_texts):
-            try:
-                yield self.whole(text) if words is None else self.whole(words[0]) + b"".join(
-                    map(known, words[1:])
-                )
-            except KeyError:  # forgotten meanwhile
-                yield self.whole(text)
+            yield self.whole(text) if words is None else self.first(words[0]) + b"".join(next(rest))
 
 
 def cut(n_tokens: int, capacity: int = CAPACITY) -> Iterator[tuple[int, int]]:

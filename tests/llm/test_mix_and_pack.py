@@ -39,6 +39,17 @@ def test_encoder_forgets_and_learns_again(monkeypatch, documents):
         assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
+def test_first_words_are_encoded_once(monkeypatch):
+    """They have no space before them, so the fast library doesn't learn them."""
+    encode, calls = packing.Encoder(PATH), []
+    whole = encode.whole
+    monkeypatch.setattr(encode, "whole", lambda text: calls.append(text) or whole(text))
+    texts = [f"Word and number {i}" for i in range(40)] + ["", "Other", "Word"]
+    plain = [whole(text) for text in texts]
+    assert list(encode(texts)) + list(encode(texts)) == plain + plain
+    assert calls == ["Word", "", "Other"]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(1, 100), min_size=1, max_size=60))
 def test_search_keeps_items_and_never_adds_bins(lengths):
